@@ -158,3 +158,31 @@ def register_views(spark: SparkSession, load: DataFrame, weather: DataFrame, pre
         ("final_features", ff),
     ):
         frame.createOrReplaceTempView(prefix + name)
+
+
+def lag_profile(
+    df: DataFrame,
+    value: str = "mw",
+    order: Sequence[str] = ("ts", "event_id"),
+    series_keys: Sequence[str] = (),
+    lags: Sequence[int] = (1, 24, 168),
+    ma_rows: int = 168,
+    avg_scale: int | None = 2,
+    method: str = "halo",
+    block: int = DEFAULT_BLOCK,
+) -> DataFrame:
+    """Generic per-row lags ``lag_<k>`` and trailing average ``ma_<n>`` of ``value``.
+
+    Works on any ordered series, one or many (``series_keys``); a hot series
+    is split into blocks like any other, so no task holds more than a block.
+    """
+    exprs: dict[str, Callable[[WindowSpec], Column]] = {
+        f"lag_{k}": (lambda w, k=k: F.lag(value, k).over(w)) for k in lags
+    }
+    if ma_rows:
+        exprs[f"ma_{ma_rows}"] = lambda w: exact_avg(value, w.rowsBetween(-(ma_rows - 1), 0), avg_scale)
+    reach = max([*lags, ma_rows - 1 if ma_rows else 0])
+    if method == "global":
+        return global_windows(df, exprs, list(order), series_keys)
+    seq = with_sequence(df, list(order), series_keys=series_keys, rn_col="_rn")
+    return halo_windows(seq, exprs, reach=reach, block=block, series_keys=series_keys, rn_col="_rn").drop("_rn")

@@ -48,3 +48,464 @@ def q_final_features(spark, sf_dir):
     """Flagship: join, calendar, weather and row-window features, warm-up filtered."""
     load, weather = _series(spark, sf_dir)
     return FE.final_features(load, weather)
+
+
+# ------------------------------------------------------------------ feature chain pieces
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from loadcast.schemas import KEY, LOAD, WEATHER  # noqa: E402
+
+
+def _joined(spark, sf_dir):
+    load, weather = _series(spark, sf_dir)
+    return FE.join_raw(load, weather)
+
+
+def _features_weather(spark, sf_dir):
+    return FE.weather_features(FE.time_features(_joined(spark, sf_dir)))
+
+
+@register("joined_raw", O.with_ctes(O.LOAD_CTE, O.WEATHER_CTE, O.JOINED_CTE) + " SELECT * FROM joined_raw")
+def q_joined_raw(spark, sf_dir):
+    """J1 + P5: load LEFT JOIN weather on the key, ts parsed leniently."""
+    return _joined(spark, sf_dir)
+
+
+@register(
+    "features_time",
+    O.with_ctes(O.LOAD_CTE, O.WEATHER_CTE, O.JOINED_CTE, O.TIME_CTE) + " SELECT * FROM features_time",
+)
+def q_features_time(spark, sf_dir):
+    """P6-P10: hour, day of week (1 = Sunday), month, year, weekend flag."""
+    return FE.time_features(_joined(spark, sf_dir))
+
+
+@register(
+    "features_weather",
+    O.with_ctes(O.LOAD_CTE, O.WEATHER_CTE, O.JOINED_CTE, O.TIME_CTE, O.WEATHER_FEAT_CTE)
+    + " SELECT * FROM features_weather",
+)
+def q_features_weather(spark, sf_dir):
+    """P11-P13: TEMP squared, rain flag, humidity x temperature."""
+    return _features_weather(spark, sf_dir)
+
+
+_WINDOWED_SQL = O.with_ctes(*O.FEATURE_CTES)
+
+
+def _windowed(spark, sf_dir):
+    return FE.window_features(_features_weather(spark, sf_dir), warmup_filter=False)
+
+
+@register(
+    "lag_features",
+    _WINDOWED_SQL + f" SELECT {KEY}, load_lag_1h, load_lag_24h, load_lag_7d, temp_lag_2h FROM windowed",
+)
+def q_lag_features(spark, sf_dir):
+    """W1-W4 over every row (no warm-up filter): lags count rows, not hours."""
+    return _windowed(spark, sf_dir).select(KEY, "load_lag_1h", "load_lag_24h", "load_lag_7d", "temp_lag_2h")
+
+
+@register("temp_change", _WINDOWED_SQL + f" SELECT {KEY}, TEMP, temp_change_24h FROM windowed")
+def q_temp_change(spark, sf_dir):
+    """W5 + P14: TEMP minus TEMP 24 rows back."""
+    return _windowed(spark, sf_dir).select(KEY, "TEMP", "temp_change_24h")
+
+
+@register("load_moving_avg", _WINDOWED_SQL + f" SELECT {KEY}, mw, load_ma_7d FROM windowed")
+def q_load_moving_avg(spark, sf_dir):
+    """W6: 168-row trailing average including the current row."""
+    return _windowed(spark, sf_dir).select(KEY, "mw", "load_ma_7d")
+
+
+@register("halo_lag_events", O.event_lag_sql())
+def q_halo_lag_events(spark, sf_dir):
+    """Section 4.3 on every raw event: one global order (ts, event_id), halo blocks."""
+    ev = AD.event_series(AD.read_table(spark, sf_dir, "events"))
+    return FE.lag_profile(ev, order=("ts", "event_id"), block=8192)
+
+
+@register("halo_lag_events_by_user", O.event_lag_sql("user_id"))
+def q_halo_lag_events_by_user(spark, sf_dir):
+    """Many series at once (series_keys=user_id); hot users are split into blocks."""
+    ev = AD.event_series(AD.read_table(spark, sf_dir, "events"))
+    return FE.lag_profile(ev, order=("ts", "event_id"), series_keys=("user_id",), block=8192)
+
+
+# ------------------------------------------------------------------ ingest and tables
+
+import uuid  # noqa: E402
+
+from loadcast.session import scratch_path  # noqa: E402
+from loadcast.sources import files as FI  # noqa: E402
+
+
+@register(
+    "clean_weather",
+    O.with_ctes(O.WEATHER_CTE)
+    + " SELECT make_timestamp(CAST(year(t) AS BIGINT), CAST(month(t) AS BIGINT), CAST(day(t) AS BIGINT),"
+    " CAST(hour(t) AS BIGINT), 0, 0) AS datetime_ept, TEMP, PRCP, HMDT, WND_SPD, ATM_PRESS"
+    " FROM (SELECT CAST(datetime_ept AS TIMESTAMP) AS t, * FROM weather_data)",
+)
+def q_clean_weather(spark, sf_dir):
+    """S1 + P1-P3 + K1: raw YEAR/MO/DY/HR CSV written, read by header, cleaned strictly."""
+    _, weather = _series(spark, sf_dir)
+    path = scratch_path(spark, "raw-weather-csv")
+    FI.write_series_csv(AD.raw_weather(weather), path, order=None)
+    return FI.clean_weather(FI.read_raw_weather_csv(spark, path), on_error="raise")
+
+
+def _roundtrip(spark, df, schema, label):
+    csv_path = scratch_path(spark, f"{label}-csv")
+    pq_path = scratch_path(spark, f"{label}-parquet")
+    FI.write_series_csv(df, csv_path)
+    typed = FI.read_series_csv(spark, csv_path, schema, on_error="raise")
+    FI.write_series_parquet(typed, pq_path)
+    name = f"{label}_data_{uuid.uuid4().hex[:8]}"
+    return FI.external_table(spark, name, pq_path, schema)
+
+
+@register("csv_parquet_load", O.with_ctes(O.LOAD_CTE) + " SELECT * FROM load_data")
+def q_csv_parquet_load(spark, sf_dir):
+    """S2 + P4 + K1 + K2 + S4: load CSV -> strict typed read -> Snappy Parquet -> external table."""
+    load, _ = _series(spark, sf_dir)
+    return _roundtrip(spark, load, LOAD, "load")
+
+
+@register("csv_parquet_weather", O.with_ctes(O.WEATHER_CTE) + " SELECT * FROM weather_data")
+def q_csv_parquet_weather(spark, sf_dir):
+    """S3 + P4 + K1 + K2 + S4 for the weather series."""
+    _, weather = _series(spark, sf_dir)
+    return _roundtrip(spark, weather, WEATHER, "weather")
+
+
+@register("training_table", O.with_ctes(*O.FEATURE_CTES) + " SELECT * FROM final_features")
+def q_training_table(spark, sf_dir):
+    """K3 + S5: the feature set persisted as a Parquet table, read back by name."""
+    feats = q_final_features(spark, sf_dir)
+    name = f"final_training_features_{uuid.uuid4().hex[:8]}"
+    return FI.training_table(feats, name, scratch_path(spark, "training-table"))
+
+
+# ------------------------------------------------------------------ split
+
+from loadcast.operators import split as SP  # noqa: E402
+
+
+def _model_frame(spark, sf_dir):
+    """Training input as the reference builds it: feature table without the key string."""
+    return q_final_features(spark, sf_dir).drop(KEY)
+
+
+def _split(spark, sf_dir):
+    return SP.time_split(_model_frame(spark, sf_dir), ratio=0.8)
+
+
+_SPLIT_SQL = O.with_ctes(*O.SPLIT_CTES)
+
+
+@register("split_train", _SPLIT_SQL + " SELECT * EXCLUDE (_rn) FROM numbered WHERE _rn < (SELECT c FROM cut)")
+def q_split_train(spark, sf_dir):
+    """O4: the first int(0.8 n) rows in time order."""
+    return _split(spark, sf_dir)[0]
+
+
+@register("split_test", _SPLIT_SQL + " SELECT * EXCLUDE (_rn) FROM numbered WHERE _rn >= (SELECT c FROM cut)")
+def q_split_test(spark, sf_dir):
+    """X1: the remaining rows."""
+    return _split(spark, sf_dir)[1]
+
+
+@register(
+    "split_bounds",
+    _SPLIT_SQL
+    + """
+SELECT count(*) AS total_rows,
+       count(*) FILTER (WHERE _rn < (SELECT c FROM cut)) AS train_rows,
+       count(*) FILTER (WHERE _rn >= (SELECT c FROM cut)) AS test_rows,
+       max(ts) FILTER (WHERE _rn < (SELECT c FROM cut)) AS train_max_ts,
+       min(ts) FILTER (WHERE _rn >= (SELECT c FROM cut)) AS test_min_ts,
+       coalesce(max(ts) FILTER (WHERE _rn < (SELECT c FROM cut))
+                <= min(ts) FILTER (WHERE _rn >= (SELECT c FROM cut)), true) AS ordered
+FROM numbered""",
+)
+def q_split_bounds(spark, sf_dir):
+    """A1 + A2: sizes and boundary timestamps of the split, and their order check."""
+    train, test = _split(spark, sf_dir)
+    return SP.split_bounds(train, test)
+
+
+@register("split_except_all", _SPLIT_SQL + " SELECT * EXCLUDE (_rn) FROM numbered WHERE _rn >= (SELECT c FROM cut)")
+def q_split_except_all(spark, sf_dir):
+    """X1 as the reference computes it: all rows EXCEPT ALL the train rows."""
+    df = _model_frame(spark, sf_dir)
+    train, _ = SP.time_split(df, ratio=0.8)
+    return SP.test_by_except_all(df, train)
+
+
+# ------------------------------------------------------------------ model
+
+from loadcast.ml import model as ML  # noqa: E402
+
+_NOT_NULL_19 = " AND ".join(f"{c} IS NOT NULL" for c in O.FEATURE_COLS_19)
+
+
+@register(
+    "assembler_rows",
+    O.with_ctes(*O.FEATURE_CTES) + f" SELECT * EXCLUDE ({KEY}) FROM final_features WHERE {_NOT_NULL_19}",
+)
+def q_assembler_rows(spark, sf_dir):
+    """M1: rows that survive the 19-feature assembler's null skip (vector dropped)."""
+    df = _model_frame(spark, sf_dir)
+    feats = ML.feature_columns(df)
+    assert len(feats) == 19, feats
+    return ML.assembled_rows(df, feats)
+
+
+@register(
+    "rmse_seasonal",
+    _SPLIT_SQL
+    + """
+SELECT sqrt(CAST(sum(d * d) AS DOUBLE) / count(*)) / 100 AS rmse, count(*) AS n
+FROM (SELECT CAST(round(load_lag_24h * 100) AS BIGINT) - CAST(round(mw * 100) AS BIGINT) AS d
+      FROM numbered WHERE _rn >= (SELECT c FROM cut) AND mw IS NOT NULL AND load_lag_24h IS NOT NULL)""",
+)
+def q_rmse_seasonal(spark, sf_dir):
+    """A3 on the test split with yesterday's load as the prediction (exact in cents)."""
+    _, test = _split(spark, sf_dir)
+    return ML.rmse(test, label="mw", pred="load_lag_24h", exact_cents=True)
+
+
+# One grid point keeps the catalogue quick; the library default is the reference grid.
+QUICK_GRID = {"numTrees": [20], "maxDepth": [8]}
+_MODELS: dict = {}
+
+
+def _trained(spark, sf_dir):
+    key = (id(spark), sf_dir)
+    if key not in _MODELS:
+        train, test = _split(spark, sf_dir)
+        _MODELS[key] = (ML.train(train, grid=QUICK_GRID, folds=3), train, test)
+    return _MODELS[key]
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf_dir):
+    """M2-M6 + A3: cross-validated forest, hold-out RMSE and sizes (rows-only check)."""
+    model, train, test = _trained(spark, sf_dir)
+    scored = ML.score(model, test)
+    return ML.rmse(scored, label="mw", pred="prediction").select(
+        "rmse",
+        F.col("n").alias("n_test_scored"),
+        F.lit(len(ML.feature_columns(train.drop("mw")))).alias("n_features"),
+    )
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    """O5: importances above 0.005, largest first (rows-only check)."""
+    model, _, _ = _trained(spark, sf_dir)
+    return ML.feature_importance(model, 0.005)
+
+
+@register("model_reload_scores")
+def q_model_reload_scores(spark, sf_dir):
+    """K8 + S8 + M6: save the best pipeline, load it back, score the test rows."""
+    model, _, test = _trained(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    ML.save_model(model, path)
+    loaded = ML.load_model(path)
+    return ML.score(loaded, test).select("ts", "mw", "prediction")
+
+
+# ------------------------------------------------------------------ forecast and export
+
+from loadcast.operators import kv as KV  # noqa: E402
+from loadcast.plans import forecast as FC  # noqa: E402
+
+_FC_COLS = ", ".join(
+    [KEY, "ts", "mw", "TEMP", "PRCP", "HMDT", "WND_SPD", "ATM_PRESS"]
+    + ["hour_of_day", "day_of_week", "month_of_year", "year_val", "is_weekend"]
+    + ["temp_squared", "is_raining", "humidity_temp_interaction"]
+    + ["load_lag_1h", "load_lag_24h", "load_lag_7d", "temp_lag_2h", "temp_change_24h", "load_ma_7d"]
+)
+
+
+@register(
+    "forecast_inputs",
+    O.with_ctes(O.LOAD_CTE, O.WEATHER_CTE, O.JOINED_CTE, O.FORECAST_CTE)
+    + f" SELECT {_FC_COLS} FROM fc WHERE _future",
+)
+def q_forecast_inputs(spark, sf_dir):
+    """M7 + P17 + S7: 24 future hours with all features, unknowns filled."""
+    return FC.forecast_inputs(_joined(spark, sf_dir)).select(*[c.strip() for c in _FC_COLS.split(",")])
+
+
+@register("forecast_24h")
+def q_forecast_24h(spark, sf_dir):
+    """M6 + P18: the trained model scores the 24 forecast rows (rows-only check)."""
+    model, _, _ = _trained(spark, sf_dir)
+    return FC.forecast(model, FC.forecast_inputs(_joined(spark, sf_dir)))
+
+
+def _seasonal_preds(spark, sf_dir):
+    return FC.seasonal_predictions(q_final_features(spark, sf_dir))
+
+
+@register(
+    "export_latest_24",
+    O.with_ctes(*O.FEATURE_CTES, O.PRED_KV_CTE)
+    + " SELECT row_key, prediction_value, prediction_ts FROM pred_kv"
+    " ORDER BY row_key DESC, prediction_value DESC LIMIT 24",
+)
+def q_export_latest_24(spark, sf_dir):
+    """K6 + O3 + P19 + P20: the latest 24 predictions as key, value, epoch seconds."""
+    return KV.export_latest(_seasonal_preds(spark, sf_dir), n=24)
+
+
+# ------------------------------------------------------------------ keyed tables and stream
+
+from loadcast.streaming import ingest as IN  # noqa: E402
+
+
+@register(
+    "kv_cells",
+    O.with_ctes(O.UPSERT_CTE)
+    + """
+SELECT key, seq, 'value' AS "column", CAST(value AS VARCHAR) AS value FROM upserts WHERE value IS NOT NULL
+UNION ALL
+SELECT key, seq, 'props', props FROM upserts WHERE props IS NOT NULL""",
+)
+def q_kv_cells(spark, sf_dir):
+    """P26: wide rows to (key, seq, column, value) cells, null cells omitted."""
+    ups = AD.keyed_upserts(AD.read_table(spark, sf_dir, "events"))
+    return KV.kv_cells(ups, "key", "seq", ["value", "props"])
+
+
+@register(
+    "kv_current",
+    O.with_ctes(O.UPSERT_CTE)
+    + """
+SELECT key, max(seq) AS seq,
+       max_by(value, seq) FILTER (WHERE value IS NOT NULL) AS value,
+       max_by(props, seq) FILTER (WHERE props IS NOT NULL) AS props
+FROM upserts GROUP BY key""",
+)
+def q_kv_current(spark, sf_dir):
+    """K7 merge: per key, each cell's latest non-null value (older cells survive nulls)."""
+    ups = AD.keyed_upserts(AD.read_table(spark, sf_dir, "events"))
+    return KV.kv_current(ups, "key", ("seq",), ["value", "props"])
+
+
+def _run_stream(spark, sf_dir, messages_fn, schema, key, cells):
+    events_schema = AD.read_table(spark, sf_dir, "events").schema
+    src = IN.file_message_stream(spark, f"{sf_dir.rstrip('/')}/events*.parquet", events_schema, max_files=100)
+    parsed = IN.parse_readings(messages_fn(src), schema, key)
+    log_path = scratch_path(spark, "kv-log")
+    q = IN.start_ingest(parsed, log_path, scratch_path(spark, "stream-ckpt"), cells, trigger={"availableNow": True})
+    q.awaitTermination(600)
+    if q.exception() is not None:
+        raise q.exception()
+    return KV.kv_current(KV.kv_read_log(spark, log_path), "key", (KV.BATCH, "seq"), cells)
+
+
+@register("stream_load", O.with_ctes(O.LOAD_MSG_CTE) + " SELECT * FROM load_kv")
+def q_stream_load(spark, sf_dir):
+    """S6 (file stream) + P21-P25 + T1-T8 + K7: JSON load readings to the keyed log, current view."""
+    return _run_stream(spark, sf_dir, IN.load_messages, IN.LOAD_SCHEMA, "timestamp", IN.load_cells())
+
+
+@register("stream_weather", O.with_ctes(O.WEATHER_MSG_CTE) + " SELECT * FROM weather_kv")
+def q_stream_weather(spark, sf_dir):
+    """The same for weather readings (lower-case measure names)."""
+    return _run_stream(spark, sf_dir, IN.weather_messages, IN.WEATHER_SCHEMA, KEY, IN.weather_cells())
+
+
+# ------------------------------------------------------------------ serving
+
+from loadcast.plans import serving as SV  # noqa: E402
+
+# Whole key space: the endpoints' range scan over every stored hour.
+ALL_START, ALL_STOP = "0000-01-01 00:00:00", "9999-12-31 23:59:59"
+
+
+def _batch_kv(spark, sf_dir, messages_fn, schema, key, cells):
+    """The keyed table the stream would build, computed in batch from the same messages."""
+    ev = AD.read_table(spark, sf_dir, "events")
+    parsed = IN.parse_readings(messages_fn(ev), schema, key).where(~F.col("rejected"))
+    log = parsed.select("key", "seq", *cells).withColumn(KV.BATCH, F.lit(0))
+    return KV.kv_current(log, "key", (KV.BATCH, "seq"), cells)
+
+
+def _load_kv(spark, sf_dir):
+    return _batch_kv(spark, sf_dir, IN.load_messages, IN.LOAD_SCHEMA, "timestamp", IN.load_cells())
+
+
+def _weather_kv(spark, sf_dir):
+    return _batch_kv(spark, sf_dir, IN.weather_messages, IN.WEATHER_SCHEMA, KEY, IN.weather_cells())
+
+
+def _pred_kv(spark, sf_dir):
+    return SV.predictions_kv(_seasonal_preds(spark, sf_dir))
+
+
+@register(
+    "serve_predictions",
+    O.with_ctes(*O.FEATURE_CTES, O.PRED_KV_CTE)
+    + " SELECT row_key AS datetime, prediction_ts AS timestamp, prediction_value AS predictedLoad FROM pred_kv",
+)
+def q_serve_predictions(spark, sf_dir):
+    """V1 + S10 + P27 + P29: forecast rows of a key range."""
+    return SV.predictions(_pred_kv(spark, sf_dir), ALL_START, ALL_STOP)
+
+
+@register(
+    "serve_actual",
+    O.with_ctes(O.LOAD_MSG_CTE)
+    + " SELECT key AS datetime, timestamp_ms AS timestamp, current_reading AS actualLoad FROM load_kv",
+)
+def q_serve_actual(spark, sf_dir):
+    """V2: actual load of a key range."""
+    return SV.actual_load(_load_kv(spark, sf_dir), ALL_START, ALL_STOP)
+
+
+@register(
+    "serve_weather",
+    O.with_ctes(O.WEATHER_MSG_CTE)
+    + " SELECT key AS datetime, temp AS temperature, hmdt AS humidity, atm_press AS pressure,"
+    " wnd_spd AS windSpeed, prcp AS precipitation FROM weather_kv",
+)
+def q_serve_weather(spark, sf_dir):
+    """V3: weather of a key range."""
+    return SV.weather(_weather_kv(spark, sf_dir), ALL_START, ALL_STOP)
+
+
+_COMBINED_SQL = O.with_ctes(*O.FEATURE_CTES, O.PRED_KV_CTE, O.LOAD_MSG_CTE, O.WEATHER_MSG_CTE, O.COMBINED_CTE)
+
+
+def _combined(spark, sf_dir):
+    return SV.combined(_pred_kv(spark, sf_dir), _load_kv(spark, sf_dir), _weather_kv(spark, sf_dir))
+
+
+@register("serve_combined", _COMBINED_SQL + " SELECT * FROM combined")
+def q_serve_combined(spark, sf_dir):
+    """V4 + J2 + P28: forecast, actual, absolute error and weather per forecast hour."""
+    return _combined(spark, sf_dir)
+
+
+@register(
+    "dashboard_rows",
+    _COMBINED_SQL
+    + """
+SELECT datetime, split_part(datetime, ' ', 2) AS time,
+       printf('%.2f', predicted) AS predicted,
+       CASE WHEN actual IS NULL THEN 'N/A' ELSE printf('%.2f', actual) END AS actual,
+       CASE WHEN error IS NULL THEN 'N/A' ELSE printf('%.2f', error) END AS error,
+       CASE WHEN temp IS NULL THEN 'N/A' ELSE printf('%.2f', temp) END AS temperature,
+       CASE WHEN humidity IS NULL THEN 'N/A' ELSE printf('%.2f', humidity) END AS humidity
+FROM combined""",
+)
+def q_dashboard_rows(spark, sf_dir):
+    """V5 + P31: dashboard table text, N/A only for missing values."""
+    return SV.dashboard(_combined(spark, sf_dir))
