@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loadcast.schemas import KEY_FORMAT
 
 DEFAULT_ZONE = "America/New_York"
 
@@ -19,9 +18,17 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+KEY_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+
+
 def parse_key(key: str | Column) -> Column:
-    """Key string -> TIMESTAMP_NTZ; unparsable text gives null (never raises)."""
-    return F.try_to_timestamp(_c(key), F.lit(KEY_FORMAT)).cast("timestamp_ntz")
+    """Strict ``yyyy-MM-dd HH:mm:ss`` text -> TIMESTAMP_NTZ; anything else gives null.
+
+    Zone-free: ``to_timestamp`` would return a zoned TIMESTAMP and move the
+    skipped DST hour when cast to NTZ.
+    """
+    c = _c(key)
+    return F.when(c.rlike(KEY_PATTERN), c.try_cast("timestamp_ntz"))
 
 
 def try_key_ts(key: str | Column) -> Column:
@@ -30,8 +37,12 @@ def try_key_ts(key: str | Column) -> Column:
 
 
 def format_key(ts: str | Column) -> Column:
-    """TIMESTAMP_NTZ -> key string."""
-    return F.date_format(_c(ts), KEY_FORMAT)
+    """TIMESTAMP_NTZ -> key string ``yyyy-MM-dd HH:mm:ss`` (seconds truncated).
+
+    ``date_format`` on an NTZ value converts it through the session time zone
+    first, which moves the skipped DST hour; the string cast does not.
+    """
+    return F.substring(_c(ts).cast("timestamp_ntz").cast("string"), 1, 19)
 
 
 def epoch_seconds(ts: str | Column, zone: str = DEFAULT_ZONE) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadcast.functions.timekeys import format_key
 from loadcast.schemas import KEY, LOAD, WEATHER, WEATHER_MEASURES
 
 log = logging.getLogger(__name__)
@@ -101,7 +102,7 @@ def write_series_csv(df: DataFrame, path: str, order: str | None = KEY, mode: st
     """CSV with a header; sorted by ``order`` when given (a range shuffle)."""
     out = df.orderBy(order) if order else df
     if KEY in df.columns and isinstance(df.schema[KEY].dataType, T.TimestampNTZType):
-        out = out.withColumn(KEY, F.date_format(KEY, "yyyy-MM-dd HH:mm:ss"))
+        out = out.withColumn(KEY, format_key(KEY))
     out.write.mode(mode).option("header", True).csv(path)
 
 
