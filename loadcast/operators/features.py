@@ -38,12 +38,14 @@ def join_raw(load: DataFrame, weather: DataFrame, key: str = KEY) -> DataFrame:
     The join strategy is left to AQE: it broadcasts weather only when the
     measured side is below the broadcast threshold.
     """
-    w = weather.select(F.col(key).alias("_wkey"), *WEATHER_MEASURES)
-    return load.join(w, load[key] == w["_wkey"], "left").select(
-        load[key].alias(key),
-        try_key_ts(load[key]).alias("ts"),
-        load["mw"],
-        *[w[m] for m in WEATHER_MEASURES],
+    # Qualified names through aliases: both sides may come from one aggregate (a self-join).
+    l = load.select(F.col(key), F.col("mw")).alias("_l")
+    w = weather.select(F.col(key).alias("_wkey"), *WEATHER_MEASURES).alias("_w")
+    return l.join(w, F.col(f"_l.{key}") == F.col("_w._wkey"), "left").select(
+        F.col(f"_l.{key}").alias(key),
+        try_key_ts(F.col(f"_l.{key}")).alias("ts"),
+        F.col("_l.mw").alias("mw"),
+        *[F.col(f"_w.{m}").alias(m) for m in WEATHER_MEASURES],
     )
 
 
@@ -95,6 +97,29 @@ def default_tie_break(df: DataFrame, order: Sequence[str]) -> list[str]:
     ]
 
 
+def densify_hours(df: DataFrame, ts: str = "ts", key: str | None = KEY, series_keys: Sequence[str] = ()) -> DataFrame:
+    """Add a filler row (``_filler`` true, measures null) for every missing hour
+    between each series' first and last hour, so row offsets equal hours.
+
+    The grid is built per series with ``sequence`` + ``explode`` (bounded by
+    the series' span in hours) and anti-joined with the hours present.
+    """
+    bounds = df.where(F.col(ts).isNotNull()).groupBy(*series_keys).agg(
+        F.min(ts).alias("_lo"), F.max(ts).alias("_hi")
+    )
+    grid = bounds.select(
+        *series_keys, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 HOUR"))).alias(ts)
+    )
+    present = df.select(*series_keys, ts)
+    missing = grid.join(present, [*series_keys, ts], "left_anti")
+    if key and key in df.columns:
+        from loadcast.functions.timekeys import format_key
+
+        missing = missing.withColumn(key, format_key(ts))
+    filler = missing.withColumn("_filler", F.lit(True))
+    return df.withColumn("_filler", F.lit(False)).unionByName(filler, allowMissingColumns=True)
+
+
 def window_features(
     df: DataFrame,
     order: Sequence[str] = ("ts",),
@@ -106,6 +131,7 @@ def window_features(
     method: str = "halo",
     block: int = DEFAULT_BLOCK,
     keep_rn: bool = False,
+    densify: bool = False,
 ) -> DataFrame:
     """LAG/change/moving-average features over the row order (counts rows, not hours).
 
@@ -113,7 +139,11 @@ def window_features(
     block of ``block`` rows (parallel, no single-partition exchange);
     ``method="global"`` is the plain ``OVER (ORDER BY ...)`` form.
     With ``warmup_filter`` rows whose 7-day lag is null are dropped.
+    With ``densify`` missing hours are filled first (and removed again after
+    the windows), so lags and averages count hours instead of rows.
     """
+    if densify:
+        df = densify_hours(df, order[0], series_keys=series_keys)
     exprs, reach = window_feature_exprs(include_current, avg_scale)
     ties = list(default_tie_break(df, [*order, *series_keys]) if tie_break is None else tie_break)
     full_order = [*order, *ties]
@@ -125,6 +155,8 @@ def window_features(
         out = global_windows(df, exprs, full_order, series_keys)
     else:
         raise ValueError(f"unknown method {method!r}")
+    if densify:
+        out = out.where(~F.col("_filler")).drop("_filler")
     if warmup_filter:
         out = out.where(F.col(WARMUP_COLUMN).isNotNull())
     return out

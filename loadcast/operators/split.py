@@ -65,3 +65,19 @@ def split_bounds(train: DataFrame, test: DataFrame, ts: str = "ts") -> DataFrame
 def test_by_except_all(df: DataFrame, train: DataFrame) -> DataFrame:
     """The reference's test set: every row of ``df`` not in ``train`` (multiset)."""
     return df.exceptAll(train)
+
+
+def first_rows(df: DataFrame, n: int = 5, order: Sequence[str] = ("ts",)) -> DataFrame:
+    """The first ``n`` rows in time order (a preview; plans as a top-k)."""
+    return df.orderBy(*order).limit(n)
+
+
+def time_folds(df: DataFrame, k: int, fold_col: str = "fold", order: Sequence[str] = ("ts",)) -> DataFrame:
+    """Add ``fold_col`` = 0..k-1 as contiguous blocks of the time order.
+
+    For ``CrossValidator(foldCol=...)``: each validation fold is one time
+    block instead of a random sample of hours.
+    """
+    seq = numbered(df, order)
+    n = seq.count()
+    return seq.withColumn(fold_col, F.expr(f"cast((_rn * {int(k)}) div {max(n, 1)} as int)")).drop("_rn")

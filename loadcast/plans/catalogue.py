@@ -509,3 +509,26 @@ FROM combined""",
 def q_dashboard_rows(spark, sf_dir):
     """V5 + P31: dashboard table text, N/A only for missing values."""
     return SV.dashboard(_combined(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ extras: preview, dense hours
+
+
+@register(
+    "preview_joined",
+    O.with_ctes(O.LOAD_CTE, O.WEATHER_CTE, O.JOINED_CTE) + " SELECT * FROM joined_raw ORDER BY ts NULLS FIRST LIMIT 5",
+)
+def q_preview_joined(spark, sf_dir):
+    """O2 + K9: the first five joined rows in time order (the limit is the feature)."""
+    return SP.first_rows(_joined(spark, sf_dir), 5)
+
+
+@register(
+    "final_features_dense",
+    O.with_ctes(*O.FEATURE_CTES, O.DENSE_CTE)
+    + " SELECT * EXCLUDE (_filler) FROM dense_windowed WHERE NOT _filler AND load_lag_7d IS NOT NULL",
+)
+def q_final_features_dense(spark, sf_dir):
+    """D1 extra: missing hours filled before the windows, so lags count hours."""
+    load, weather = _series(spark, sf_dir)
+    return FE.final_features(load, weather, densify=True)

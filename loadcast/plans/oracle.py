@@ -221,3 +221,18 @@ fc AS (
          coalesce(load_lag_1h, LAG(mw, 25) OVER (ORDER BY ts, _future)) AS load_lag_1h, _future
   FROM ({window_select('fc_time', 'ts, _future')})
 )"""
+
+
+DENSE_CTE = f"""
+grid AS (
+  SELECT unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts
+  FROM features_weather WHERE ts IS NOT NULL
+),
+dense AS (
+  SELECT *, false AS _filler FROM features_weather
+  UNION ALL BY NAME
+  SELECT strftime(g.ts, '{KEY_FMT}') AS datetime_ept, g.ts, true AS _filler
+  FROM grid g WHERE g.ts NOT IN (SELECT ts FROM features_weather WHERE ts IS NOT NULL)
+),
+dense_windowed AS ({window_select('dense')}
+)"""

@@ -134,6 +134,17 @@ def start_ingest(
     )
 
 
+def run_for(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait until the stream ends or ``timeout_s`` passes, then stop it cleanly."""
+    try:
+        query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination()
+    finally:
+        if query.isActive:
+            query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def file_message_stream(spark: SparkSession, path_glob: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
     """Parquet file stream (stands in for a message bus in tests and replays)."""
     r = spark.readStream.schema(schema)

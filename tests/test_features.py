@@ -98,3 +98,29 @@ def test_feature_chain_names(spark):
     cols = final_features(load, weather).columns
     assert cols[:8] == ["datetime_ept", "ts", "mw", "TEMP", "PRCP", "HMDT", "WND_SPD", "ATM_PRESS"]
     assert cols[-6:] == ["load_lag_1h", "load_lag_24h", "load_lag_7d", "temp_lag_2h", "temp_change_24h", "load_ma_7d"]
+
+
+def test_densify_counts_hours(spark):
+    keys = _hours(30, skip={5})
+    load = spark.createDataFrame([(k, float(i)) for i, k in enumerate(keys)], LOAD)
+    base = weather_features(time_features(join_raw(load, spark.createDataFrame([], WEATHER))))
+    for method in ("halo", "global"):
+        feats = window_features(base, warmup_filter=False, densify=True, method=method)
+        by_key = {r.datetime_ept: r for r in feats.collect()}
+        assert len(by_key) == 30 and "_filler" not in feats.columns
+        assert by_key[keys[5]].load_lag_1h is None  # the missing hour, not the row before it
+        assert by_key[keys[6]].load_lag_1h == 5.0
+        assert by_key[keys[28]].load_lag_24h is None  # 24 hours back is the missing hour
+        assert by_key[keys[29]].load_lag_24h == 5.0
+
+
+def test_register_views_chain(spark):
+    from loadcast.operators.features import register_views
+
+    keys = _hours(170)
+    load = spark.createDataFrame([(k, float(i)) for i, k in enumerate(keys)], LOAD)
+    weather = spark.createDataFrame([(k, 1.0, 0.0, 2.0, 3.0, 4.0) for k in keys], WEATHER)
+    register_views(spark, load, weather, prefix="t_")
+    assert spark.sql("SELECT count(*) AS n FROM t_joined_raw").first().n == 170
+    assert spark.sql("SELECT count(*) AS n FROM t_final_features").first().n == 2
+    assert "is_weekend" in spark.table("t_features_time").columns

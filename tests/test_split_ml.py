@@ -104,3 +104,22 @@ def test_rmse_exact_cents(spark):
     df = spark.createDataFrame([(1.0, 1.5), (2.0, 1.0)], "y double, p double")
     r = ML.rmse(df, "y", "p", exact_cents=True).first()
     assert r.n == 2 and abs(r.rmse - math.sqrt((0.25 + 1.0) / 2)) < 1e-12
+
+
+def test_time_folds_are_contiguous(feats):
+    folded = SP.time_folds(feats, 3)
+    spans = {r.fold: (r.lo, r.hi) for r in folded.groupBy("fold").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).collect()}
+    assert sorted(spans) == [0, 1, 2]
+    assert spans[0][1] < spans[1][0] and spans[1][1] < spans[2][0]
+
+
+def test_train_with_time_folds(split):
+    train, _ = split
+    folded = SP.time_folds(train, 2)
+    model = ML.train(folded, grid={"numTrees": [5], "maxDepth": [3]}, fold_col="fold")
+    assert len(ML.best_pipeline(model).stages[0].getInputCols()) == 19
+
+
+def test_first_rows_is_preview(feats):
+    rows = SP.first_rows(feats, 5).collect()
+    assert len(rows) == 5 and [r.ts for r in rows] == sorted(r.ts for r in rows)
