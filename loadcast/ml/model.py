@@ -63,7 +63,7 @@ def train(
     """Cross-validated random forest over ``grid`` (default: the reference's 2x2 grid).
 
     Folds are random (seeded) as in the reference; pass ``fold_col`` (e.g.
-    from ``split.time_folds``) for time-blocked folds instead.
+    from ``split.time_folds(df, k)``, with ``folds=k``) for time-blocked folds.
 
     The training frame is cached for the duration of the search: every fold
     fit re-reads it, and recomputing the feature chain per fit is the cost

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadcast.functions.calendar import TIME_FEATURES
 from loadcast.functions.timekeys import try_key_ts
 from loadcast.functions.weather import WEATHER_FEATURES
-from loadcast.operators.sequence import DEFAULT_BLOCK, global_windows, halo_windows, with_sequence
+from loadcast.operators.sequence import DEFAULT_BLOCK, Staged, global_windows, halo_windows, with_sequence
 from loadcast.schemas import KEY, WEATHER_MEASURES
 
 # Window features of the reference (output name, source column, rows back).
@@ -58,9 +58,10 @@ def weather_features(df: DataFrame) -> DataFrame:
 
 
 def exact_avg(col: str, w: WindowSpec, scale: int | None) -> Column:
-    """Window average; with ``scale`` the sum runs in DECIMAL, so it is exact
-    and independent of summation order (same value in any block layout or
-    engine).  ``scale=None`` is the plain floating AVG."""
+    """Window average over an explicit frame; with ``scale`` the sum runs in
+    DECIMAL (exact, independent of summation order).  ``scale=None`` is the
+    plain floating AVG.  Spark re-aggregates a bounded frame for every row,
+    so prefer ``moving_avg`` for long frames."""
     if scale is None:
         return F.avg(col).over(w)
     s = F.sum(F.col(col).cast(f"decimal(18,{scale})")).over(w).cast("double")
@@ -68,11 +69,40 @@ def exact_avg(col: str, w: WindowSpec, scale: int | None) -> Column:
     return F.when(n > 0, s / n)
 
 
+def moving_avg(col: str, lo: int, hi: int, scale: int | None):
+    """Average of ``col`` over rows ``[i+lo, i+hi]`` (``lo <= hi <= 0``).
+
+    With ``scale``: the difference of two running sums of the value in exact
+    integer units of 10^-scale (and of two running counts), so each row costs
+    O(1) instead of O(frame), and the result is exact: equal to the DECIMAL
+    frame sum divided by the count, whatever the block layout.
+    Needs ``1 - lo`` rows of reach.
+    """
+    if scale is None:
+        return lambda w: F.avg(col).over(w.rowsBetween(lo, hi))
+    cs, cn = f"_cs_{col}_{-lo}_{-hi}", f"_cn_{col}_{-lo}_{-hi}"
+    units = (F.col(col).cast(f"decimal(18,{scale})") * F.lit(10**scale)).cast("long")
+    helpers = {
+        cs: lambda w: F.sum(units).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        cn: lambda w: F.count(col).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+    }
+
+    def at(c: str, back: int, w: WindowSpec) -> Column:
+        return F.col(c) if back == 0 else F.lag(c, back).over(w)
+
+    def final(w: WindowSpec) -> Column:
+        s = F.coalesce(at(cs, -hi, w), F.lit(0)) - F.coalesce(at(cs, 1 - lo, w), F.lit(0))
+        n = F.coalesce(at(cn, -hi, w), F.lit(0)) - F.coalesce(at(cn, 1 - lo, w), F.lit(0))
+        return F.when(n > 0, (s.cast("double") / F.lit(float(10**scale))) / n)
+
+    return Staged(helpers, final)
+
+
 def window_feature_exprs(
     include_current: bool = True, avg_scale: int | None = 2
 ) -> tuple[dict[str, Callable[[WindowSpec], Column]], int]:
     """(name -> fn(window), reach in rows) for the lag/change/average features."""
-    exprs: dict[str, Callable[[WindowSpec], Column]] = {}
+    exprs: dict = {}
     reach = 0
     for name, col, k in LAG_FEATURES:
         exprs[name] = lambda w, c=col, k=k: F.lag(c, k).over(w)
@@ -82,8 +112,8 @@ def window_feature_exprs(
         reach = max(reach, k)
     for name, col, n in MOVING_AVG_FEATURES:
         lo, hi = (-(n - 1), 0) if include_current else (-n, -1)
-        exprs[name] = lambda w, c=col, lo=lo, hi=hi: exact_avg(c, w.rowsBetween(lo, hi), avg_scale)
-        reach = max(reach, -lo)
+        exprs[name] = moving_avg(col, lo, hi, avg_scale)
+        reach = max(reach, 1 - lo)
     return exprs, reach
 
 
@@ -208,12 +238,12 @@ def lag_profile(
     Works on any ordered series, one or many (``series_keys``); a hot series
     is split into blocks like any other, so no task holds more than a block.
     """
-    exprs: dict[str, Callable[[WindowSpec], Column]] = {
+    exprs: dict = {
         f"lag_{k}": (lambda w, k=k: F.lag(value, k).over(w)) for k in lags
     }
     if ma_rows:
-        exprs[f"ma_{ma_rows}"] = lambda w: exact_avg(value, w.rowsBetween(-(ma_rows - 1), 0), avg_scale)
-    reach = max([*lags, ma_rows - 1 if ma_rows else 0])
+        exprs[f"ma_{ma_rows}"] = moving_avg(value, -(ma_rows - 1), 0, avg_scale)
+    reach = max([*lags, ma_rows if ma_rows else 0])
     if method == "global":
         return global_windows(df, exprs, list(order), series_keys)
     seq = with_sequence(df, list(order), series_keys=series_keys, rn_col="_rn")

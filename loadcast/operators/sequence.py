@@ -32,13 +32,38 @@ from loadcast.session import scratch_path
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
 
-DEFAULT_BLOCK = 65536
+DEFAULT_BLOCK = 16384
 
 
 def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(n) if isinstance(n, str) else n for n in names]
 
 
+class Staged:
+    """A window feature computed in two passes over the same window spec.
+
+    ``helpers`` are evaluated first (e.g. running sums); ``final`` may then use
+    them (e.g. lags of the running sums).  Both passes share partitioning and
+    ordering, so the second adds no exchange and no sort.
+    """
+
+    def __init__(self, helpers: dict[str, Callable[[WindowSpec], Column]], final: Callable[[WindowSpec], Column]):
+        self.helpers = helpers
+        self.final = final
+
+
+def apply_windows(df: DataFrame, features: dict, w: WindowSpec) -> DataFrame:
+    """Add every feature (plain ``fn(w)`` or ``Staged``) evaluated over ``w``."""
+    helpers: dict[str, Callable[[WindowSpec], Column]] = {}
+    for f in features.values():
+        if isinstance(f, Staged):
+            helpers.update(f.helpers)
+    if helpers:
+        df = df.select("*", *[fn(w).alias(n) for n, fn in helpers.items()])
+    finals = [(f.final if isinstance(f, Staged) else f)(w).alias(name) for name, f in features.items()]
+    return df.select("*", *finals).drop(*helpers)
+
+
 def with_sequence(
     df: DataFrame,
     order_cols: Sequence[str],
@@ -118,7 +143,7 @@ def halo_windows(
     copies = F.when(in_tail, F.array(blk, blk + 1)).otherwise(F.array(blk))
     spread = seq.withColumn("_home", blk).withColumn("_blk", F.explode(copies))
     w = Window.partitionBy(*series_keys, "_blk").orderBy(rn_col)
-    out = spread.select("*", *[fn(w).alias(name) for name, fn in features.items()])
+    out = apply_windows(spread, features, w)
     return out.where(F.col("_blk") == F.col("_home")).drop("_blk", "_home")
 
 
@@ -130,4 +155,4 @@ def global_windows(
 ) -> DataFrame:
     """The plain window form, for small inputs and as the test reference."""
     w = Window.partitionBy(*series_keys).orderBy(*_cols(order_cols))
-    return df.select("*", *[fn(w).alias(name) for name, fn in features.items()])
+    return apply_windows(df, features, w)

@@ -116,7 +116,7 @@ def test_time_folds_are_contiguous(feats):
 def test_train_with_time_folds(split):
     train, _ = split
     folded = SP.time_folds(train, 2)
-    model = ML.train(folded, grid={"numTrees": [5], "maxDepth": [3]}, fold_col="fold")
+    model = ML.train(folded, grid={"numTrees": [5], "maxDepth": [3]}, folds=2, fold_col="fold")
     assert len(ML.best_pipeline(model).stages[0].getInputCols()) == 19
 
 
