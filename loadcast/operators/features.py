@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from loadcast.functions.calendar import TIME_FEATURES
 from loadcast.functions.timekeys import try_key_ts
 from loadcast.functions.weather import WEATHER_FEATURES
-from loadcast.operators.sequence import DEFAULT_BLOCK, Staged, global_windows, halo_windows, with_sequence
+from loadcast.operators.sequence import DEFAULT_BLOCK, Staged, global_windows, halo_windows, sized_sequence
 from loadcast.schemas import KEY, WEATHER_MEASURES
 
 # Window features of the reference (output name, source column, rows back).
@@ -178,8 +178,8 @@ def window_features(
     ties = list(default_tie_break(df, [*order, *series_keys]) if tie_break is None else tie_break)
     full_order = [*order, *ties]
     if method == "halo":
-        seq = with_sequence(df, full_order, series_keys=series_keys, rn_col="_rn")
-        out = halo_windows(seq, exprs, reach=reach, block=block, series_keys=series_keys, rn_col="_rn")
+        seq, n = sized_sequence(df, full_order, series_keys=series_keys, rn_col="_rn")
+        out = halo_windows(seq, exprs, reach=reach, block=block, series_keys=series_keys, rn_col="_rn", num_partitions=n)
         out = out.withColumnRenamed("_rn", "rn") if keep_rn else out.drop("_rn")
     elif method == "global":
         out = global_windows(df, exprs, full_order, series_keys)
@@ -246,5 +246,6 @@ def lag_profile(
     reach = max([*lags, ma_rows if ma_rows else 0])
     if method == "global":
         return global_windows(df, exprs, list(order), series_keys)
-    seq = with_sequence(df, list(order), series_keys=series_keys, rn_col="_rn")
-    return halo_windows(seq, exprs, reach=reach, block=block, series_keys=series_keys, rn_col="_rn").drop("_rn")
+    seq, n = sized_sequence(df, list(order), series_keys=series_keys, rn_col="_rn")
+    out = halo_windows(seq, exprs, reach=reach, block=block, series_keys=series_keys, rn_col="_rn", num_partitions=n)
+    return out.drop("_rn")

@@ -27,7 +27,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from loadcast.session import scratch_path
+from loadcast.session import scratch_path, target_partitions
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
@@ -77,20 +77,32 @@ def with_sequence(
     tie on every column are interchangeable, so results stay deterministic.
     Nulls sort first, as in Spark SQL's ascending order.
     """
+    return sized_sequence(df, order_cols, series_keys, rn_col, num_partitions)[0]
+
+
+def sized_sequence(
+    df: DataFrame,
+    order_cols: Sequence[str],
+    series_keys: Sequence[str] = (),
+    rn_col: str = "rn",
+    num_partitions: int | None = None,
+) -> tuple[DataFrame, int | None]:
+    """``with_sequence`` plus a partition count sized from the written table
+    (a plain Parquet scan, whose size Spark knows exactly), for the exchange
+    that follows."""
     spark = df.sparkSession
     keys = [*series_keys, *order_cols]
-    ranged = (
-        df.repartitionByRange(num_partitions, *keys)
-        if num_partitions
-        else df.repartitionByRange(*keys)
-    )
+    n = num_partitions or target_partitions(df)
+    ranged = df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
     tagged = ranged.sortWithinPartitions(*keys).withColumn(
         "_mid", F.monotonically_increasing_id()
     )
     path = scratch_path(spark, "sequence")
     tagged.write.parquet(path)
+    written = spark.read.parquet(path)
+    sized = target_partitions(written)
     fixed = (
-        spark.read.parquet(path)
+        written
         .withColumn("_pid", F.shiftrightunsigned("_mid", _LOCAL_BITS))
         .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)))
         .drop("_mid")
@@ -111,11 +123,12 @@ def with_sequence(
     if not series_keys:
         # One row per range partition: bounded by the partition count, not by the data.
         offsets = F.broadcast(offsets)
-    return (
+    out = (
         fixed.join(offsets, ["_pid", *series_keys])
         .withColumn(rn_col, F.col("_off") + F.col("_loc") - F.col("_first"))
         .drop("_pid", "_loc", "_off", "_first")
     )
+    return out, sized
 
 
 def halo_windows(
@@ -125,6 +138,7 @@ def halo_windows(
     block: int = DEFAULT_BLOCK,
     series_keys: Sequence[str] = (),
     rn_col: str = "rn",
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """Evaluate row-window ``features`` over numbered rows, block by block.
 
@@ -142,6 +156,9 @@ def halo_windows(
     # into the next block as halo.  One pass (generate), no second scan.
     copies = F.when(in_tail, F.array(blk, blk + 1)).otherwise(F.array(blk))
     spread = seq.withColumn("_home", blk).withColumn("_blk", F.explode(copies))
+    if num_partitions:
+        # Size the block exchange to the data; the window reuses this partitioning.
+        spread = spread.repartition(num_partitions, *series_keys, "_blk")
     w = Window.partitionBy(*series_keys, "_blk").orderBy(rn_col)
     out = apply_windows(spread, features, w)
     return out.where(F.col("_blk") == F.col("_home")).drop("_blk", "_home")

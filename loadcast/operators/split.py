@@ -81,3 +81,12 @@ def time_folds(df: DataFrame, k: int, fold_col: str = "fold", order: Sequence[st
     seq = numbered(df, order)
     n = seq.count()
     return seq.withColumn(fold_col, F.expr(f"cast((_rn * {int(k)}) div {max(n, 1)} as int)")).drop("_rn")
+
+
+def assert_split_ordered(train: DataFrame, test: DataFrame, ts: str = "ts") -> DataFrame:
+    """Fail unless every train row precedes every test row; returns the bounds row."""
+    bounds = split_bounds(train, test, ts)
+    row = bounds.first()
+    if not row["ordered"]:
+        raise AssertionError(f"train ends {row['train_max_ts']} after test starts {row['test_min_ts']}")
+    return bounds

@@ -11,6 +11,7 @@ fallback, and only when nothing is configured.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -112,3 +113,46 @@ def cluster_conf(total_cores: int, advisory_mb: int = 256, file_split_mb: int =
         "spark.sql.parquet.filterPushdown": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
+
+
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def parse_bytes(text: str) -> int:
+    t = str(text).strip().lower()
+    num = t.rstrip("bkmgt")
+    unit = t[len(num):] or "b"
+    return int(float(num) * _UNITS[unit])
+
+
+_UNRELIABLE = re.compile(r"^[\s:+\-|]*(Aggregate|Join|Window|Generate|Expand|LogicalRDD|Union)\b", re.M)
+
+
+def target_partitions(df) -> int | None:
+    """Shuffle partitions for ``df`` at about the advisory partition size.
+
+    Uses Catalyst's size estimate, but only for scan / filter / project
+    plans, where it tracks the bytes read.  After an aggregate or a join the
+    estimate without CBO is an upper bound that can be far off (a join is
+    estimated as the product of its sides), so those return None and the
+    session default applies, with AQE coalescing.  Also None when the default
+    shuffle partition count already suffices.  Range exchanges need this
+    because AQE can merge range partitions but never split an oversized one.
+    """
+    spark = df.sparkSession
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        if _UNRELIABLE.search(plan.toString()):
+            return None
+        size = int(plan.stats().sizeInBytes())
+    except Exception:  # no JVM plan access (e.g. a remote session)
+        return None
+    if size >= (1 << 62):  # Catalyst's "unknown" (defaultSizeInBytes = Long.MaxValue)
+        return None
+    advisory = parse_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+    default = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    want = min(-(-size // max(advisory, 1)), MAX_PARTITIONS)
+    return int(want) if want > default else None
+
+
+MAX_PARTITIONS = 200_000

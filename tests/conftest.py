@@ -15,7 +15,9 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from loadcast.session import build_session, ensure_checkpoint_root
 
-    s = build_session("loadcast-tests", master="local[*]", shuffle_partitions=8)
+    s = build_session(
+        "loadcast-tests", master="local[*]", shuffle_partitions=8, conf={"spark.driver.memory": "4g"}
+    )
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_root(s)
     yield s

@@ -78,3 +78,26 @@ def test_hot_series_is_split_across_tasks(spark):
     glob = lag_profile(df, "v", order=("t", "id"), series_keys=("s",), lags=(1, 24), ma_rows=24, method="global")
     cols = ["id", "lag_1", "lag_24", "ma_24"]
     assert _collect(out, cols) == _collect(glob, cols)
+
+
+def test_partition_count_follows_data_size(spark):
+    """With a tiny advisory size the exchanges get explicit, larger partition counts."""
+    from loadcast.session import parse_bytes, target_partitions
+    from loadcast.sources.adapters import event_series
+
+    assert parse_bytes("64m") == 64 << 20 and parse_bytes("67108864b") == 67108864
+    df = event_series(spark.read.parquet("/root/testdata/sf0.01/events.parquet"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+        assert (target_partitions(df) or 0) > 8
+        kw = dict(order=("ts", "event_id"), series_keys=("user_id",), lags=(1, 7), ma_rows=5)
+        halo = lag_profile(df, "mw", block=64, **kw)
+        plan = halo._jdf.queryExecution().executedPlan().toString()
+        glob = lag_profile(df, "mw", method="global", **kw)
+        cols = ["event_id", "lag_1", "lag_7", "ma_5"]
+        assert _collect(halo, cols) == _collect(glob, cols)
+        assert "hashpartitioning(user_id" in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert target_partitions(df) is None

@@ -123,3 +123,27 @@ def test_train_with_time_folds(split):
 def test_first_rows_is_preview(feats):
     rows = SP.first_rows(feats, 5).collect()
     assert len(rows) == 5 and [r.ts for r in rows] == sorted(r.ts for r in rows)
+
+
+def test_assert_split_ordered(spark, feats, split):
+    train, test = split
+    assert SP.assert_split_ordered(train, test).first().ordered
+    with pytest.raises(AssertionError):
+        SP.assert_split_ordered(test, train)
+
+
+def test_forecast_explicit_start(spark):
+    import datetime as dt
+
+    ev = AD.read_table(spark, SF01, "events")
+    joined = join_raw(AD.load_series(ev), AD.weather_series(ev))
+    inputs = FC.forecast_inputs(joined, start="2024-01-31 05:00:00", hours=6)
+    ts = sorted(r.ts for r in inputs.select("ts").collect())
+    assert ts[0] == dt.datetime(2024, 1, 31, 5) and len(ts) == 6
+
+
+def test_sequence_of_empty_input(spark):
+    from loadcast.operators.sequence import with_sequence
+
+    empty = spark.read.parquet(SF01 + "/events.parquet").where("event_id < 0")
+    assert with_sequence(empty, ["ts", "event_id"]).count() == 0
