@@ -143,7 +143,7 @@ WEATHER_MSG_CTE = f"""
 weather_msg AS (
   SELECT strftime(date_trunc('hour', ts), '{KEY_FMT}') AS key, event_id AS seq,
          value AS temp,
-         CASE WHEN event_type = 'error' THEN 0.5 ELSE 0.0 END AS prcp,
+         CASE WHEN event_type = 'error' THEN CAST(0.5 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS prcp,
          CAST(user_id AS DOUBLE) AS hmdt,
          CASE WHEN event_type = 'view' THEN NULL ELSE value END AS wnd_spd,
          CAST(1000 + event_id % 50 AS DOUBLE) AS atm_press

@@ -45,14 +45,34 @@ def rows_of(records, cols) -> list[tuple]:
     return sorted(out, key=lambda t: tuple("" if x is None else x for x in t))
 
 
+SPARK_TO_DUCK = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
+def type_mismatches(spark_df, rel) -> dict:
+    st = {f.name: f.dataType.simpleString() for f in spark_df.schema.fields}
+    dt = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return {c: (t, dt.get(c)) for c, t in st.items() if SPARK_TO_DUCK.get(t, t) != dt.get(c)}
+
+
 def compare(spark_df, sql: str, sf_dir: str) -> dict:
     got = [r.asDict() for r in spark_df.collect()]
     scols = sorted(spark_df.columns)
-    res = duck(sf_dir).execute(sql)
+    con = duck(sf_dir)
+    bad_types = type_mismatches(spark_df, con.sql(sql))
+    res = con.execute(sql)
     dcols_raw = [d[0] for d in res.description]
     drows = [dict(zip(dcols_raw, r)) for r in res.fetchall()]
     dcols = sorted(dcols_raw)
-    out = {"spark_rows": len(got), "oracle_rows": len(drows), "cols_equal": scols == dcols}
+    out = {"spark_rows": len(got), "oracle_rows": len(drows), "cols_equal": scols == dcols, "types_equal": not bad_types}
+    if bad_types:
+        out["type_mismatches"] = bad_types
     if scols != dcols:
         out["spark_cols"], out["oracle_cols"] = scols, dcols
         return out

@@ -33,7 +33,7 @@ def main(argv: list[str]) -> int:
             df = fn(spark, sf_dir)
             if name in sqls:
                 res = compare(df, sqls[name], sf_dir)
-                ok = res.get("values_equal") and res["spark_rows"] == res["oracle_rows"]
+                ok = res.get("values_equal") and res["types_equal"] and res["spark_rows"] == res["oracle_rows"]
             else:
                 res = {"spark_rows": df.count(), "rows_only": True}
                 ok = True

@@ -14,6 +14,7 @@ ROWS_ONLY = sorted(set(E.queries()) - set(ORACLE))
 def test_query_matches_oracle(spark, name):
     res = compare(E.queries()[name](spark, SF01), ORACLE[name], SF01)
     assert res["cols_equal"], res
+    assert res["types_equal"], res
     assert res["spark_rows"] == res["oracle_rows"], res
     assert res["values_equal"], res
 
