@@ -532,3 +532,12 @@ def q_final_features_dense(spark, sf_dir):
     """D1 extra: missing hours filled before the windows, so lags count hours."""
     load, weather = _series(spark, sf_dir)
     return FE.final_features(load, weather, densify=True)
+
+
+@register("views_final_features", O.with_ctes(*O.FEATURE_CTES) + " SELECT * FROM final_features")
+def q_views_final_features(spark, sf_dir):
+    """K4: the four chained views registered by name and queried with Spark SQL."""
+    load, weather = _series(spark, sf_dir)
+    prefix = f"v{uuid.uuid4().hex[:8]}_"
+    FE.register_views(spark, load, weather, prefix=prefix)
+    return spark.sql(f"SELECT * FROM {prefix}final_features")

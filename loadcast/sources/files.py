@@ -127,6 +127,3 @@ def training_table(df: DataFrame, name: str, path: str) -> DataFrame:
     df.write.format("parquet").mode("errorifexists").option("path", path).saveAsTable(name)
     return df.sparkSession.table(name)
 
-
-LOAD_SCHEMA = LOAD
-WEATHER_SCHEMA = WEATHER

@@ -92,21 +92,35 @@ def weather_cells() -> list[str]:
 # ---------------------------------------------------------------- the sink
 
 
-def batch_writer(log_path: str, cells: Sequence[str], seq: str = "seq"):
-    """foreachBatch callable: write accepted rows of the micro-batch into the log."""
+def batch_writer(log_path: str, cells: Sequence[str], seq: str = "seq", reject_path: str | None = None):
+    """foreachBatch callable: write accepted rows of the micro-batch into the log.
+
+    Rejected rows (empty key) are counted with ``observe``; with
+    ``reject_path`` they are also written aside as ``<reject_path>/batch_id=N``.
+    Then the batch (bounded by the trigger's offset cap) is persisted so both
+    writes read one evaluation.  A failing write raises, the batch is not
+    committed, and the stream retries it on restart.
+    """
     keep = ["key", seq, *cells]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             log.info("batch %s is empty", batch_id)
             return
-        obs = Observation(f"ingest_{batch_id}")
-        observed = batch.observe(
-            obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("rejected")).alias("rejected")
-        )
-        kv_write_batch(observed.where(~F.col("rejected")).select(*keep), log_path, batch_id)
-        m = obs.get
-        log.info("batch %s: %s rows, %s rejected", batch_id, m.get("rows"), m.get("rejected"))
+        src = batch.persist() if reject_path else batch
+        try:
+            obs = Observation(f"ingest_{batch_id}")
+            observed = src.observe(
+                obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("rejected")).alias("rejected")
+            )
+            kv_write_batch(observed.where(~F.col("rejected")).select(*keep), log_path, batch_id)
+            if reject_path:
+                kv_write_batch(src.where(F.col("rejected")).drop("rejected"), reject_path, batch_id)
+            m = obs.get
+            log.info("batch %s: %s rows, %s rejected", batch_id, m.get("rows"), m.get("rejected"))
+        finally:
+            if reject_path:
+                src.unpersist()
 
     return write
 
@@ -118,6 +132,7 @@ def start_ingest(
     cells: Sequence[str],
     trigger: dict | None = None,
     seq: str = "seq",
+    reject_path: str | None = None,
 ) -> StreamingQuery:
     """Start the stream: every trigger appends one batch folder to ``log_path``.
 
@@ -126,7 +141,7 @@ def start_ingest(
     """
     trig = {"processingTime": "10 seconds"} if trigger is None else trigger
     return (
-        parsed.writeStream.foreachBatch(batch_writer(log_path, cells, seq))
+        parsed.writeStream.foreachBatch(batch_writer(log_path, cells, seq, reject_path))
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**trig)

@@ -131,9 +131,10 @@ def test_stream_restart_and_replay(spark, scratch):
     def run():
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
         parsed = IN.parse_readings(stream, IN.LOAD_SCHEMA, "timestamp")
-        q = IN.start_ingest(parsed, log_path, ckpt, IN.load_cells(), trigger={"availableNow": True})
-        q.awaitTermination(120)
-        assert q.exception() is None
+        q = IN.start_ingest(
+            parsed, log_path, ckpt, IN.load_cells(), trigger={"availableNow": True}, reject_path=scratch + "/rej"
+        )
+        IN.run_for(q, 120)
 
     run()
     _write_events(
@@ -145,6 +146,8 @@ def test_stream_restart_and_replay(spark, scratch):
     assert sorted(r.batch_id for r in log.select("batch_id").distinct().collect()) == [0, 1]
     cur = KV.kv_current(log, "key", ("batch_id", "seq"), IN.load_cells()).collect()
     assert len(cur) == 1 and cur[0].current_reading == 1.0 and cur[0].seq == 2  # empty key rejected
+    rej = spark.read.parquet(scratch + "/rej").collect()
+    assert [(r.seq, r.batch_id) for r in rej] == [(3, 1)]
 
 
 def test_kafka_source_is_declared():
