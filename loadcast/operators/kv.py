@@ -10,7 +10,10 @@ measure writes no cell, so an older value of that cell survives.  Here:
   ``max_by`` is a declarative aggregate with map-side partial aggregation, so
   a hot key is combined before the shuffle;
 * ``kv_compact`` folds the log into a snapshot that later merges treat as
-  one older row per key.
+  one older row per key; ``kv_current_incremental`` merges the snapshot with
+  only the newer batch folders;
+* ``kv_write_by_day`` partitions a keyed table by the key's day so that
+  ``range_scan`` prunes folders.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ def kv_current(
     """Per key, each cell's latest non-null value; ``order_cols`` define "latest".
 
     A cell that was never non-null stays null.  The latest order value per key
-    is kept under the first order column's name.
+    is kept under the last order column's name (e.g. ``seq``).
     """
     if cells is None:
         cells = [c for c in log.columns if c not in (key, *order_cols, BATCH)]
@@ -85,6 +88,42 @@ def kv_compact(
     return spark.read.parquet(snapshot_path)
 
 
+def kv_current_incremental(
+    spark: SparkSession,
+    snapshot_path: str,
+    log_path: str,
+    key: str = "key",
+    order_cols: Sequence[str] = (BATCH, "seq"),
+    cells: Sequence[str] | None = None,
+) -> DataFrame:
+    """Current table = snapshot merged with only the log batches written after it.
+
+    The log is partitioned by ``batch_id``, so the filter prunes every folder
+    the snapshot already covers.  A snapshot row stands for one row per key
+    ordered before all newer batches: a newer non-null cell wins, a newer
+    null leaves the snapshot's cell.
+    """
+    snap = spark.read.parquet(snapshot_path)
+    last = snap.agg(F.max(BATCH)).first()[0]  # one scalar
+    log = kv_read_log(spark, log_path)
+    newer = log.where(F.col(BATCH) > F.lit(-1 if last is None else last))
+    if cells is None:
+        cells = [c for c in snap.columns if c not in (key, *order_cols, BATCH)]
+    cols = [key, *dict.fromkeys([*order_cols, BATCH]), *cells]
+    both = snap.select(*cols).unionByName(newer.select(*cols))
+    return kv_current(both, key, order_cols, cells)
+
+
+def with_day(kv: DataFrame, key: str = "key", day_col: str = "dt") -> DataFrame:
+    """Add the day prefix of a ``yyyy-MM-dd HH:mm:ss`` key as a partition column."""
+    return kv.withColumn(day_col, F.substring(F.col(key), 1, 10))
+
+
+def kv_write_by_day(kv: DataFrame, path: str, key: str = "key", day_col: str = "dt") -> None:
+    """Write a keyed table partitioned by the key's day, for pruned range scans."""
+    with_day(kv, key, day_col).write.mode("overwrite").partitionBy(day_col).parquet(path)
+
+
 def range_scan(
     kv: DataFrame, start: str, stop: str, key: str = "key", partition_col: str | None = None
 ) -> DataFrame:

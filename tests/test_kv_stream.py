@@ -159,3 +159,31 @@ def test_message_adapters_make_json(spark, fn):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     first = fn(ev).first()
     assert first.value.startswith("{") and first.seq is not None
+
+
+def test_incremental_merge_equals_full_merge(spark, scratch):
+    log_path = scratch + "/log"
+    schema = "key string, seq long, v double, p string"
+    KV.kv_write_batch(spark.createDataFrame([("k", 1, 1.0, "a"), ("j", 2, 5.0, "x")], schema), log_path, 0)
+    KV.kv_write_batch(spark.createDataFrame([("k", 3, None, "b")], schema), log_path, 1)
+    KV.kv_compact(spark, log_path, scratch + "/snap", "key", ("batch_id", "seq"), ["v", "p"])
+    KV.kv_write_batch(spark.createDataFrame([("k", 4, 7.0, None), ("m", 5, None, "z")], schema), log_path, 2)
+    inc = KV.kv_current_incremental(spark, scratch + "/snap", log_path, "key", ("batch_id", "seq"), ["v", "p"])
+    full = KV.kv_current(KV.kv_read_log(spark, log_path), "key", ("batch_id", "seq"), ["v", "p"])
+    rows = lambda df: sorted(tuple(r) for r in df.select("key", "seq", "v", "p").collect())
+    assert rows(inc) == rows(full)
+    assert dict((r.key, (r.v, r.p)) for r in inc.collect())["k"] == (7.0, "b")
+    plan = inc._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan and "(batch_id#" in plan
+
+
+def test_range_scan_prunes_day_partitions(spark, scratch):
+    kv = spark.createDataFrame(
+        [("2024-01-0%d %02d:00:00" % (d, h), float(h)) for d in range(1, 6) for h in (0, 12)], "key string, v double"
+    )
+    KV.kv_write_by_day(kv, scratch + "/kv")
+    t = spark.read.parquet(scratch + "/kv")
+    scan = KV.range_scan(t, "2024-01-02 00:00:00", "2024-01-03 00:00:00", partition_col="dt")
+    assert sorted(r.key for r in scan.collect()) == ["2024-01-02 00:00:00", "2024-01-02 12:00:00"]
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan
