@@ -114,19 +114,23 @@ def sized_sequence(
     before = Window.partitionBy(*series_keys).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1
     )
+    renamed = {k: f"_o_{i}" for i, k in enumerate(series_keys)}
     offsets = counts.select(
-        "_pid",
-        *series_keys,
+        F.col("_pid").alias("_opid"),
+        *[F.col(k).alias(v) for k, v in renamed.items()],
         "_first",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
     )
     if not series_keys:
         # One row per range partition: bounded by the partition count, not by the data.
         offsets = F.broadcast(offsets)
+    cond = F.col("_pid") == F.col("_opid")
+    for k, v in renamed.items():
+        cond = cond & F.col(k).eqNullSafe(F.col(v))  # a null series is a series too
     out = (
-        fixed.join(offsets, ["_pid", *series_keys])
+        fixed.join(offsets, cond)
         .withColumn(rn_col, F.col("_off") + F.col("_loc") - F.col("_first"))
-        .drop("_pid", "_loc", "_off", "_first")
+        .drop("_pid", "_opid", "_loc", "_off", "_first", *renamed.values())
     )
     return out, sized
 

@@ -29,7 +29,7 @@ def test_feature_query_has_no_single_partition_data_exchange(spark):
     df = final_features(AD.load_series(ev), AD.weather_series(ev))
     for cols in _single_partition_inputs(explain(df)):
         names = {c.split("#")[0].strip() for c in cols.split(",")}
-        assert names <= {"_pid", "_first", "_n"}, names  # only the per-partition offsets table
+        assert names <= {"_pid", "_opid", "_first", "_n", "_off"}, names  # only the per-partition offsets table
 
 
 def test_global_form_would_use_single_partition(spark):

@@ -101,3 +101,13 @@ def test_partition_count_follows_data_size(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
     assert target_partitions(df) is None
+
+
+def test_null_series_key_keeps_its_rows(spark):
+    rows = [(i, i // 2, None if i % 3 == 0 else i % 2, float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, t long, s long, v double")
+    halo = lag_profile(df, "v", order=("t", "id"), series_keys=("s",), lags=(1, 5), ma_rows=4, block=16)
+    glob = lag_profile(df, "v", order=("t", "id"), series_keys=("s",), lags=(1, 5), ma_rows=4, method="global")
+    cols = ["id", "lag_1", "lag_5", "ma_4"]
+    assert halo.count() == 300
+    assert _collect(halo, cols) == _collect(glob, cols)
