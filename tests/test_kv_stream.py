@@ -187,3 +187,45 @@ def test_range_scan_prunes_day_partitions(spark, scratch):
     assert sorted(r.key for r in scan.collect()) == ["2024-01-02 00:00:00", "2024-01-02 12:00:00"]
     plan = scan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_cell = st.one_of(st.none(), st.integers(0, 9).map(float))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    batches=st.lists(
+        st.lists(st.tuples(st.sampled_from("abc"), _cell, _cell), min_size=1, max_size=6), min_size=1, max_size=4
+    ),
+    order=st.randoms(use_true_random=False),
+)
+def test_upsert_matches_brute_force_under_replay(spark, scratch, batches, order):
+    """Writing batches in any order, with replays, gives the brute-force latest-non-null merge."""
+    import uuid
+
+    log_path = f"{scratch}/kvlog-{uuid.uuid4().hex}"
+    schema = "key string, seq long, v double, w double"
+    frames, seq = [], 0
+    for rows in batches:
+        out = []
+        for k, v, w in rows:
+            out.append((k, seq, v, w))
+            seq += 1
+        frames.append(out)
+    ids = list(range(len(frames))) + [0] * 2  # batch 0 replayed twice
+    order.shuffle(ids)
+    for b in ids:
+        KV.kv_write_batch(spark.createDataFrame(frames[b], schema), log_path, b)
+    got = {
+        r.key: (r.seq, r.v, r.w)
+        for r in KV.kv_current(KV.kv_read_log(spark, log_path), "key", ("batch_id", "seq"), ["v", "w"]).collect()
+    }
+    expect: dict = {}
+    for b, rows in enumerate(frames):
+        for k, s, v, w in rows:
+            old = expect.get(k, (None, None, None))
+            expect[k] = (s, v if v is not None else old[1], w if w is not None else old[2])
+    assert got == expect
