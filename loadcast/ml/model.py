@@ -57,7 +57,7 @@ def train(
     folds: int = REFERENCE_FOLDS,
     seed: int = SEED,
     label: str = TARGET,
-    parallelism: int = 2,
+    parallelism: int | None = None,
     fold_col: str | None = None,
 ) -> CrossValidatorModel:
     """Cross-validated random forest over ``grid`` (default: the reference's 2x2 grid).
@@ -76,13 +76,15 @@ def train(
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(rf.getParam(name), values)
+    maps = builder.build()
     cv = CrossValidator(
         estimator=pipe,
-        estimatorParamMaps=builder.build(),
+        estimatorParamMaps=maps,
         evaluator=RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse"),
         numFolds=folds,
         seed=seed,
-        parallelism=parallelism,
+        # Fits of different grid points run concurrently (each is itself distributed).
+        parallelism=parallelism or min(4, len(maps)),
         **({"foldCol": fold_col} if fold_col else {}),
     )
     cached = train_df.persist()
