@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed value: the series are Eastern Prevailing Time wall-clock readings.
 DEFAULT_ZONE = "America/New_York"
 
 

@@ -283,7 +283,7 @@ _MODELS: dict = {}
 
 
 def _trained(spark, sf_dir):
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         train, test = _split(spark, sf_dir)
         _MODELS[key] = (ML.train(train, grid=QUICK_GRID, folds=3), train, test)

@@ -69,3 +69,12 @@ def test_csv_parquet_roundtrip_counts(spark, scratch):
     assert sorted(r.mw for r in back.collect()) == [1.25, 2.5]
     with pytest.raises(Exception):
         FI.write_series_parquet(df, scratch + "/pq")  # exists: refuse, like the converter
+
+
+def test_parts_are_not_truncated(spark, scratch):
+    """A three-digit month is an error, never silently cut to two digits."""
+    p = _csv(scratch + "/wide", "YEAR,MO,DY,HR,TEMP\n2021,123,1,1,1.0\n")
+    with pytest.raises(Exception):
+        FI.clean_weather(FI.read_raw_weather_csv(spark, p)).collect()
+    good, bad = FI.clean_weather(FI.read_raw_weather_csv(spark, p), on_error="quarantine")
+    assert good.count() == 0 and bad.count() == 1
