@@ -5,7 +5,7 @@ training, so as checked in it cannot score.  Here the forecast frame is the
 tail of the real history plus ``hours`` future hours, run through the same
 calendar/weather/window feature functions, with what is unknown filled:
 
-* ``load_lag_1h`` = lag 1, else lag 25 (same hour yesterday's neighbour);
+* ``load_lag_1h`` = lag 1, else lag 25 (the hour before, one day earlier);
 * ``TEMP`` = own value, else the value 24 rows back, else the last known;
   ``temp_lag_2h`` and ``temp_change_24h`` are then taken from filled TEMP;
 * other weather measures take fixed defaults;
@@ -61,12 +61,12 @@ def forecast_inputs(
     history_rows = history_rows or (reach + hours + 2)
     tail = history_tail(joined, history_rows).withColumn("_future", F.lit(False))
 
+    # One row (the last known hour) drives the grid of future hours.
+    grid_src = tail.agg(F.max("ts").alias("_last"))
     if start is None:
         first = F.col("_last") + F.expr("INTERVAL 1 HOUR")
-        grid_src = tail.agg(F.max("ts").alias("_last"))
     else:
         first = F.lit(str(start)).cast("timestamp_ntz")
-        grid_src = tail.agg(F.max("ts").alias("_last"))
     future_ts = F.explode(
         F.sequence(first, first + F.make_interval(hours=F.lit(hours - 1)), F.expr("INTERVAL 1 HOUR"))
     )
