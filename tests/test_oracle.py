@@ -39,3 +39,14 @@ def test_flagship_row_counts_match_fixtures(spark):
 def test_every_query_has_docstring():
     for name, fn in E.queries().items():
         assert fn.__doc__, name
+
+
+def test_results_do_not_depend_on_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        for name in ("final_features", "export_latest_24", "stream_load", "dashboard_rows"):
+            res = compare(E.queries()[name](spark, SF01), ORACLE[name], SF01)
+            assert res["values_equal"] and res["types_equal"], (name, res)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
