@@ -5,6 +5,7 @@ import os
 from conftest import SF01
 from loadcast.plans import jobs as J
 from loadcast.sources import adapters as AD
+from loadcast.schemas import LOAD, WEATHER
 from loadcast.sources import files as FI
 
 
@@ -24,8 +25,8 @@ def test_batch_layer_end_to_end(spark, scratch):
     )
     assert (n_load, n_weather) == (720, 672)
 
-    load_t = FI.external_table(spark, "t_jobs_load", scratch + "/load_pq", FI.LOAD)
-    weather_t = FI.external_table(spark, "t_jobs_weather", scratch + "/weather_pq", FI.WEATHER)
+    load_t = FI.external_table(spark, "t_jobs_load", scratch + "/load_pq", LOAD)
+    weather_t = FI.external_table(spark, "t_jobs_weather", scratch + "/weather_pq", WEATHER)
     feats = J.build_training_table(load_t, weather_t, "t_jobs_training", scratch + "/training")
     assert feats.count() == 552
 
