@@ -30,18 +30,25 @@ MOVING_AVG_FEATURES = [("load_ma_7d", "mw", 168)]
 WARMUP_COLUMN = "load_lag_7d"
 
 
-def join_raw(load: DataFrame, weather: DataFrame, key: str = KEY) -> DataFrame:
+def join_raw(load: DataFrame, weather: DataFrame, key: str = KEY, series_keys: Sequence[str] = ()) -> DataFrame:
     """Load LEFT JOIN weather on the key string, plus the parsed NTZ ``ts``.
 
     Load hours without weather keep null measures.  A key repeated on both
     sides (the repeated DST hour) fans out n x m, as an equi-join does.
-    The join strategy is left to AQE: it broadcasts weather only when the
+    With ``series_keys`` (several series in one table) they join too.  The
+    join strategy is left to AQE: it broadcasts weather only when the
     measured side is below the broadcast threshold.
     """
     # Qualified names through aliases: both sides may come from one aggregate (a self-join).
-    l = load.select(F.col(key), F.col("mw")).alias("_l")
-    w = weather.select(F.col(key).alias("_wkey"), *WEATHER_MEASURES).alias("_w")
-    return l.join(w, F.col(f"_l.{key}") == F.col("_w._wkey"), "left").select(
+    l = load.select(*series_keys, F.col(key), F.col("mw")).alias("_l")
+    w = weather.select(
+        *[F.col(k).alias(f"_w_{k}") for k in series_keys], F.col(key).alias("_wkey"), *WEATHER_MEASURES
+    ).alias("_w")
+    cond = F.col(f"_l.{key}") == F.col("_w._wkey")
+    for k in series_keys:
+        cond = cond & (F.col(f"_l.{k}") == F.col(f"_w._w_{k}"))
+    return l.join(w, cond, "left").select(
+        *[F.col(f"_l.{k}").alias(k) for k in series_keys],
         F.col(f"_l.{key}").alias(key),
         try_key_ts(F.col(f"_l.{key}")).alias("ts"),
         F.col("_l.mw").alias("mw"),
@@ -203,8 +210,10 @@ def final_features(
     The reference sorts its views by ts; sorting is only needed for display,
     so it is off unless ``ordered``.
     """
-    feats = window_features(weather_features(time_features(join_raw(load, weather))), **window_opts)
-    return feats.orderBy("ts") if ordered else feats
+    series_keys = tuple(window_opts.get("series_keys", ()))
+    joined = join_raw(load, weather, series_keys=series_keys)
+    feats = window_features(weather_features(time_features(joined)), **window_opts)
+    return feats.orderBy(*series_keys, "ts") if ordered else feats
 
 
 def register_views(spark: SparkSession, load: DataFrame, weather: DataFrame, prefix: str = "") -> None:

@@ -541,3 +541,17 @@ def q_views_final_features(spark, sf_dir):
     prefix = f"v{uuid.uuid4().hex[:8]}_"
     FE.register_views(spark, load, weather, prefix=prefix)
     return spark.sql(f"SELECT * FROM {prefix}final_features")
+
+
+@register("lag_features_by_user", O.by_user_sql())
+def q_lag_features_by_user(spark, sf_dir):
+    """D2 extra: the whole feature chain over many series at once (one per user)."""
+    ev = AD.read_table(spark, sf_dir, "events")
+    keys = ("user_id",)
+    feats = FE.final_features(
+        AD.load_series(ev, keys), AD.weather_series(ev, keys), series_keys=keys, warmup_filter=False
+    )
+    return feats.select(
+        "user_id", KEY, "mw", "TEMP", "load_lag_1h", "load_lag_24h", "load_lag_7d",
+        "temp_lag_2h", "temp_change_24h", "load_ma_7d",
+    )

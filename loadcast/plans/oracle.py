@@ -236,3 +236,33 @@ dense AS (
 ),
 dense_windowed AS ({window_select('dense')}
 )"""
+
+
+def by_user_sql() -> str:
+    w = "PARTITION BY user_id ORDER BY ts NULLS FIRST"
+    return f"""
+WITH load_u AS (
+  SELECT user_id, strftime(date_trunc('hour', ts), '{KEY_FMT}') AS datetime_ept,
+         CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS mw
+  FROM events GROUP BY 1, 2
+),
+weather_u AS (
+  SELECT user_id, strftime(date_trunc('hour', ts), '{KEY_FMT}') AS datetime_ept,
+         max(value) AS TEMP
+  FROM events
+  WHERE event_type = 'error' AND NOT (hour(ts) = 3 AND day(ts) % 5 = 0)
+  GROUP BY 1, 2
+),
+joined_u AS (
+  SELECT l.user_id, l.datetime_ept, TRY_CAST(l.datetime_ept AS TIMESTAMP) AS ts, l.mw, w.TEMP
+  FROM load_u l LEFT JOIN weather_u w ON l.user_id = w.user_id AND l.datetime_ept = w.datetime_ept
+)
+SELECT user_id, datetime_ept, mw, TEMP,
+       LAG(mw, 1) OVER ({w}) AS load_lag_1h,
+       LAG(mw, 24) OVER ({w}) AS load_lag_24h,
+       LAG(mw, 168) OVER ({w}) AS load_lag_7d,
+       LAG(TEMP, 2) OVER ({w}) AS temp_lag_2h,
+       TEMP - LAG(TEMP, 24) OVER ({w}) AS temp_change_24h,
+       CAST(sum(CAST(mw AS DECIMAL(18,2))) OVER ({w} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) AS DOUBLE)
+         / NULLIF(count(mw) OVER ({w} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW), 0) AS load_ma_7d
+FROM joined_u"""

@@ -13,6 +13,8 @@ is formatted only on the small aggregated result.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,16 +27,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def load_series(events: DataFrame) -> DataFrame:
-    """Hourly load: (datetime_ept, mw) with mw = exact 2-dp sum of values."""
+def load_series(events: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
+    """Hourly load: (datetime_ept, mw) with mw = exact 2-dp sum of values (per series)."""
     return (
-        events.groupBy(hour_floor("ts").alias("_h"))
+        events.groupBy(*series_keys, hour_floor("ts").alias("_h"))
         .agg(F.sum(F.col("value").cast("decimal(12,2)")).cast("double").alias("mw"))
-        .select(format_key("_h").alias(KEY), "mw")
+        .select(*series_keys, format_key("_h").alias(KEY), "mw")
     )
 
 
-def weather_series(events: DataFrame) -> DataFrame:
+def weather_series(events: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
     """Hourly weather from error events; some hours have none (left join nulls)."""
     n = F.count(F.lit(1))
     return (
@@ -42,7 +44,7 @@ def weather_series(events: DataFrame) -> DataFrame:
             (F.col("event_type") == "error")
             & ~((F.hour("ts") == 3) & (F.dayofmonth("ts") % 5 == 0))
         )
-        .groupBy(hour_floor("ts").alias("_h"))
+        .groupBy(*series_keys, hour_floor("ts").alias("_h"))
         .agg(
             F.max("value").alias("TEMP"),
             F.when(n > 3, F.lit(0.5)).otherwise(F.lit(0.0)).alias("PRCP"),
@@ -50,7 +52,7 @@ def weather_series(events: DataFrame) -> DataFrame:
             F.min("value").alias("WND_SPD"),
             (F.lit(1000) + n).cast("double").alias("ATM_PRESS"),
         )
-        .select(format_key("_h").alias(KEY), *WEATHER_MEASURES)
+        .select(*series_keys, format_key("_h").alias(KEY), *WEATHER_MEASURES)
     )
 
 

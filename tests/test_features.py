@@ -124,3 +124,23 @@ def test_register_views_chain(spark):
     assert spark.sql("SELECT count(*) AS n FROM t_joined_raw").first().n == 170
     assert spark.sql("SELECT count(*) AS n FROM t_final_features").first().n == 2
     assert "is_weekend" in spark.table("t_features_time").columns
+
+
+def test_series_keys_through_the_chain(spark):
+    keys = _hours(200)
+    rows = [(k, float(i % 17)) for i, k in enumerate(keys)]
+    w_rows = [(k, float(i % 5), 0.1 * (i % 2), 2.0, 3.0, 4.0) for i, k in enumerate(keys)]
+    load1 = spark.createDataFrame(rows, LOAD)
+    weather1 = spark.createDataFrame(w_rows, WEATHER)
+    single = {r.datetime_ept: r.asDict() for r in final_features(load1, weather1).collect()}
+    load2 = spark.createDataFrame([(s, *r) for s in ("a", "b") for r in rows], "region string, datetime_ept string, mw double")
+    weather2 = spark.createDataFrame(
+        [(s, *r) for s in ("a", "b") for r in w_rows],
+        "region string, datetime_ept string, TEMP double, PRCP double, HMDT double, WND_SPD double, ATM_PRESS double",
+    )
+    multi = final_features(load2, weather2, series_keys=("region",), block=170).collect()
+    assert len(multi) == 2 * len(single)
+    for r in multi:
+        d = r.asDict()
+        d.pop("region")
+        assert d == single[d["datetime_ept"]]
