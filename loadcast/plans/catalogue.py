@@ -9,14 +9,24 @@ tables (CSV/Parquet round trips, stream logs, models) write below
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loadcast.ml import model as ML
 from loadcast.operators import features as FE
+from loadcast.operators import kv as KV
+from loadcast.operators import split as SP
+from loadcast.plans import forecast as FC
 from loadcast.plans import oracle as O
-from loadcast.session import ensure_checkpoint_root
+from loadcast.plans import serving as SV
+from loadcast.schemas import KEY, LOAD, WEATHER
+from loadcast.session import ensure_checkpoint_root, scratch_path
 from loadcast.sources import adapters as AD
+from loadcast.sources import files as FI
+from loadcast.streaming import ingest as IN
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -52,10 +62,6 @@ def q_final_features(spark, sf_dir):
 
 # ------------------------------------------------------------------ feature chain pieces
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from loadcast.schemas import KEY, LOAD, WEATHER  # noqa: E402
-
 
 def _joined(spark, sf_dir):
     load, weather = _series(spark, sf_dir)
@@ -135,11 +141,6 @@ def q_halo_lag_events_by_user(spark, sf_dir):
 
 # ------------------------------------------------------------------ ingest and tables
 
-import uuid  # noqa: E402
-
-from loadcast.session import scratch_path  # noqa: E402
-from loadcast.sources import files as FI  # noqa: E402
-
 
 @register(
     "clean_weather",
@@ -190,8 +191,6 @@ def q_training_table(spark, sf_dir):
 
 # ------------------------------------------------------------------ split
 
-from loadcast.operators import split as SP  # noqa: E402
-
 
 def _model_frame(spark, sf_dir):
     """Training input as the reference builds it: feature table without the key string."""
@@ -246,7 +245,6 @@ def q_split_except_all(spark, sf_dir):
 
 # ------------------------------------------------------------------ model
 
-from loadcast.ml import model as ML  # noqa: E402
 
 _NOT_NULL_19 = " AND ".join(f"{c} IS NOT NULL" for c in O.FEATURE_COLS_19)
 
@@ -321,8 +319,6 @@ def q_model_reload_scores(spark, sf_dir):
 
 # ------------------------------------------------------------------ forecast and export
 
-from loadcast.operators import kv as KV  # noqa: E402
-from loadcast.plans import forecast as FC  # noqa: E402
 
 _FC_COLS = ", ".join(
     [KEY, "ts", "mw", "TEMP", "PRCP", "HMDT", "WND_SPD", "ATM_PRESS"]
@@ -366,8 +362,6 @@ def q_export_latest_24(spark, sf_dir):
 
 # ------------------------------------------------------------------ keyed tables and stream
 
-from loadcast.streaming import ingest as IN  # noqa: E402
-
 
 @register(
     "kv_cells",
@@ -424,7 +418,6 @@ def q_stream_weather(spark, sf_dir):
 
 # ------------------------------------------------------------------ serving
 
-from loadcast.plans import serving as SV  # noqa: E402
 
 # Whole key space: the endpoints' range scan over every stored hour.
 ALL_START, ALL_STOP = "0000-01-01 00:00:00", "9999-12-31 23:59:59"
