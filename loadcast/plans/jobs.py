@@ -21,6 +21,7 @@ from loadcast.operators import split as SP
 from loadcast.operators.features import final_features, join_raw
 from loadcast.plans import forecast as FC
 from loadcast.schemas import KEY, LOAD, WEATHER
+from loadcast.session import scratch_scope
 from loadcast.sources import files as FI
 
 
@@ -49,8 +50,14 @@ def csv_to_parquet(
 
 
 def build_training_table(load: DataFrame, weather: DataFrame, table: str, path: str, **window_opts) -> DataFrame:
-    """The feature chain persisted as a Parquet table (fails if it exists)."""
-    return FI.training_table(final_features(load, weather, **window_opts), table, path)
+    """The feature chain persisted as a Parquet table (fails if it exists).
+
+    The row-numbering table the windows need is removed once the table is written.
+    """
+    spark = load.sparkSession
+    with scratch_scope(spark):
+        FI.training_table(final_features(load, weather, **window_opts), table, path)
+    return spark.table(table)
 
 
 @dataclass
@@ -72,10 +79,12 @@ def run_model_training(
 ) -> TrainingResult:
     """Split in time order, cross-validate the forest, score the hold-out, save."""
     df = features.drop(KEY) if KEY in features.columns else features
-    train, test = SP.time_split(df, ratio)
-    bounds = SP.assert_split_ordered(train, test)
-    model = ML.train(train, grid=grid, folds=folds)
-    rmse = ML.rmse_value(ML.score(model, test))
+    with scratch_scope(df.sparkSession):
+        train, test = SP.time_split(df, ratio)
+        bounds = SP.assert_split_ordered(train, test)
+        bounds = df.sparkSession.createDataFrame([bounds.first()], bounds.schema)  # one row, kept past the scope
+        model = ML.train(train, grid=grid, folds=folds)
+        rmse = ML.rmse_value(ML.score(model, test))
     if model_path:
         ML.save_model(model, model_path)
     n_features = len(ML.best_pipeline(model).stages[0].getInputCols())

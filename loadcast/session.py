@@ -10,6 +10,7 @@ fallback, and only when nothing is configured.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import tempfile
@@ -77,10 +78,41 @@ def ensure_checkpoint_root(spark: SparkSession) -> str:
         return spark.sparkContext.getCheckpointDir() or d
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unique folder below the checkpoint root."""
+    """A fresh, unique folder below the checkpoint root (recorded by an open ``scratch_scope``)."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/loadcast/{label}-{uuid.uuid4().hex}"
+    path = f"{root}/loadcast/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` through the Hadoop FileSystem of its scheme."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True))
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the scratch folders created inside the block when it ends.
+
+    Wrap the action that consumes the result (a write, a collect); frames
+    that still read those folders must not be used after the block.
+    """
+    created: list[str] = []
+    _SCOPES.append(created)
+    try:
+        yield created
+    finally:
+        _SCOPES.pop()
+        for path in created:
+            drop_path(spark, path)
 
 
 def local_path(path: str) -> str:

@@ -111,3 +111,17 @@ def test_null_series_key_keeps_its_rows(spark):
     cols = ["id", "lag_1", "lag_5", "ma_4"]
     assert halo.count() == 300
     assert _collect(halo, cols) == _collect(glob, cols)
+
+
+def test_scratch_scope_removes_numbering_tables(spark):
+    import os
+
+    from loadcast.session import local_path, scratch_scope
+    from loadcast.sources.adapters import event_series
+
+    df = event_series(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    with scratch_scope(spark) as created:
+        n = lag_profile(df, "mw", order=("ts", "event_id"), lags=(1,), ma_rows=0).count()
+        assert created and all(os.path.exists(local_path(p)) for p in created)
+    assert n == 1000
+    assert not any(os.path.exists(local_path(p)) for p in created)
