@@ -63,6 +63,26 @@ def kv_cells(
     return long.where(F.col("value").isNotNull())
 
 
+def kv_from_cells(
+    cells_df: DataFrame,
+    columns: dict[str, str],
+    key: str = "key",
+    seq: str = "seq",
+) -> DataFrame:
+    """Text cells (key, seq, column, value) -> one typed row per key.
+
+    Each column takes its latest cell; ``columns`` maps a cell name to its
+    type, and text that does not parse becomes null (``try_cast``).  The
+    pivot values are given, so Spark runs no extra job to find them.
+    """
+    latest = cells_df.groupBy(key, "column").agg(F.max_by("value", seq).alias("value"), F.max(seq).alias("_s"))
+    wide = latest.groupBy(key).pivot("column", list(columns)).agg(F.first("value"))
+    seqs = latest.groupBy(key).agg(F.max("_s").alias(seq))
+    return wide.join(seqs, key).select(
+        key, seq, *[F.col(c).try_cast(t).alias(c) for c, t in columns.items()]
+    )
+
+
 def kv_write_batch(batch: DataFrame, log_path: str, batch_id: int) -> None:
     """Write one micro-batch into the log; a replay of the same id overwrites it."""
     batch.write.mode("overwrite").parquet(f"{log_path.rstrip('/')}/{BATCH}={int(batch_id)}")

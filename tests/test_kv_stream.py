@@ -229,3 +229,15 @@ def test_upsert_matches_brute_force_under_replay(spark, scratch, batches, order)
             old = expect.get(k, (None, None, None))
             expect[k] = (s, v if v is not None else old[1], w if w is not None else old[2])
     assert got == expect
+
+
+def test_cells_round_trip_to_typed_rows(spark):
+    df = spark.createDataFrame(
+        [("k", 1, 1.5, "a"), ("k", 2, None, "b"), ("j", 3, 2.0, None)], "key string, seq long, v double, p string"
+    )
+    cells = KV.kv_cells(df, "key", "seq", ["v", "p"])
+    back = {r.key: r for r in KV.kv_from_cells(cells, {"v": "double", "p": "string"}).collect()}
+    assert back["k"].v == 1.5 and back["k"].p == "b" and back["k"].seq == 2
+    assert back["j"].p is None and back["j"].v == 2.0
+    cur = {r.key: r for r in KV.kv_current(df, "key", ("seq",), ["v", "p"]).collect()}
+    assert {k: (r.v, r.p) for k, r in cur.items()} == {k: (r.v, r.p) for k, r in back.items()}
