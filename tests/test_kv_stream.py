@@ -195,7 +195,7 @@ from hypothesis import strategies as st  # noqa: E402
 _cell = st.one_of(st.none(), st.integers(0, 9).map(float))
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=5, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(
     batches=st.lists(
         st.lists(st.tuples(st.sampled_from("abc"), _cell, _cell), min_size=1, max_size=6), min_size=1, max_size=4
