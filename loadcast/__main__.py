@@ -1,4 +1,5 @@
-"""Command line: ``spark-submit -m loadcast <command> ...`` or ``python -m loadcast <command> ...``.
+"""Command line: ``python -m loadcast <command> ...`` locally, or on a cluster
+``spark-submit --py-files loadcast.zip loadcast/__main__.py <command> ...``.
 
 Commands mirror the batch, speed and serving layers:
 
