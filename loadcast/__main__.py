@@ -136,7 +136,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         cells_load, cells_weather = IN.load_cells(), IN.weather_cells()
         load_kv = KV.kv_current(KV.kv_read_log(spark, args.load_log), "key", (KV.BATCH, "seq"), cells_load)
         weather_kv = KV.kv_current(KV.kv_read_log(spark, args.weather_log), "key", (KV.BATCH, "seq"), cells_weather)
-        comb = SV.combined(spark.read.parquet(args.predictions_kv), load_kv, weather_kv, date=args.date)
+        preds = spark.read.parquet(args.predictions_kv)
+        if "dt" in preds.columns:  # written by `export`: prune to the one day folder
+            preds = preds.where(preds["dt"] == args.date)
+        comb = SV.combined(preds, load_kv, weather_kv, date=args.date)
         (SV.dashboard(comb) if args.dashboard else comb).orderBy("datetime").show(48, truncate=False)
     return 0
 
