@@ -1,8 +1,8 @@
-"""Session construction and the shared scratch area.
+"""Session construction, the shared scratch area, partition sizing.
 
 Intermediate tables that must not be recomputed differently (sequence
 numbering, stream logs in tests) are written below the cluster's
-``spark.checkpoint.dir``.  The library never invents a machine-local folder:
+``spark.checkpoint.dir``; ``scratch_scope`` removes them after use.  The library never invents a machine-local folder:
 ``checkpoint_root`` raises when the setting is missing, and only
 ``ensure_checkpoint_root`` (used by tests, bench and the driver entry) sets a
 fallback, and only when nothing is configured.
