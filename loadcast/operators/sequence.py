@@ -91,11 +91,17 @@ def sized_sequence(
     (a plain Parquet scan, whose size Spark knows exactly), for the exchange
     that follows."""
     spark = df.sparkSession
-    keys = [*series_keys, *order_cols]
     n = num_partitions or target_partitions(df)
-    ranged = df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
-    tagged = ranged.sortWithinPartitions(*keys).withColumn(
-        "_mid", F.monotonically_increasing_id()
+    # A last, unique tie-break: rows equal in every column would otherwise share
+    # one sort key, which the range partitioner cannot split (a hot duplicate).
+    # Such rows are interchangeable, so the numbering's results do not change.
+    salted = df.withColumn("_salt", F.monotonically_increasing_id())
+    keys = [*series_keys, *order_cols, "_salt"]
+    ranged = salted.repartitionByRange(n, *keys) if n else salted.repartitionByRange(*keys)
+    tagged = (
+        ranged.sortWithinPartitions(*keys)
+        .withColumn("_mid", F.monotonically_increasing_id())
+        .drop("_salt")
     )
     path = scratch_path(spark, "sequence")
     tagged.write.parquet(path)

@@ -125,3 +125,25 @@ def test_scratch_scope_removes_numbering_tables(spark):
         assert created and all(os.path.exists(local_path(p)) for p in created)
     assert n == 1000
     assert not any(os.path.exists(local_path(p)) for p in created)
+
+
+def test_identical_duplicate_rows_are_split_across_partitions(spark):
+    """A third of the rows identical in every column still spread over several range partitions."""
+    rows = [(0, 1.0)] * 3000 + [(i, float(i % 7)) for i in range(1, 6001)]
+    df = spark.createDataFrame(rows, "t long, v double")
+    def parts_of_duplicates(frame):
+        return frame.where("t = 0").select(F.spark_partition_id().alias("p")).distinct().count()
+
+    assert parts_of_duplicates(df.repartitionByRange(8, "t", "v")) == 1  # why the salt is needed
+    salted = df.withColumn("_salt", F.monotonically_increasing_id()).repartitionByRange(8, "t", "v", "_salt")
+    assert parts_of_duplicates(salted) >= 2
+    seq = with_sequence(df, ["t", "v"], num_partitions=8)
+    assert sorted(r.rn for r in seq.select("rn").collect()) == list(range(9000))
+
+    def rows_of(frame):
+        cols = ["t", "v", "lag_1", "lag_3", "ma_4"]
+        return sorted((tuple(r[c] for c in cols) for r in frame.collect()), key=lambda t: tuple((x is None, x or 0) for x in t))
+
+    out = lag_profile(df, "v", order=("t", "v"), lags=(1, 3), ma_rows=4, block=512)
+    glob = lag_profile(df, "v", order=("t", "v"), lags=(1, 3), ma_rows=4, method="global")
+    assert rows_of(out) == rows_of(glob)
