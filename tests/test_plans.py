@@ -60,3 +60,17 @@ def test_export_is_top_k(spark):
     ev = AD.read_table(spark, SF01, "events")
     preds = FC.seasonal_predictions(final_features(AD.load_series(ev), AD.weather_series(ev)))
     assert "TakeOrderedAndProject" in explain(KV.export_latest(preds, 24))
+
+
+def test_many_series_plan_has_no_single_partition_exchange(spark):
+    ev = AD.event_series(AD.read_table(spark, SF01, "events"))
+    df = lag_profile(ev, order=("ts", "event_id"), series_keys=("user_id",), block=8192)
+    assert _single_partition_inputs(explain(df)) == []
+
+
+def test_no_python_evaluation_in_any_catalogue_plan(spark):
+    import __spark_entry__ as E
+
+    for name in ("final_features", "halo_lag_events", "kv_current", "serve_combined", "forecast_inputs"):
+        text = explain(E.queries()[name](spark, SF01))
+        assert not re.search(r"(BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas)", text), name
