@@ -398,9 +398,7 @@ def _run_stream(spark, sf_dir, messages_fn, schema, key, cells):
     parsed = IN.parse_readings(messages_fn(src), schema, key)
     log_path = scratch_path(spark, "kv-log")
     q = IN.start_ingest(parsed, log_path, scratch_path(spark, "stream-ckpt"), cells, trigger={"availableNow": True})
-    q.awaitTermination(600)
-    if q.exception() is not None:
-        raise q.exception()
+    IN.run_for(q, 600)
     return KV.kv_current(KV.kv_read_log(spark, log_path), "key", (KV.BATCH, "seq"), cells)
 
 
