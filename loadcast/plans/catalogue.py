@@ -546,3 +546,24 @@ def q_lag_features_by_user(spark, sf_dir):
         "user_id", KEY, "mw", "TEMP", "load_lag_1h", "load_lag_24h", "load_lag_7d",
         "temp_lag_2h", "temp_change_24h", "load_ma_7d",
     )
+
+
+@register(
+    "assembler_split_rows",
+    _SPLIT_SQL
+    + f"""
+SELECT count(*) FILTER (WHERE _rn < (SELECT c FROM cut) AND {_NOT_NULL_19}) AS train_rows_assembled,
+       count(*) FILTER (WHERE _rn >= (SELECT c FROM cut) AND {_NOT_NULL_19}) AS test_rows_assembled,
+       CAST(19 AS INTEGER) AS n_features
+FROM numbered""",
+)
+def q_assembler_split_rows(spark, sf_dir):
+    """M1 on the split: rows the model trains and is scored on, and the feature count."""
+    train, test = _split(spark, sf_dir)
+    feats = ML.feature_columns(train.drop("mw"))
+    both = train.withColumn("_test", F.lit(False)).unionByName(test.withColumn("_test", F.lit(True)))
+    return ML.assembled_rows(both, feats).agg(
+        F.count_if(~F.col("_test")).alias("train_rows_assembled"),
+        F.count_if(F.col("_test")).alias("test_rows_assembled"),
+        F.lit(len(feats)).alias("n_features"),
+    )
