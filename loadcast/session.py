@@ -10,9 +10,11 @@ fallback, and only when nothing is configured.
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import os
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -79,6 +81,9 @@ def ensure_checkpoint_root(spark: SparkSession) -> str:
 
 
 _SCOPES: list[list[str]] = []
+_CREATED: list[str] = []
+# Remove this process's own scratch folders when it exits (nothing else under the root).
+CLEANUP_AT_EXIT = True
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -87,9 +92,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     path = f"{root}/loadcast/{label}-{uuid.uuid4().hex}"
     if _SCOPES:
         _SCOPES[-1].append(path)
+    if not _CREATED:
+        atexit.register(_cleanup_at_exit)
+    _CREATED.append(path)
     return path
 
 
+def _cleanup_at_exit() -> None:
+    if not CLEANUP_AT_EXIT:
+        return
+    spark = SparkSession.getActiveSession()
+    for path in reversed(_CREATED):
+        try:
+            if spark is not None:
+                drop_path(spark, path)
+            elif path.startswith("file:") or path.startswith("/"):
+                shutil.rmtree(local_path(path), ignore_errors=True)
+        except Exception:  # the JVM may already be gone; local paths are handled above
+            if path.startswith("file:") or path.startswith("/"):
+                shutil.rmtree(local_path(path), ignore_errors=True)
+
+
 def drop_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` through the Hadoop FileSystem of its scheme."""
     jvm = spark.sparkContext._jvm
