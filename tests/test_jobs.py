@@ -41,3 +41,17 @@ def test_batch_layer_end_to_end(spark, scratch):
 
     assert J.run_prediction(spark, scratch + "/no-model", load_t, weather_t) is None
     assert not os.path.exists(scratch + "/no-model")
+
+
+def test_clean_weather_file_quarantine(spark, scratch):
+    raw = scratch + "/raw"
+    os.makedirs(raw)
+    with open(raw + "/part.csv", "w") as f:
+        f.write("YEAR,MO,DY,HR,TEMP,PRCP,HMDT,WND_SPD,ATM_PRESS\n2021,4,1,0,1,0,1,1,1\n2021,2,30,1,1,0,1,1,1\n")
+    assert J.clean_weather_file(spark, raw, scratch + "/clean", on_error="quarantine") == 1
+    assert spark.read.option("header", True).csv(scratch + "/clean_rejected").count() == 1
+    import pytest
+
+    with pytest.raises(Exception):
+        J.clean_weather_file(spark, raw, scratch + "/strict")
+    assert not os.path.exists(scratch + "/strict/_SUCCESS")  # all or nothing
