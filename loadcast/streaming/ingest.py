@@ -92,14 +92,21 @@ def weather_cells() -> list[str]:
 # ---------------------------------------------------------------- the sink
 
 
-def batch_writer(log_path: str, cells: Sequence[str], seq: str = "seq", reject_path: str | None = None):
+def batch_writer(
+    log_path: str,
+    cells: Sequence[str],
+    seq: str = "seq",
+    reject_path: str | None = None,
+    metrics_path: str | None = None,
+):
     """foreachBatch callable: write accepted rows of the micro-batch into the log.
 
     Rejected rows (empty key) are counted with ``observe``; with
     ``reject_path`` they are also written aside as ``<reject_path>/batch_id=N``.
     Then the batch (bounded by the trigger's offset cap) is persisted so both
     writes read one evaluation.  A failing write raises, the batch is not
-    committed, and the stream retries it on restart.
+    committed, and the stream retries it on restart.  With ``metrics_path``
+    the batch's counts are kept as one row in ``<metrics_path>/batch_id=N``.
     """
     keep = ["key", seq, *cells]
 
@@ -118,6 +125,12 @@ def batch_writer(log_path: str, cells: Sequence[str], seq: str = "seq", reject_p
                 kv_write_batch(src.where(F.col("rejected")).drop("rejected"), reject_path, batch_id)
             m = obs.get
             log.info("batch %s: %s rows, %s rejected", batch_id, m.get("rows"), m.get("rejected"))
+            if metrics_path:
+                rows, rejected = int(m.get("rows", 0)), int(m.get("rejected", 0))
+                one = src.sparkSession.createDataFrame(
+                    [(rows, rejected, rows - rejected)], "rows long, rejected long, written long"
+                )
+                kv_write_batch(one, metrics_path, batch_id)
         finally:
             if reject_path:
                 src.unpersist()
@@ -133,6 +146,7 @@ def start_ingest(
     trigger: dict | None = None,
     seq: str = "seq",
     reject_path: str | None = None,
+    metrics_path: str | None = None,
 ) -> StreamingQuery:
     """Start the stream: every trigger appends one batch folder to ``log_path``.
 
@@ -141,7 +155,7 @@ def start_ingest(
     """
     trig = {"processingTime": "10 seconds"} if trigger is None else trigger
     return (
-        parsed.writeStream.foreachBatch(batch_writer(log_path, cells, seq, reject_path))
+        parsed.writeStream.foreachBatch(batch_writer(log_path, cells, seq, reject_path, metrics_path))
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**trig)

@@ -132,7 +132,8 @@ def test_stream_restart_and_replay(spark, scratch):
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
         parsed = IN.parse_readings(stream, IN.LOAD_SCHEMA, "timestamp")
         q = IN.start_ingest(
-            parsed, log_path, ckpt, IN.load_cells(), trigger={"availableNow": True}, reject_path=scratch + "/rej"
+            parsed, log_path, ckpt, IN.load_cells(), trigger={"availableNow": True},
+            reject_path=scratch + "/rej", metrics_path=scratch + "/metrics",
         )
         IN.run_for(q, 120)
 
@@ -148,6 +149,8 @@ def test_stream_restart_and_replay(spark, scratch):
     assert len(cur) == 1 and cur[0].current_reading == 1.0 and cur[0].seq == 2  # empty key rejected
     rej = spark.read.parquet(scratch + "/rej").collect()
     assert [(r.seq, r.batch_id) for r in rej] == [(3, 1)]
+    metrics = sorted(tuple(r) for r in spark.read.parquet(scratch + "/metrics").select("batch_id", "rows", "rejected", "written").collect())
+    assert metrics == [(0, 1, 0, 1), (1, 2, 1, 1)]
 
 
 def test_kafka_source_is_declared():
