@@ -9,7 +9,8 @@ Commands mirror the batch, speed and serving layers:
   train           FEATURES_PARQUET MODEL_PATH [--grid reference|quick] [--folds 3]
   predict         MODEL_PATH LOAD_PARQUET WEATHER_PARQUET PREDICTIONS [--run-id ID] [--start TS] [--hours 24]
   export          PREDICTIONS OUT [--n 24]
-  ingest          load|weather SOURCE LOG CHECKPOINT [--kafka SERVERS] [--topic T] [--available-now] [--timeout S]
+  ingest          load|weather SOURCE LOG CHECKPOINT [--kafka SERVERS] [--topic T] [--available-now]
+                  [--timeout S] [--reject-path P] [--metrics-path P]
   combined        DATE PREDICTIONS_KV LOAD_LOG WEATHER_LOG [--dashboard]
 """
 
@@ -83,6 +84,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     c.add_argument("--available-now", action="store_true")
     c.add_argument("--timeout", type=float)
     c.add_argument("--reject-path")
+    c.add_argument("--metrics-path")
 
     c = sub.add_parser("combined")
     for a in ("date", "predictions_kv", "load_log", "weather_log"):
@@ -130,7 +132,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         else:
             src = IN.file_message_stream(spark, args.source, "value string, seq long", max_files=100)
         trigger = {"availableNow": True} if args.available_now else None
-        q = IN.start_ingest(IN.parse_readings(src, schema, key), args.log, args.checkpoint, cells, trigger, reject_path=args.reject_path)
+        q = IN.start_ingest(
+            IN.parse_readings(src, schema, key), args.log, args.checkpoint, cells, trigger,
+            reject_path=args.reject_path, metrics_path=args.metrics_path,
+        )
         IN.run_for(q, args.timeout)
     elif args.cmd == "combined":
         cells_load, cells_weather = IN.load_cells(), IN.weather_cells()

@@ -31,7 +31,8 @@ def test_cli_batch_stream_and_serving(spark, scratch, capsys):
     day = str(spark.read.parquet(s + "/pred_kv").agg({"dt": "min"}).first()[0])
     msgs = [(json.dumps({"timestamp": f"{day} {h:02d}:00:00", "current_reading": 100.0 + h}), h) for h in range(24)]
     pq.write_table(pa.table({"value": [m for m, _ in msgs], "seq": [q for _, q in msgs]}), src + "/a.parquet")
-    assert main(["ingest", "load", src, s + "/load_log", s + "/ckpt_l", "--available-now"], spark) == 0
+    assert main(["ingest", "load", src, s + "/load_log", s + "/ckpt_l", "--available-now", "--metrics-path", s + "/m"], spark) == 0
+    assert spark.read.parquet(s + "/m").first().written == 24
     wmsgs = [json.dumps({"datetime_ept": f"{day} {h:02d}:00:00", "temp": 1.5, "hmdt": 40.0}) for h in range(24)]
     os.makedirs(s + "/wsrc")
     pq.write_table(pa.table({"value": wmsgs, "seq": list(range(24))}), s + "/wsrc/w.parquet")
