@@ -50,3 +50,18 @@ def test_results_do_not_depend_on_session_zone(spark):
             assert res["values_equal"] and res["types_equal"], (name, res)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@pytest.mark.parametrize(
+    "sf,load_rows,weather_rows,final_rows,temp_null",
+    [("0.001", 531, 173, 363, 255), ("0.01", 720, 672, 552, 37), ("0.1", 720, 714, 552, 5)],
+)
+def test_counts_match_fixtures_table(spark, sf, load_rows, weather_rows, final_rows, temp_null):
+    """The measured table in FIXTURES.md section 2."""
+    from loadcast.sources.adapters import load_series, read_table, weather_series
+
+    d = f"/root/testdata/sf{sf}"
+    ev = read_table(spark, d, "events")
+    ff = E.queries()["final_features"](spark, d)
+    assert load_series(ev).count() == load_rows and weather_series(ev).count() == weather_rows
+    assert ff.count() == final_rows and ff.where("TEMP IS NULL").count() == temp_null
