@@ -567,3 +567,15 @@ def q_assembler_split_rows(spark, sf_dir):
         F.count_if(F.col("_test")).alias("test_rows_assembled"),
         F.lit(len(feats)).alias("n_features"),
     )
+
+
+@register("stream_load_stateful", O.with_ctes(O.LOAD_MSG_CTE) + " SELECT * FROM load_kv")
+def q_stream_load_stateful(spark, sf_dir):
+    """K7 as streaming state: the current row per key kept by a streaming aggregation."""
+    events_schema = AD.read_table(spark, sf_dir, "events").schema
+    src = IN.file_message_stream(spark, f"{sf_dir.rstrip('/')}/events*.parquet", events_schema, max_files=100)
+    parsed = IN.parse_readings(IN.load_messages(src), IN.LOAD_SCHEMA, "timestamp")
+    out = scratch_path(spark, "kv-current")
+    q = IN.start_current_view(parsed, out, scratch_path(spark, "state-ckpt"), IN.load_cells(), trigger={"availableNow": True})
+    IN.run_for(q, 600)
+    return IN.read_current_view(spark, out, IN.load_cells())

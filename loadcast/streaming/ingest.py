@@ -163,6 +163,52 @@ def start_ingest(
     )
 
 
+def start_current_view(
+    parsed: DataFrame,
+    out_path: str,
+    checkpoint: str,
+    cells: Sequence[str],
+    trigger: dict | None = None,
+    seq: str = "seq",
+) -> StreamingQuery:
+    """Stateful alternative to the raw log: keep the current row per key in state.
+
+    A streaming aggregation (update mode) holds, per key, each cell's latest
+    non-null value ordered by (batch time, ``seq``) -- last arrival wins, as
+    in the log merge.  Each micro-batch writes only the keys it changed, as
+    ``<out_path>/batch_id=N`` (overwrite: replay-safe); ``read_current_view``
+    takes each key's row from its latest batch.  State is one row per key.
+    """
+    # The batch time is projected first: aggregates take only deterministic arguments.
+    order = F.struct(F.col("_bt"), F.col(seq).alias("_seq"))
+    accepted = parsed.where(~F.col("rejected")).withColumn("_bt", F.current_timestamp())
+    current = accepted.groupBy("key").agg(
+        F.max(order).alias("_ord"),
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in cells],
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kv_write_batch(batch.select("key", F.col("_ord._seq").alias(seq), *cells), out_path, batch_id)
+
+    trig = {"processingTime": "10 seconds"} if trigger is None else trigger
+    return (
+        current.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trig)
+        .start()
+    )
+
+
+def read_current_view(spark: SparkSession, out_path: str, cells: Sequence[str], seq: str = "seq") -> DataFrame:
+    """Each key's row from the latest batch that changed it."""
+    from loadcast.operators.kv import BATCH
+
+    rows = spark.read.parquet(out_path)
+    latest = F.max_by(F.struct(F.col(seq), *[F.col(c) for c in cells]), F.col(BATCH)).alias("_r")
+    return rows.groupBy("key").agg(latest).select("key", F.col(f"_r.{seq}").alias(seq), *[F.col(f"_r.{c}").alias(c) for c in cells])
+
+
 def run_for(query: StreamingQuery, timeout_s: float | None = None) -> None:
     """Wait until the stream ends or ``timeout_s`` passes, then stop it cleanly."""
     try:

@@ -244,3 +244,32 @@ def test_cells_round_trip_to_typed_rows(spark):
     assert back["j"].p is None and back["j"].v == 2.0
     cur = {r.key: r for r in KV.kv_current(df, "key", ("seq",), ["v", "p"]).collect()}
     assert {k: (r.v, r.p) for k, r in cur.items()} == {k: (r.v, r.p) for k, r in back.items()}
+
+
+def test_stateful_current_view_equals_log_merge(spark, scratch):
+    src = scratch + "/in"
+    os.makedirs(src)
+    rows_a = [({"timestamp": "2024-01-01 00:00:00", "current_reading": 1.0}, 1), ({"timestamp": "2024-01-01 01:00:00", "current_reading": 5.0}, 2)]
+    rows_b = [({"timestamp": "2024-01-01 00:00:00"}, 3), ({"timestamp": "2024-01-01 01:00:00", "current_reading": 6.0}, 4), ({"timestamp": "", "current_reading": 9.0}, 5)]
+    _write_events(src + "/a.parquet", rows_a)
+    schema = "value string, seq long"
+
+    def run(kind):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        parsed = IN.parse_readings(stream, IN.LOAD_SCHEMA, "timestamp")
+        trig = {"availableNow": True}
+        if kind == "state":
+            q = IN.start_current_view(parsed, scratch + "/cur", scratch + "/ck_state", IN.load_cells(), trigger=trig)
+        else:
+            q = IN.start_ingest(parsed, scratch + "/log", scratch + "/ck_log", IN.load_cells(), trigger=trig)
+        IN.run_for(q, 120)
+
+    run("state"); run("log")
+    _write_events(src + "/b.parquet", rows_b)
+    run("state"); run("log")  # restart: state restored from the checkpoint
+    state = {r.key: (r.seq, r.current_reading) for r in IN.read_current_view(spark, scratch + "/cur", IN.load_cells()).collect()}
+    log = {
+        r.key: (r.seq, r.current_reading)
+        for r in KV.kv_current(KV.kv_read_log(spark, scratch + "/log"), "key", ("batch_id", "seq"), IN.load_cells()).collect()
+    }
+    assert state == log == {"2024-01-01 00:00:00": (3, 1.0), "2024-01-01 01:00:00": (4, 6.0)}
