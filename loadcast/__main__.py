@@ -10,8 +10,8 @@ Commands mirror the batch, speed and serving layers:
   predict         MODEL_PATH LOAD_PARQUET WEATHER_PARQUET PREDICTIONS [--run-id ID] [--start TS] [--hours 24]
   export          PREDICTIONS OUT [--n 24]
   ingest          load|weather SOURCE LOG CHECKPOINT [--kafka SERVERS] [--topic T] [--available-now]
-                  [--timeout S] [--reject-path P] [--metrics-path P]
-  combined        DATE PREDICTIONS_KV LOAD_LOG WEATHER_LOG [--dashboard]
+                  [--timeout S] [--reject-path P] [--metrics-path P] [--stateful]
+  combined        DATE PREDICTIONS_KV LOAD_LOG WEATHER_LOG [--dashboard] [--views]
 """
 
 from __future__ import annotations
@@ -85,11 +85,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     c.add_argument("--timeout", type=float)
     c.add_argument("--reject-path")
     c.add_argument("--metrics-path")
+    c.add_argument("--stateful", action="store_true", help="keep the current row per key in streaming state")
 
     c = sub.add_parser("combined")
     for a in ("date", "predictions_kv", "load_log", "weather_log"):
         c.add_argument(a)
     c.add_argument("--dashboard", action="store_true")
+    c.add_argument("--views", action="store_true", help="LOAD_LOG / WEATHER_LOG are stateful current views")
 
     args = p.parse_args(argv)
     spark = spark or _session()
@@ -132,15 +134,23 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         else:
             src = IN.file_message_stream(spark, args.source, "value string, seq long", max_files=100)
         trigger = {"availableNow": True} if args.available_now else None
-        q = IN.start_ingest(
-            IN.parse_readings(src, schema, key), args.log, args.checkpoint, cells, trigger,
-            reject_path=args.reject_path, metrics_path=args.metrics_path,
-        )
+        parsed = IN.parse_readings(src, schema, key)
+        if args.stateful:
+            q = IN.start_current_view(parsed, args.log, args.checkpoint, cells, trigger)
+        else:
+            q = IN.start_ingest(
+                parsed, args.log, args.checkpoint, cells, trigger,
+                reject_path=args.reject_path, metrics_path=args.metrics_path,
+            )
         IN.run_for(q, args.timeout)
     elif args.cmd == "combined":
         cells_load, cells_weather = IN.load_cells(), IN.weather_cells()
-        load_kv = KV.kv_current(KV.kv_read_log(spark, args.load_log), "key", (KV.BATCH, "seq"), cells_load)
-        weather_kv = KV.kv_current(KV.kv_read_log(spark, args.weather_log), "key", (KV.BATCH, "seq"), cells_weather)
+        if args.views:
+            load_kv = IN.read_current_view(spark, args.load_log, cells_load)
+            weather_kv = IN.read_current_view(spark, args.weather_log, cells_weather)
+        else:
+            load_kv = KV.kv_current(KV.kv_read_log(spark, args.load_log), "key", (KV.BATCH, "seq"), cells_load)
+            weather_kv = KV.kv_current(KV.kv_read_log(spark, args.weather_log), "key", (KV.BATCH, "seq"), cells_weather)
         preds = spark.read.parquet(args.predictions_kv)
         if "dt" in preds.columns:  # written by `export`: prune to the one day folder
             preds = preds.where(preds["dt"] == args.date)

@@ -41,3 +41,10 @@ def test_cli_batch_stream_and_serving(spark, scratch, capsys):
     assert main(["combined", day, s + "/pred_kv", s + "/load_log", s + "/weather_log", "--dashboard"], spark) == 0
     table = capsys.readouterr().out
     assert "N/A" not in table.split("\n", 3)[3] and "1.50" in table
+
+    # the same through the stateful speed layer
+    assert main(["ingest", "load", src, s + "/load_view", s + "/ckpt_lv", "--available-now", "--stateful"], spark) == 0
+    assert main(["ingest", "weather", s + "/wsrc", s + "/weather_view", s + "/ckpt_wv", "--available-now", "--stateful"], spark) == 0
+    capsys.readouterr()
+    assert main(["combined", day, s + "/pred_kv", s + "/load_view", s + "/weather_view", "--dashboard", "--views"], spark) == 0
+    assert capsys.readouterr().out == table
