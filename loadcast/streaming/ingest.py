@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loadcast.functions.calendar import hour_floor
 from loadcast.functions.timekeys import DEFAULT_ZONE, epoch_millis, format_key, parse_key
-from loadcast.operators.kv import kv_write_batch
+from loadcast.operators.kv import BATCH, kv_write_batch
 from loadcast.schemas import KEY, LOAD_MESSAGE, STREAM_WEATHER_MEASURES, WEATHER_MESSAGE
 
 log = logging.getLogger(__name__)
@@ -202,8 +202,6 @@ def start_current_view(
 
 def read_current_view(spark: SparkSession, out_path: str, cells: Sequence[str], seq: str = "seq") -> DataFrame:
     """Each key's row from the latest batch that changed it."""
-    from loadcast.operators.kv import BATCH
-
     rows = spark.read.parquet(out_path)
     latest = F.max_by(F.struct(F.col(seq), *[F.col(c) for c in cells]), F.col(BATCH)).alias("_r")
     return rows.groupBy("key").agg(latest).select("key", F.col(f"_r.{seq}").alias(seq), *[F.col(f"_r.{c}").alias(c) for c in cells])
