@@ -155,7 +155,8 @@ def cluster_conf(total_cores: int, advisory_mb: int = 256, file_split_mb: int =
     * ``file_split_mb`` per scan task keeps the task count of a 100 TB scan
       near 200k instead of 800k at the 128 MB default;
     * skew join splitting on, broadcast joins only below Spark's measured
-      threshold (AQE uses runtime sizes, not estimates).
+      threshold (AQE uses runtime sizes, not estimates);
+    * RocksDB state store for the stateful speed layer.
     """
     return {
         "spark.sql.shuffle.partitions": str(max(200, 3 * int(total_cores))),
@@ -167,6 +168,10 @@ def cluster_conf(total_cores: int, advisory_mb: int = 256, file_split_mb: int =
         "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # Streaming state (the stateful current view) off the JVM heap, checkpointed incrementally.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
 
 
