@@ -164,7 +164,7 @@ def _roundtrip(spark, df, schema, label):
     typed = FI.read_series_csv(spark, csv_path, schema, on_error="raise")
     FI.write_series_parquet(typed, pq_path)
     name = f"{label}_data_{uuid.uuid4().hex[:8]}"
-    return FI.external_table(spark, name, pq_path, schema)
+    return FI.external_table(spark, name, pq_path, schema, temporary=True)
 
 
 @register("csv_parquet_load", O.with_ctes(O.LOAD_CTE) + " SELECT * FROM load_data")

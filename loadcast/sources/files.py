@@ -115,10 +115,19 @@ def write_series_parquet(df: DataFrame, path: str, mode: str = "errorifexists")
     return int(obs.get["n"])
 
 
-def external_table(spark: SparkSession, name: str, path: str, schema: T.StructType) -> DataFrame:
-    """Declare a Parquet table over an existing folder (no data moved)."""
+def external_table(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, temporary: bool = False
+) -> DataFrame:
+    """Declare a Parquet table over an existing folder (no data moved).
+
+    ``temporary=True`` declares a session-scoped view instead, leaving no
+    entry in a shared metastore.
+    """
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING PARQUET LOCATION '{path}'")
+    if temporary:
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} ({cols}) USING PARQUET OPTIONS (path '{path}')")
+    else:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING PARQUET LOCATION '{path}'")
     return spark.table(name)
 
 
