@@ -5,7 +5,9 @@ training, so as checked in it cannot score.  Here the forecast frame is the
 tail of the real history plus ``hours`` future hours, run through the same
 calendar/weather/window feature functions, with what is unknown filled:
 
-* ``load_lag_1h`` = lag 1, else lag 25 (the hour before, one day earlier);
+* ``load_lag_1h`` = lag 1, else lag 25 (the hour before, one day earlier), and
+  so on a day at a time for longer horizons; ``load_lag_24h`` / ``load_lag_7d``
+  likewise step back whole days / weeks beyond 24 / 168 hours ahead;
 * ``TEMP`` = own value, else the value 24 rows back, else the last known;
   ``temp_lag_2h`` and ``temp_change_24h`` are then taken from filled TEMP;
 * other weather measures take fixed defaults;
@@ -58,7 +60,8 @@ def forecast_inputs(
     """
     defaults = FORECAST_WEATHER_DEFAULTS if defaults is None else defaults
     exprs, reach = window_feature_exprs(True, avg_scale)
-    history_rows = history_rows or (reach + hours + 2)
+    days, weeks = -(-hours // 24), -(-hours // 168)
+    history_rows = history_rows or (168 * weeks + hours + 2)
     tail = history_tail(joined, history_rows).withColumn("_future", F.lit(False))
 
     # One row (the last known hour) drives the grid of future hours.
@@ -87,9 +90,22 @@ def forecast_inputs(
         filled = filled.withColumn(m, F.coalesce(F.col(m), F.lit(float(v))))
 
     feats = weather_features(time_features(filled))
+    # Seasonal persistence for lags that point into the unknown future: step back a
+    # day (or a week) at a time until a known hour is reached.  Up to 24 hours
+    # ahead only the first fallback of load_lag_1h is ever used.
     lag1 = next(k for name, c, k in LAG_FEATURES if name == "load_lag_1h")
-    exprs["load_lag_1h"] = lambda w_, k=lag1: F.coalesce(F.lag("mw", k).over(w_), F.lag("mw", k + 24).over(w_))
+
+    def chain(first: int, step: int, n: int):
+        return lambda w_: F.coalesce(*[F.lag("mw", first + step * j).over(w_) for j in range(n + 1)])
+
+    exprs["load_lag_1h"] = chain(lag1, 24, days)
+    exprs["load_lag_24h"] = chain(24, 24, days - 1) if days > 1 else exprs["load_lag_24h"]
+    exprs["load_lag_7d"] = chain(168, 168, weeks - 1) if weeks > 1 else exprs["load_lag_7d"]
     out = global_windows(feats, exprs, ["ts", "_future"])
+    if hours > 168:
+        # Beyond a week the 7-day window holds only unknown hours: keep the last known average.
+        upto_f = Window.orderBy("ts", "_future").rowsBetween(Window.unboundedPreceding, 0)
+        out = out.withColumn("load_ma_7d", F.last("load_ma_7d", ignorenulls=True).over(upto_f))
     return out.where(F.col("_future")).drop("_future")
 
 

@@ -147,3 +147,13 @@ def test_sequence_of_empty_input(spark):
 
     empty = spark.read.parquet(SF01 + "/events.parquet").where("event_id < 0")
     assert with_sequence(empty, ["ts", "event_id"]).count() == 0
+
+
+def test_forecast_longer_horizons_have_every_feature(spark):
+    ev = AD.read_table(spark, SF01, "events")
+    joined = join_raw(AD.load_series(ev), AD.weather_series(ev))
+    for hours in (72, 200):
+        inputs = FC.forecast_inputs(joined, hours=hours)
+        feats = ML.feature_columns(inputs.drop("mw"))
+        assert inputs.count() == hours
+        assert inputs.dropna(subset=feats).count() == hours, hours
