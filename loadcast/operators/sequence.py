@@ -34,6 +34,16 @@ _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
 
 DEFAULT_BLOCK = 16384
 
+# Helper columns these operators add and drop again; an input must not carry them.
+_RESERVED_SEQ = {"_salt", "_mid", "_pid", "_loc", "_opid", "_first", "_off", "_n"}
+_RESERVED_HALO = {"_blk", "_home"}
+
+
+def _check_reserved(df: DataFrame, reserved: set[str]) -> None:
+    clash = reserved.intersection(df.columns)
+    if clash:
+        raise ValueError(f"input columns {sorted(clash)} are reserved by the operator; rename them")
+
 
 def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(n) if isinstance(n, str) else n for n in names]
@@ -90,6 +100,7 @@ def sized_sequence(
     """``with_sequence`` plus a partition count sized from the written table
     (a plain Parquet scan, whose size Spark knows exactly), for the exchange
     that follows."""
+    _check_reserved(df, _RESERVED_SEQ)
     spark = df.sparkSession
     n = num_partitions or target_partitions(df)
     # A last, unique tie-break: rows equal in every column would otherwise share
@@ -159,6 +170,7 @@ def halo_windows(
     """
     if block < max(reach, 1):
         raise ValueError(f"block ({block}) must be at least reach ({reach})")
+    _check_reserved(seq, _RESERVED_HALO)
     rn = F.col(rn_col)
     blk = F.expr(f"`{rn_col}` div {int(block)}")
     in_tail = (rn % F.lit(block)) >= F.lit(block - reach) if reach > 0 else F.lit(False)

@@ -147,3 +147,11 @@ def test_identical_duplicate_rows_are_split_across_partitions(spark):
     out = lag_profile(df, "v", order=("t", "v"), lags=(1, 3), ma_rows=4, block=512)
     glob = lag_profile(df, "v", order=("t", "v"), lags=(1, 3), ma_rows=4, method="global")
     assert rows_of(out) == rows_of(glob)
+
+
+def test_reserved_helper_columns_are_rejected(spark):
+    import pytest
+
+    df = _frame(spark, 10, 1, False, 2).withColumnRenamed("v", "_mid")
+    with pytest.raises(ValueError, match="reserved"):
+        with_sequence(df, ["t", "id"])
