@@ -9,7 +9,6 @@ import json
 import os
 import subprocess
 import sys
-import tempfile
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -44,10 +43,11 @@ print(json.dumps({"equal": a == b, "rows": len(a)}))
 """
 
 
-def test_numbering_survives_task_retries():
-    with tempfile.NamedTemporaryFile("w", suffix=".py", delete=False, dir=tempfile.gettempdir()) as f:
+def test_numbering_survives_task_retries(scratch):
+    os.makedirs(scratch, exist_ok=True)
+    path = os.path.join(scratch, "fault_job.py")
+    with open(path, "w") as f:
         f.write(f"ROOT = {ROOT!r}\n" + SCRIPT)
-        path = f.name
     out = subprocess.run([sys.executable, path], capture_output=True, text=True, timeout=600)
     lines = [line for line in out.stdout.splitlines() if line.startswith("{")]
     assert lines, out.stderr[-2000:]
