@@ -54,13 +54,15 @@ def build_session(
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``)."""
-    d = spark.sparkContext.getCheckpointDir()
+    try:
+        d = spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext on a remote (Connect) session: use the setting
+        d = None
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
-        spark.sparkContext.setCheckpointDir(d)
-        return spark.sparkContext.getCheckpointDir() or d
+        return d
     raise RuntimeError(
         "spark.checkpoint.dir is not set; configure a shared folder for the cluster"
     )
@@ -114,10 +116,16 @@ def _cleanup_at_exit() -> None:
 
 
 def drop_path(spark: SparkSession, path: str) -> bool:
-    """Recursively delete ``path`` through the Hadoop FileSystem of its scheme."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Recursively delete ``path`` through the Hadoop FileSystem of its scheme.
+
+    Returns False when the JVM is not reachable (a remote session).
+    """
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    except Exception:
+        return False
     return bool(fs.delete(p, True))
 
 
