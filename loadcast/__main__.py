@@ -8,7 +8,7 @@ Commands mirror the batch, speed and serving layers:
   features        LOAD_PARQUET WEATHER_PARQUET TABLE PATH
   train           FEATURES_PARQUET MODEL_PATH [--grid reference|quick] [--folds 3]
   predict         MODEL_PATH LOAD_PARQUET WEATHER_PARQUET PREDICTIONS [--run-id ID] [--start TS] [--hours 24]
-  export          PREDICTIONS OUT [--n 24]
+  export          PREDICTIONS OUT [--n 24] [--batch-id N]   (an upsert: one batch per export)
   ingest          load|weather SOURCE LOG CHECKPOINT [--kafka SERVERS] [--topic T] [--available-now]
                   [--timeout S] [--reject-path P] [--metrics-path P] [--stateful]
   combined        DATE PREDICTIONS_KV LOAD_LOG WEATHER_LOG [--dashboard] [--views]
@@ -71,8 +71,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
     c = sub.add_parser("export")
     c.add_argument("predictions")
-    c.add_argument("out")
+    c.add_argument("out", help="keyed predictions log: each export is one batch (an upsert)")
     c.add_argument("--n", type=int, default=24)
+    c.add_argument("--batch-id", type=int, help="defaults to the current epoch second")
 
     c = sub.add_parser("ingest")
     c.add_argument("kind", choices=["load", "weather"])
@@ -121,8 +122,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             return 2
         print(f"prediction rows now stored: {out.count()}")
     elif args.cmd == "export":
-        KV.kv_write_by_day(J.export_predictions(spark.read.parquet(args.predictions), n=args.n), args.out, key="row_key")
-        print(f"exported to {args.out}")
+        import time
+
+        batch_id = args.batch_id if args.batch_id is not None else int(time.time())
+        latest = KV.with_day(J.export_predictions(spark.read.parquet(args.predictions), n=args.n), key="row_key")
+        KV.kv_write_batch(latest, args.out, batch_id, partition_by="dt")
+        print(f"exported batch {batch_id} to {args.out}")
     elif args.cmd == "ingest":
         schema, key, cells = (
             (IN.LOAD_SCHEMA, "timestamp", IN.load_cells())
@@ -152,8 +157,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             load_kv = KV.kv_current(KV.kv_read_log(spark, args.load_log), "key", (KV.BATCH, "seq"), cells_load)
             weather_kv = KV.kv_current(KV.kv_read_log(spark, args.weather_log), "key", (KV.BATCH, "seq"), cells_weather)
         preds = spark.read.parquet(args.predictions_kv)
-        if "dt" in preds.columns:  # written by `export`: prune to the one day folder
+        if "dt" in preds.columns:  # written by `export`: prune to the one day's folders
             preds = preds.where(preds["dt"] == args.date)
+        if KV.BATCH in preds.columns:  # an export log: the latest value per key wins
+            preds = KV.kv_current(preds, "row_key", (KV.BATCH,), ["prediction_value", "prediction_ts"])
         comb = SV.combined(preds, load_kv, weather_kv, date=args.date)
         (SV.dashboard(comb) if args.dashboard else comb).orderBy("datetime").show(48, truncate=False)
     return 0

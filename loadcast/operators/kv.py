@@ -83,9 +83,16 @@ def kv_from_cells(
     )
 
 
-def kv_write_batch(batch: DataFrame, log_path: str, batch_id: int) -> None:
-    """Write one micro-batch into the log; a replay of the same id overwrites it."""
-    batch.write.mode("overwrite").parquet(f"{log_path.rstrip('/')}/{BATCH}={int(batch_id)}")
+def kv_write_batch(batch: DataFrame, log_path: str, batch_id: int, partition_by: str | None = None) -> None:
+    """Write one batch into the log; a replay of the same id overwrites it.
+
+    ``partition_by`` (e.g. the key's day) nests a second partition level below
+    the batch folder, so range scans prune across all batches.
+    """
+    w = batch.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(f"{log_path.rstrip('/')}/{BATCH}={int(batch_id)}")
 
 
 def kv_read_log(spark: SparkSession, log_path: str) -> DataFrame:

@@ -22,7 +22,7 @@ def test_cli_batch_stream_and_serving(spark, scratch, capsys):
     assert main(["features", s + "/load_pq", s + "/weather_pq", "t_cli_features", s + "/features"], spark) == 0
     assert main(["train", s + "/features", s + "/model", "--grid", "quick", "--folds", "2"], spark) == 0
     assert main(["predict", s + "/model", s + "/load_pq", s + "/weather_pq", s + "/preds", "--run-id", "r1"], spark) == 0
-    assert main(["export", s + "/preds", s + "/pred_kv"], spark) == 0
+    assert main(["export", s + "/preds", s + "/pred_kv", "--batch-id", "1"], spark) == 0
     out = capsys.readouterr().out
     assert "load rows: 720, weather rows: 672" in out and "feature rows: 552" in out and "test RMSE" in out
 
@@ -48,3 +48,27 @@ def test_cli_batch_stream_and_serving(spark, scratch, capsys):
     capsys.readouterr()
     assert main(["combined", day, s + "/pred_kv", s + "/load_view", s + "/weather_view", "--dashboard", "--views"], spark) == 0
     assert capsys.readouterr().out == table
+
+
+def test_cli_export_is_an_upsert(spark, scratch):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from loadcast.operators import kv as KV
+
+    base = dt.datetime(2024, 3, 1)
+    rows = lambda start, value: [
+        ((base + dt.timedelta(hours=start + h)).strftime("%Y-%m-%d %H:%M:%S"), value) for h in range(24)
+    ]
+    schema = "t string, predicted_load_mw double"
+    for run, start, value in (("r1", 0, 1.0), ("r2", 12, 2.0)):
+        df = spark.createDataFrame(rows(start, value), schema).select(
+            F.col("t").cast("timestamp_ntz").alias("ts"), "predicted_load_mw", F.lit(run).alias("run_id")
+        )
+        df.write.mode("overwrite").parquet(f"{scratch}/p_{run}")
+        assert main(["export", f"{scratch}/p_{run}", scratch + "/kv", "--batch-id", run[1]], spark) == 0
+    log = spark.read.parquet(scratch + "/kv")
+    cur = {r.row_key: r.prediction_value for r in KV.kv_current(log, "row_key", ("batch_id",), ["prediction_value"]).collect()}
+    assert len(cur) == 36  # the first export's early hours survive the second export
+    assert cur["2024-03-01 00:00:00"] == 1.0 and cur["2024-03-01 12:00:00"] == 2.0
