@@ -74,3 +74,21 @@ def test_no_python_evaluation_in_any_catalogue_plan(spark):
     for name in ("final_features", "halo_lag_events", "kv_current", "serve_combined", "forecast_inputs"):
         text = explain(E.queries()[name](spark, SF01))
         assert not re.search(r"(BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas)", text), name
+
+
+def test_cluster_settings_and_size_rule(spark):
+    from loadcast.session import cluster_conf, parse_bytes, target_partitions
+
+    conf = cluster_conf(4000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 12000
+    assert parse_bytes(conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 256 << 20
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    ev = AD.read_table(spark, SF01, "events")
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+        assert target_partitions(ev) is not None  # a plain scan: the estimate is trusted
+        assert target_partitions(AD.load_series(ev)) is None  # after an aggregate: not trusted
+        assert target_partitions(final_features(AD.load_series(ev), AD.weather_series(ev))) is None
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
