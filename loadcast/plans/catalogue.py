@@ -490,7 +490,7 @@ def q_serve_combined(spark, sf_dir):
     _COMBINED_SQL
     + """
 SELECT datetime, split_part(datetime, ' ', 2) AS time,
-       printf('%.2f', predicted) AS predicted,
+       CASE WHEN predicted IS NULL THEN 'N/A' ELSE printf('%.2f', predicted) END AS predicted,
        CASE WHEN actual IS NULL THEN 'N/A' ELSE printf('%.2f', actual) END AS actual,
        CASE WHEN error IS NULL THEN 'N/A' ELSE printf('%.2f', error) END AS error,
        CASE WHEN temp IS NULL THEN 'N/A' ELSE printf('%.2f', temp) END AS temperature,

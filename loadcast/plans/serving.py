@@ -100,7 +100,7 @@ def dashboard(comb: DataFrame, zero_as_na: bool = False) -> DataFrame:
     return comb.select(
         "datetime",
         time_of_day("datetime").alias("time"),
-        F.format_string("%.2f", F.col("predicted")).alias("predicted"),
+        two_dp("predicted").alias("predicted"),  # the page shows 0 here; only null is N/A
         two_dp("actual", zero_as_na).alias("actual"),
         two_dp("error", zero_as_na).alias("error"),
         two_dp("temp", zero_as_na).alias("temperature"),
