@@ -43,6 +43,24 @@ def time_split(
     return train, test
 
 
+def time_split_with_bounds(
+    df: DataFrame, ratio: float = 0.8, order: Sequence[str] = ("ts",), tie_break: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``time_split`` plus its bounds row, computed in one pass over the numbered rows."""
+    seq = numbered(df, order, tie_break)
+    cut = split_cut(seq.count(), ratio)
+    is_train = F.col("_rn") < cut
+    ts = F.col(order[0])
+    bounds = seq.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(is_train).alias("train_rows"),
+        F.count_if(~is_train).alias("test_rows"),
+        F.max(F.when(is_train, ts)).alias("train_max_ts"),
+        F.min(F.when(~is_train, ts)).alias("test_min_ts"),
+    ).withColumn("ordered", F.coalesce(F.col("train_max_ts") <= F.col("test_min_ts"), F.lit(True)))
+    return seq.where(is_train).drop("_rn"), seq.where(~is_train).drop("_rn"), bounds
+
+
 def split_bounds(train: DataFrame, test: DataFrame, ts: str = "ts") -> DataFrame:
     """One row: sizes and the boundary timestamps, plus whether they are ordered."""
     both = train.select(F.lit("train").alias("_s"), F.col(ts)).unionByName(

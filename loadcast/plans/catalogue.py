@@ -231,8 +231,7 @@ FROM numbered""",
 )
 def q_split_bounds(spark, sf_dir):
     """A1 + A2: sizes and boundary timestamps of the split, and their order check."""
-    train, test = _split(spark, sf_dir)
-    return SP.split_bounds(train, test)
+    return SP.time_split_with_bounds(_model_frame(spark, sf_dir), ratio=0.8)[2]
 
 
 @register("split_except_all", _SPLIT_SQL + " SELECT * EXCLUDE (_rn) FROM numbered WHERE _rn >= (SELECT c FROM cut)")

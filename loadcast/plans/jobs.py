@@ -80,9 +80,11 @@ def run_model_training(
     """Split in time order, cross-validate the forest, score the hold-out, save."""
     df = features.drop(KEY) if KEY in features.columns else features
     with scratch_scope(df.sparkSession):
-        train, test = SP.time_split(df, ratio)
-        bounds = SP.assert_split_ordered(train, test)
-        bounds = df.sparkSession.createDataFrame([bounds.first()], bounds.schema)  # one row, kept past the scope
+        train, test, bounds = SP.time_split_with_bounds(df, ratio)
+        row = bounds.first()
+        if not row["ordered"]:
+            raise AssertionError(f"train ends {row['train_max_ts']} after test starts {row['test_min_ts']}")
+        bounds = df.sparkSession.createDataFrame([row], bounds.schema)  # one row, kept past the scope
         model = ML.train(train, grid=grid, folds=folds)
         rmse = ML.rmse_value(ML.score(model, test))
     if model_path:

@@ -157,3 +157,10 @@ def test_forecast_longer_horizons_have_every_feature(spark):
         feats = ML.feature_columns(inputs.drop("mw"))
         assert inputs.count() == hours
         assert inputs.dropna(subset=feats).count() == hours, hours
+
+
+def test_one_pass_bounds_equal_two_frame_bounds(feats):
+    train, test, bounds = SP.time_split_with_bounds(feats, 0.8)
+    a = bounds.first().asDict()
+    b = SP.split_bounds(train, test).first().asDict()
+    assert a == b and a["ordered"]
