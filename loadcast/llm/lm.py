@@ -35,6 +35,7 @@ from .common import Words, buffers, chunks, materialize, mix, shuffle_partitions
 
 #: Bytes of text in a group, about.
 GROUP_BYTES = 16 << 20
+LEAST_GROUP_BYTES = 2 << 20
 _SPACE = 0x20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -245,9 +246,22 @@ class Totals:
         return np.log10((count + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
 
 
+def pack_known(known: DataFrame) -> DataFrame:
+    """(g, code, n, lattice) -> (g, codes, counts, scores): one row per group and batch, values packed as 64-bit numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group, code, n, lattice = (c.to_numpy() for c in batch.columns)
+            order = np.argsort(group, kind="stable")
+            groups, first = np.unique(group[order], return_index=True)
+            columns = [[part.tobytes() for part in np.split(x[order], first[1:])] for x in (code, n, lattice)]
+            yield pa.RecordBatch.from_arrays([pa.array(groups), *(pa.array(c, pa.binary()) for c in columns)], names=["g", "codes", "counts", "scores"])
+
+    return known.select("g", "code", "n", "lattice").mapInArrow(run, "g int, codes binary, counts binary, scores binary")
+
+
 def score_groups(stream: DataFrame, totals: Totals, p_end: float) -> DataFrame:
-    """stream: (g, code, n, lattice, doc_id, held_out, text) in order of g and code, a group's words
-    (text is null, doc_id too) before its documents (code is null, sorted last)."""
+    """stream: rows of a group in order, its packed words first (is_doc false), then its documents."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, known, codes, counts, lattice = None, [], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
@@ -259,33 +273,33 @@ def score_groups(stream: DataFrame, totals: Totals, p_end: float) -> DataFrame:
                     continue
                 if group[lo] != at:
                     at, known = group[lo], []
-                    codes = np.zeros(0, np.int64)
+                    codes, counts, lattice = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
                 part = batch.slice(lo, hi - lo)
                 if not is_doc[lo]:
-                    known.append([part.column(c).to_numpy() for c in (2, 3, 4)])
+                    known.append([b"".join(part.column(c).to_pylist()) for c in (2, 3, 4)])
                     continue
                 if known:
-                    codes, counts, lattice = (np.concatenate(x) for x in zip(*known, strict=True))
+                    joined = [b"".join(x) for x in zip(*known, strict=True)]
+                    codes, counts, lattice = (np.frombuffer(x, t) for x, t in zip(joined, ("<i8", "<i8", "<f8"), strict=True))
                     order = np.argsort(codes)
                     codes, counts, lattice, known = codes[order], counts[order], lattice[order], []
                 columns: list[list] = [[], [], [], []]
                 for _, _, data, offsets in chunks(part.column(7)):
                     words = Words(_LOWER[data], offsets)
-                    place = np.searchsorted(codes, words.hashes().view(np.int64))
-                    c = counts[place] if len(place) else np.zeros(0, np.int64)
+                    place = np.searchsorted(codes, words.hashes().view(np.int64))  # every word of the group is there
+                    c = counts[place]
                     own, texts, size = words.of_text(), len(offsets) - 1, words.count()
                     columns[0].append(size + 1)
                     columns[1].append(np.bincount(own, c > 0, texts).astype(np.int64) + (totals.ends > 0))
                     columns[2].append(np.bincount(own, totals.base(c), texts) + totals.base(np.array([totals.ends])))
-                    log_words = np.bincount(own, lattice[place], texts) if len(place) else np.zeros(texts)
-                    columns[3].append((log_words + math.log(p_end)) / math.log(10))
+                    columns[3].append((np.bincount(own, lattice[place], texts) + math.log(p_end)) / math.log(10))
                 done = [np.concatenate(c) for c in columns]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(5), part.column(6), pa.array(done[0]), pa.array(done[1]), pa.array(np.full(hi - lo, totals.tokens, np.int64)), pa.array(done[2]), pa.array(done[3])],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    return stream.select("g", "is_doc", "code", "n", "lattice", "doc_id", "held_out", "text").mapInArrow(
+    return stream.select("g", "is_doc", "codes", "counts", "scores", "doc_id", "held_out", "text").mapInArrow(
         scan, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
 
@@ -316,7 +330,9 @@ def score(docs: DataFrame, held_out: Column, vocabulary: str, doc_id: str = "doc
     size = rows.agg(
         F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.count(F.when(~F.col("held_out"), 1)).alias("ends")
     ).first()
-    groups = max(1, -(-(size["bytes"] or 0) // group_bytes))
+    size_bytes = size["bytes"] or 0
+    # bounded groups, and enough of them for all tasks unless they'd be tiny
+    groups = max(1, -(-size_bytes // group_bytes), min(shuffle_partitions(spark), size_bytes // LEAST_GROUP_BYTES))
     rows = rows.withColumn("g", _group(F.col("doc_id"), F.col("text"), groups))
     parts = max(shuffle_partitions(spark), groups)
 
@@ -329,14 +345,18 @@ def score(docs: DataFrame, held_out: Column, vocabulary: str, doc_id: str = "doc
 
     pieces, p_end = reestimate(words, with_bytes(read_pieces(vocabulary)), ends)
     scored = lattice_scores(words, pieces, p_end)
-    asked = own.select("g", "code", "word").distinct()
-    known = asked.join(scored, "word").select(
-        "g", F.lit(False).alias("is_doc"), "code", "n", "lattice",
-        F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("string").alias("text"),
-    )
-    texts = rows.select(
-        "g", F.lit(True).alias("is_doc"), F.lit(0).cast("long").alias("code"), F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("lattice"),
-        "doc_id", "held_out", "text",
+    # a word that two batches of a group gave is there twice, with the same values
+    known = pack_known(own.select("g", "code", "word").join(scored, "word"))
+    none = F.lit(None)
+    stream = (
+        known.select(
+            "g", F.lit(False).alias("is_doc"), "codes", "counts", "scores",
+            none.cast("long").alias("doc_id"), none.cast("boolean").alias("held_out"), none.cast("string").alias("text"),
+        )
+        .unionByName(rows.select(
+            "g", F.lit(True).alias("is_doc"), *[none.cast("binary").alias(c) for c in ("codes", "counts", "scores")], "doc_id", "held_out", "text"
+        ))
+        .repartition(parts, "g")
+        .sortWithinPartitions("g", "is_doc")
     )
-    stream = known.unionByName(texts).repartition(parts, "g").sortWithinPartitions("g", "is_doc")
     return score_groups(stream, totals, p_end)
