@@ -37,6 +37,7 @@ from .common import Words, buffers, chunks, materialize, mix, shuffle_partitions
 GROUP_BYTES = 16 << 20
 LEAST_GROUP_BYTES = 2 << 20
 _SPACE = 0x20
+_SLOT_BITS = 21
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -77,17 +78,21 @@ class Lattice:
         codes = np.array([self._code(p) for p in pieces], dtype=np.uint64)
         if len(np.unique(codes)) < len(codes):
             raise ValueError("pieces collide")
-        # two tables; the second takes what finds its place in the first taken
-        self.tables = []
-        left = np.arange(len(pieces))
-        for bits in (21, 17):
-            slot = (mix(codes[left]) >> np.uint64(64 - bits)).astype(np.int64)
-            _, first = np.unique(slot, return_index=True)
-            key, value = np.zeros(1 << bits, dtype=np.uint64), np.full(1 << bits, -1, dtype=np.int32)
-            key[slot[first]], value[slot[first]] = codes[left[first]], left[first]
-            self.tables.append((bits, key, value))
-            left = np.delete(left, first)
-        self.rest = {int(codes[i]): int(i) for i in left}
+        self.log = np.append(self.log, -np.inf)  # index -1: no piece
+        # a large table of slots; pieces whose slot is taken mark it as shared and go to a sorted list
+        slot = self._slot(codes)
+        _, first = np.unique(slot, return_index=True)
+        self.key, self.value = np.zeros(1 << _SLOT_BITS, dtype=np.uint64), np.full(1 << _SLOT_BITS, -1, dtype=np.int32)
+        self.key[slot[first]], self.value[slot[first]] = codes[first], first
+        left = np.delete(np.arange(len(pieces), dtype=np.int32), first)
+        left = left[np.argsort(codes[left])]
+        self.shared = np.zeros(1 << _SLOT_BITS, dtype=bool)
+        self.shared[slot[left]] = True
+        self.other_key, self.other_value = codes[left], left
+
+    @staticmethod
+    def _slot(code: np.ndarray) -> np.ndarray:
+        return (mix(code) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
 
     @staticmethod
     def _code(piece: bytes) -> int:
@@ -98,14 +103,12 @@ class Lattice:
 
     def find(self, code: np.ndarray) -> np.ndarray:
         """Index of the piece with this code, or -1."""
-        place = mix(code)
-        out = np.full(len(code), -1, dtype=np.int32)
-        for bits, key, value in self.tables:
-            slot = (place >> np.uint64(64 - bits)).astype(np.int64)
-            hit = (key[slot] == code) & (value[slot] >= 0)
-            out = np.where(hit, value[slot], out)
-        for c, i in self.rest.items():
-            out[code == np.uint64(c)] = i
+        slot = self._slot(code)
+        out = np.where(self.key[slot] == code, self.value[slot], np.int32(-1))
+        at = np.flatnonzero(self.shared[slot] & (out < 0))
+        if len(at):
+            place = np.minimum(np.searchsorted(self.other_key, code[at]), len(self.other_key) - 1)
+            out[at] = np.where(self.other_key[place] == code[at], self.other_value[place], -1)
         return out
 
     def edges(self, words: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
@@ -128,7 +131,7 @@ class Lattice:
         alpha = np.full((len(words), words.shape[1] + 1), -np.inf)
         alpha[:, 0] = 0
         for e in range(1, words.shape[1] + 1):
-            terms = [alpha[:, s] + np.where(edges[s, e] >= 0, self.log[edges[s, e]], -np.inf) for s in range(max(0, e - self.longest), e) if (s, e) in edges]
+            terms = [alpha[:, s] + self.log[edges[s, e]] for s in range(max(0, e - self.longest), e) if (s, e) in edges]
             top = np.max(terms, axis=0)
             alpha[:, e] = top + np.log(np.sum([np.exp(t - top) for t in terms], axis=0))
         return alpha
@@ -141,7 +144,7 @@ class Lattice:
         beta = np.full(alpha.shape, -np.inf)
         beta[:, length] = 0
         for s in range(length - 1, -1, -1):
-            terms = [beta[:, e] + np.where(edges[s, e] >= 0, self.log[edges[s, e]], -np.inf) for e in range(s + 1, min(length, s + self.longest) + 1) if (s, e) in edges]
+            terms = [beta[:, e] + self.log[edges[s, e]] for e in range(s + 1, min(length, s + self.longest) + 1) if (s, e) in edges]
             top = np.max(terms, axis=0)
             beta[:, s] = top + np.log(np.sum([np.exp(t - top) for t in terms], axis=0))
         for (s, e), piece in edges.items():
