@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from .common import buffers
 
 #: Distinct fragments that a task remembers before it starts anew (bounds its memory, not the result).
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 _WHITE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0                　"
 
 

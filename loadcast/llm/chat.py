@@ -4,12 +4,12 @@ An event is (conv_id, seq, msg, kind, role, text).  ``msg`` is the place of a
 message in its conversation; kinds:
 
 message     a whole message: opens ``msg``, or replaces what it was
-delta       text streamed onto the end of ``msg``
-edit        new text of ``msg``; messages after it that began before the edit are dropped
+delta       text streamed onto the end of ``msg`` (which it opens, if need be)
+edit        new text of ``msg``; what later messages were until then is dropped
 regenerate  ``msg`` starts anew with this text; later messages are dropped likewise
 
-The log is partitioned by conversation and sorted by ``seq``; a window finds
-each message's last beginning and the last cut above it, and what came since is
+The log is partitioned by conversation and sorted by ``seq``; windows find the
+last cut above each message and its own last beginning, and what came since is
 put together per message, so a long conversation is folded by its messages and
 no conversation is ever one row.  Rendered messages are chunks that follow each
 other; the reader streams over them with a hash and a few counters per
@@ -82,29 +82,20 @@ def fold(events: DataFrame) -> DataFrame:
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
+    # what a message was before the last edit or regeneration of an earlier one is void
+    cut = F.when(F.col("kind").isin("edit", "regenerate"), F.col("seq"))
+    above = Window.partitionBy("conv_id").orderBy("msg").rangeBetween(Window.unboundedPreceding, -1)
+    alive = log.withColumn("cut", F.max(cut).over(above)).where(F.col("cut").isNull() | (F.col("seq") > F.col("cut")))
+    # and so is what precedes its own last beginning
     began = F.col("kind") != "delta"
-    # events of a message in order; what precedes its last beginning is void
     turn = Window.partitionBy("conv_id", "msg").orderBy("seq", "kind", "role", "text")
-    numbered = log.withColumn("version", F.sum(began.cast("int")).over(turn)).withColumn("place", F.row_number().over(turn))
-    messages = (
-        numbered.groupBy("conv_id", "msg", "version")
-        .agg(
-            F.min("seq").alias("since"),
-            F.max(F.when(F.col("kind").isin("edit", "regenerate"), F.col("seq"))).alias("cut"),
-            F.max_by("role", F.struct((F.col("role") != ""), -F.col("place"))).alias("role"),
-            F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda x: x["text"]), "").alias("text"),
-        )
-        .groupBy("conv_id", "msg")
-        .agg(
-            F.max(F.struct("version", "since", "role", "text")).alias("last"),
-            F.max("cut").alias("cut"),
-        )
+    numbered = alive.withColumn("version", F.sum(began.cast("int")).over(turn)).withColumn("place", F.row_number().over(turn))
+    versions = numbered.groupBy("conv_id", "msg", "version").agg(
+        F.max_by("role", F.struct((F.col("role") != ""), -F.col("place"))).alias("role"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda x: x["text"]), "").alias("text"),
     )
-    above = Window.partitionBy("conv_id").orderBy("msg").rowsBetween(Window.unboundedPreceding, -1)
-    alive = messages.withColumn("cut_above", F.max("cut").over(above)).where(
-        F.col("cut_above").isNull() | (F.col("last.since") > F.col("cut_above"))
-    )
-    return alive.select("conv_id", "msg", F.col("last.role").alias("role"), F.col("last.text").alias("text"))
+    last = versions.groupBy("conv_id", "msg").agg(F.max(F.struct("version", "role", "text")).alias("last"))
+    return last.select("conv_id", "msg", F.col("last.role").alias("role"), F.col("last.text").alias("text"))
 
 
 def render(messages: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from loadcast.session import scratch_path
 # The word pattern of all operators, as Java and RE2 read it.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that the numpy helpers look at together (a longer text is taken alone).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,9 +146,9 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.count())
 
     def joined(self, i: int, lo: int, hi: int) -> bytes:
-        """Words ``lo`` to ``hi`` (in text) of text i, joined by one space."""
-        a = self.first[i]
-        return b" ".join(bytes(self.data[s:e]) for s, e in zip(self.start[a + lo : a + hi], self.end[a + lo : a + hi], strict=True))
+        """Words ``lo`` to ``hi`` of text i (as many as it has), joined by one space."""
+        at = slice(self.first[i] + lo, min(self.first[i] + hi, self.first[i + 1]))
+        return b" ".join(bytes(self.data[s:e]) for s, e in zip(self.start[at], self.end[at], strict=True))
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

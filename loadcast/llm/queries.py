@@ -22,16 +22,19 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7, formatted and read back: digests per conversation."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], "conv_id long, turn long, role string, text string")
     return chat.digests(chat.format_conversations(chat.turns_as_events(turns.unionByName(extra))))
 
 
 def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best integer inner products of every fiftieth vector with all others."""
     return topk.top_k(topk.quantized(spark.read.parquet(f"{sf_dir}/embeddings.parquet")), k=5, every=50)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
     docs = documents(spark, sf_dir)
     held_out = fold(F.col("doc_id"), 4) == 2
     model = langid.train(langid.sample(docs.where(~held_out)))
@@ -39,27 +42,33 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words that 50-word windows repeat from smaller documents."""
     found = substring.remove_repeats(documents(spark, sf_dir))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-unigram base and subword-lattice score of every document."""
     return lm.score(documents(spark, sf_dir), fold(F.col("doc_id"), 5) == 1, tokenizer_file("piece_bpe_32k.model"))
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, component and number of near duplicates of every document."""
     return near.near_classes(documents(spark, sf_dir)).select("doc_id", "class_id", "rep_id", "n_links")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document."""
     return mixing.mix_report(documents(spark, sf_dir))
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids and of the decoded text of every document."""
     return bpe.round_trip(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics, and whether the weighed quality rules keep the document."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     scored = materialize(quality.with_stats(docs, stats="stats").drop("text"), "quality-stats")
     p = quality.posterior(quality.fit(scored, "stats"), "stats")
@@ -74,6 +83,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data found in every document."""
     return pii.pii_report(documents(spark, sf_dir))
 
 
