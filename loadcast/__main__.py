@@ -147,7 +147,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 parsed, args.log, args.checkpoint, cells, trigger,
                 reject_path=args.reject_path, metrics_path=args.metrics_path,
             )
-        IN.run_for(q, args.timeout)
+        IN.run_for(q, args.timeout, continuous=not args.available_now)
     elif args.cmd == "combined":
         cells_load, cells_weather = IN.load_cells(), IN.weather_cells()
         if args.views:

@@ -142,8 +142,9 @@ def save_model(model, path: str) -> None:
 
 
 def load_model(path: str) -> PipelineModel | None:
-    """Load a saved pipeline; ``None`` when nothing loadable is there."""
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # missing path or incomplete model folder
+    """Load a saved pipeline; ``None`` when the path isn't there.  A broken model raises."""
+    spark = SparkSession.getActiveSession()
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
         return None
+    return PipelineModel.load(path)

@@ -64,18 +64,6 @@ def weather_features(df: DataFrame) -> DataFrame:
     return df.select("*", *[fn().alias(name) for name, fn in WEATHER_FEATURES.items()])
 
 
-def exact_avg(col: str, w: WindowSpec, scale: int | None) -> Column:
-    """Window average over an explicit frame; with ``scale`` the sum runs in
-    DECIMAL (exact, independent of summation order).  ``scale=None`` is the
-    plain floating AVG.  Spark re-aggregates a bounded frame for every row,
-    so prefer ``moving_avg`` for long frames."""
-    if scale is None:
-        return F.avg(col).over(w)
-    s = F.sum(F.col(col).cast(f"decimal(18,{scale})")).over(w).cast("double")
-    n = F.count(col).over(w)
-    return F.when(n > 0, s / n)
-
-
 def moving_avg(col: str, lo: int, hi: int, scale: int | None):
     """Average of ``col`` over rows ``[i+lo, i+hi]`` (``lo <= hi <= 0``).
 
@@ -83,12 +71,16 @@ def moving_avg(col: str, lo: int, hi: int, scale: int | None):
     integer units of 10^-scale (and of two running counts), so each row costs
     O(1) instead of O(frame), and the result is exact: equal to the DECIMAL
     frame sum divided by the count, whatever the block layout.
-    Needs ``1 - lo`` rows of reach.
+    Needs ``1 - lo`` rows of reach.  A value with more decimals than ``scale``
+    raises; it is never rounded.  Without ``scale`` it is the plain AVG.
     """
     if scale is None:
         return lambda w: F.avg(col).over(w.rowsBetween(lo, hi))
     cs, cn = f"_cs_{col}_{-lo}_{-hi}", f"_cn_{col}_{-lo}_{-hi}"
-    units = (F.col(col).cast(f"decimal(18,{scale})") * F.lit(10**scale)).cast("long")
+    value = F.col(col).cast(f"decimal(18,{scale})")
+    fits = value.cast("double").eqNullSafe(F.col(col).cast("double"))
+    message = F.concat(F.lit(f"{col} has more than {scale} decimals: "), F.col(col).cast("string"))
+    units = F.when(fits, (value * F.lit(10**scale)).cast("long")).otherwise(F.raise_error(message).cast("long"))
     helpers = {
         cs: lambda w: F.sum(units).over(w.rowsBetween(Window.unboundedPreceding, 0)),
         cn: lambda w: F.count(col).over(w.rowsBetween(Window.unboundedPreceding, 0)),
@@ -106,7 +98,7 @@ def moving_avg(col: str, lo: int, hi: int, scale: int | None):
 
 
 def window_feature_exprs(
-    include_current: bool = True, avg_scale: int | None = 2
+    include_current: bool = True, avg_scale: int | None = None
 ) -> tuple[dict[str, Callable[[WindowSpec], Column]], int]:
     """(name -> fn(window), reach in rows) for the lag/change/average features."""
     exprs: dict = {}
@@ -163,7 +155,7 @@ def window_features(
     tie_break: Sequence[str] | None = None,
     series_keys: Sequence[str] = (),
     include_current: bool = True,
-    avg_scale: int | None = 2,
+    avg_scale: int | None = None,
     warmup_filter: bool = True,
     method: str = "halo",
     block: int = DEFAULT_BLOCK,
@@ -205,23 +197,34 @@ def final_features(
     ordered: bool = False,
     **window_opts,
 ) -> DataFrame:
-    """join_raw -> time_features -> weather_features -> window_features.
+    """join_raw -> window_features -> time_features and weather_features.
+
+    Rows are numbered before the derived columns are there, so neither the
+    numbering's sort key nor its written table carries them.
 
     The reference sorts its views by ts; sorting is only needed for display,
     so it is off unless ``ordered``.
     """
     series_keys = tuple(window_opts.get("series_keys", ()))
     joined = join_raw(load, weather, series_keys=series_keys)
-    feats = window_features(weather_features(time_features(joined)), **window_opts)
+    windowed = window_features(joined, **window_opts)
+    derived = [*TIME_FEATURES, *WEATHER_FEATURES]
+    feats = weather_features(time_features(windowed)).select(
+        *joined.columns, *derived, *[c for c in windowed.columns if c not in joined.columns]
+    )
     return feats.orderBy(*series_keys, "ts") if ordered else feats
 
 
-def register_views(spark: SparkSession, load: DataFrame, weather: DataFrame, prefix: str = "") -> None:
-    """Register the four chained feature views by name (session scoped)."""
+def register_views(spark: SparkSession, load: DataFrame, weather: DataFrame, prefix: str = "", **window_opts) -> None:
+    """Register the four chained feature views by name (session scoped).
+
+    The last one numbers the rows, which runs the chain and writes a scratch
+    table that lives as long as the session (or the open ``scratch_scope``).
+    """
     joined = join_raw(load, weather)
     ft = time_features(joined)
     fw = weather_features(ft)
-    ff = window_features(fw)
+    ff = window_features(fw, **window_opts)
     for name, frame in (
         ("joined_raw", joined),
         ("features_time", ft),
@@ -238,7 +241,7 @@ def lag_profile(
     series_keys: Sequence[str] = (),
     lags: Sequence[int] = (1, 24, 168),
     ma_rows: int = 168,
-    avg_scale: int | None = 2,
+    avg_scale: int | None = None,
     method: str = "halo",
     block: int = DEFAULT_BLOCK,
 ) -> DataFrame:

@@ -104,14 +104,14 @@ def kv_compact(
     log_path: str,
     snapshot_path: str,
     key: str = "key",
-    order_cols: Sequence[str] = ("seq",),
+    order_cols: Sequence[str] = (BATCH, "seq"),
     cells: Sequence[str] | None = None,
 ) -> DataFrame:
     """Fold the whole log into a snapshot (one row per key) and return it."""
     log = kv_read_log(spark, log_path)
     current = kv_current(log, key, order_cols, cells)
     last_batch = log.groupBy(key).agg(F.max(BATCH).alias(BATCH))
-    current.join(last_batch, key).write.mode("overwrite").parquet(snapshot_path)
+    current.drop(BATCH).join(last_batch, key).write.mode("overwrite").parquet(snapshot_path)
     return spark.read.parquet(snapshot_path)
 
 
@@ -165,10 +165,15 @@ def range_scan(
     return kv.where(cond)
 
 
+def latest_run(predictions: DataFrame, ts: str = "ts", value: str = "predicted_load_mw", run_col: str = "run_id") -> DataFrame:
+    """(ts, value) of the latest run per ts; the larger value on a tie."""
+    last = [F.col(c) for c in (run_col, value) if c in predictions.columns]
+    return predictions.groupBy(ts).agg(F.max(F.struct(*last))[value].alias(value))
+
+
 def export_latest(
     predictions: DataFrame,
     n: int = 24,
-    dedup: bool = False,
     zone: str = DEFAULT_ZONE,
     ts: str = "ts",
     value: str = "predicted_load_mw",
@@ -176,14 +181,12 @@ def export_latest(
 ) -> DataFrame:
     """Latest ``n`` prediction rows by ts as (row_key, prediction_value, prediction_ts).
 
-    ``dedup`` first keeps only the latest run per ts, so repeated runs cannot
-    crowd hours out.  Top-n plans as TakeOrderedAndProject: each partition
+    One row per hour, as the keyed store would keep: the latest run's (if there
+    is a run column; the larger value on a tie), so repeated runs cannot crowd
+    hours out.  Top-n plans as TakeOrderedAndProject: each partition
     keeps its own n best rows, only those are merged.
     """
-    src = predictions
-    if dedup:
-        src = src.groupBy(ts).agg(F.max_by(F.col(value), F.col(run_col)).alias(value))
-    top = src.select(ts, value).orderBy(F.col(ts).desc(), F.col(value).desc()).limit(n)
+    top = latest_run(predictions, ts, value, run_col).select(ts, value).orderBy(F.col(ts).desc(), F.col(value).desc()).limit(n)
     return top.select(
         format_key(ts).alias("row_key"),
         F.col(value).alias("prediction_value"),

@@ -48,6 +48,10 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# The adapters' values are exact cents, so averages can be exact sums of cents.
+CENTS = 2
+
+
 def _series(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     ev = AD.read_table(spark, sf_dir, "events")
     return AD.load_series(ev), AD.weather_series(ev)
@@ -57,7 +61,7 @@ def _series(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def q_final_features(spark, sf_dir):
     """Flagship: join, calendar, weather and row-window features, warm-up filtered."""
     load, weather = _series(spark, sf_dir)
-    return FE.final_features(load, weather)
+    return FE.final_features(load, weather, avg_scale=CENTS)
 
 
 # ------------------------------------------------------------------ feature chain pieces
@@ -101,7 +105,7 @@ _WINDOWED_SQL = O.with_ctes(*O.FEATURE_CTES)
 
 
 def _windowed(spark, sf_dir):
-    return FE.window_features(_features_weather(spark, sf_dir), warmup_filter=False)
+    return FE.window_features(_joined(spark, sf_dir), warmup_filter=False, avg_scale=CENTS)
 
 
 @register(
@@ -129,14 +133,14 @@ def q_load_moving_avg(spark, sf_dir):
 def q_halo_lag_events(spark, sf_dir):
     """Section 4.3 on every raw event: one global order (ts, event_id), halo blocks."""
     ev = AD.event_series(AD.read_table(spark, sf_dir, "events"))
-    return FE.lag_profile(ev, order=("ts", "event_id"), block=8192)
+    return FE.lag_profile(ev, order=("ts", "event_id"), block=8192, avg_scale=CENTS)
 
 
 @register("halo_lag_events_by_user", O.event_lag_sql("user_id"))
 def q_halo_lag_events_by_user(spark, sf_dir):
     """Many series at once (series_keys=user_id); hot users are split into blocks."""
     ev = AD.event_series(AD.read_table(spark, sf_dir, "events"))
-    return FE.lag_profile(ev, order=("ts", "event_id"), series_keys=("user_id",), block=8192)
+    return FE.lag_profile(ev, order=("ts", "event_id"), series_keys=("user_id",), block=8192, avg_scale=CENTS)
 
 
 # ------------------------------------------------------------------ ingest and tables
@@ -186,7 +190,9 @@ def q_training_table(spark, sf_dir):
     """K3 + S5: the feature set persisted as a Parquet table, read back by name."""
     feats = q_final_features(spark, sf_dir)
     name = f"final_training_features_{uuid.uuid4().hex[:8]}"
-    return FI.training_table(feats, name, scratch_path(spark, "training-table"))
+    table = FI.training_table(feats, name, scratch_path(spark, "training-table"))
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files stay until the scratch folder goes
+    return table
 
 
 # ------------------------------------------------------------------ split
@@ -274,17 +280,10 @@ def q_rmse_seasonal(spark, sf_dir):
     return ML.rmse(test, label="mw", pred="load_lag_24h", exact_cents=True)
 
 
-# One grid point keeps the catalogue quick; the library default is the reference grid.
-QUICK_GRID = {"numTrees": [20], "maxDepth": [8]}
-_MODELS: dict = {}
-
-
 def _trained(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODELS:
-        train, test = _split(spark, sf_dir)
-        _MODELS[key] = (ML.train(train, grid=QUICK_GRID, folds=3), train, test)
-    return _MODELS[key]
+    """The reference's full grid search."""
+    train, test = _split(spark, sf_dir)
+    return ML.train(train), train, test
 
 
 @register("model_metrics")
@@ -319,12 +318,7 @@ def q_model_reload_scores(spark, sf_dir):
 # ------------------------------------------------------------------ forecast and export
 
 
-_FC_COLS = ", ".join(
-    [KEY, "ts", "mw", "TEMP", "PRCP", "HMDT", "WND_SPD", "ATM_PRESS"]
-    + ["hour_of_day", "day_of_week", "month_of_year", "year_val", "is_weekend"]
-    + ["temp_squared", "is_raining", "humidity_temp_interaction"]
-    + ["load_lag_1h", "load_lag_24h", "load_lag_7d", "temp_lag_2h", "temp_change_24h", "load_ma_7d"]
-)
+_FC_COLS = ", ".join([KEY, "ts", "mw", *O.FEATURE_COLS_19])
 
 
 @register(
@@ -334,14 +328,14 @@ _FC_COLS = ", ".join(
 )
 def q_forecast_inputs(spark, sf_dir):
     """M7 + P17 + S7: 24 future hours with all features, unknowns filled."""
-    return FC.forecast_inputs(_joined(spark, sf_dir)).select(*[c.strip() for c in _FC_COLS.split(",")])
+    return FC.forecast_inputs(_joined(spark, sf_dir), avg_scale=CENTS).select(*[c.strip() for c in _FC_COLS.split(",")])
 
 
 @register("forecast_24h")
 def q_forecast_24h(spark, sf_dir):
     """M6 + P18: the trained model scores the 24 forecast rows (rows-only check)."""
     model, _, _ = _trained(spark, sf_dir)
-    return FC.forecast(model, FC.forecast_inputs(_joined(spark, sf_dir)))
+    return FC.forecast(model, FC.forecast_inputs(_joined(spark, sf_dir), avg_scale=CENTS))
 
 
 def _seasonal_preds(spark, sf_dir):
@@ -397,7 +391,7 @@ def _run_stream(spark, sf_dir, messages_fn, schema, key, cells):
     parsed = IN.parse_readings(messages_fn(src), schema, key)
     log_path = scratch_path(spark, "kv-log")
     q = IN.start_ingest(parsed, log_path, scratch_path(spark, "stream-ckpt"), cells, trigger={"availableNow": True})
-    IN.run_for(q, 600)
+    IN.run_for(q)
     return KV.kv_current(KV.kv_read_log(spark, log_path), "key", (KV.BATCH, "seq"), cells)
 
 
@@ -521,7 +515,7 @@ def q_preview_joined(spark, sf_dir):
 def q_final_features_dense(spark, sf_dir):
     """D1 extra: missing hours filled before the windows, so lags count hours."""
     load, weather = _series(spark, sf_dir)
-    return FE.final_features(load, weather, densify=True)
+    return FE.final_features(load, weather, densify=True, avg_scale=CENTS)
 
 
 @register("views_final_features", O.with_ctes(*O.FEATURE_CTES) + " SELECT * FROM final_features")
@@ -529,7 +523,7 @@ def q_views_final_features(spark, sf_dir):
     """K4: the four chained views registered by name and queried with Spark SQL."""
     load, weather = _series(spark, sf_dir)
     prefix = f"v{uuid.uuid4().hex[:8]}_"
-    FE.register_views(spark, load, weather, prefix=prefix)
+    FE.register_views(spark, load, weather, prefix=prefix, avg_scale=CENTS)
     return spark.sql(f"SELECT * FROM {prefix}final_features")
 
 
@@ -539,7 +533,7 @@ def q_lag_features_by_user(spark, sf_dir):
     ev = AD.read_table(spark, sf_dir, "events")
     keys = ("user_id",)
     feats = FE.final_features(
-        AD.load_series(ev, keys), AD.weather_series(ev, keys), series_keys=keys, warmup_filter=False
+        AD.load_series(ev, keys), AD.weather_series(ev, keys), series_keys=keys, warmup_filter=False, avg_scale=CENTS
     )
     return feats.select(
         "user_id", KEY, "mw", "TEMP", "load_lag_1h", "load_lag_24h", "load_lag_7d",
@@ -576,5 +570,269 @@ def q_stream_load_stateful(spark, sf_dir):
     parsed = IN.parse_readings(IN.load_messages(src), IN.LOAD_SCHEMA, "timestamp")
     out = scratch_path(spark, "kv-current")
     q = IN.start_current_view(parsed, out, scratch_path(spark, "state-ckpt"), IN.load_cells(), trigger={"availableNow": True})
-    IN.run_for(q, 600)
+    IN.run_for(q)
     return IN.read_current_view(spark, out, IN.load_cells())
+
+
+# ------------------------------------------------------------------ averages of finer values
+
+
+@register(
+    "load_moving_avg_exact",
+    """
+SELECT event_id,
+       CAST(sum(CAST(mw AS DECIMAL(18,4))) OVER w AS DOUBLE) / NULLIF(count(mw) OVER w, 0) AS ma_168,
+       true AS default_agrees
+FROM (SELECT event_id, ts, round(value / 7, 4) AS mw FROM events)
+WINDOW w AS (ORDER BY ts NULLS FIRST, event_id NULLS FIRST ROWS BETWEEN 167 PRECEDING AND CURRENT ROW)""",
+)
+def q_load_moving_avg_exact(spark, sf_dir):
+    """W6 on values of four decimals: exact with avg_scale=4, and the default average agrees."""
+    ev = AD.event_series(AD.read_table(spark, sf_dir, "events")).withColumn("mw", F.round(F.col("mw") / 7, 4))
+    exact = FE.lag_profile(ev, lags=(1,), avg_scale=4, block=8192).select("event_id", "ma_168")
+    plain = FE.lag_profile(ev, lags=(1,), block=8192).select("event_id", F.col("ma_168").alias("_plain"))
+    agrees = (F.abs(F.col("ma_168") - F.col("_plain")) <= 1e-9) | (F.col("ma_168").isNull() & F.col("_plain").isNull())
+    return exact.join(plain, "event_id").select("event_id", "ma_168", agrees.alias("default_agrees"))
+
+
+# ------------------------------------------------------------------ forecast from a chosen start
+
+
+def _forecast_from(spark, sf_dir, hours_after_last: int):
+    joined = _joined(spark, sf_dir)
+    start = joined.agg(F.max("ts") + F.make_interval(hours=F.lit(hours_after_last))).first()[0]  # one scalar
+    inputs = FC.forecast_inputs(joined, start=start, avg_scale=CENTS)
+    return inputs.select(*[c.strip() for c in _FC_COLS.split(",")])
+
+
+def _forecast_sql(hours_after_last: int) -> str:
+    start = f"SELECT max(ts) + INTERVAL ({hours_after_last}) HOUR FROM joined_raw"
+    ctes = O.with_ctes(O.LOAD_CTE, O.WEATHER_CTE, O.JOINED_CTE, O.forecast_cte(start, max(24, hours_after_last + 23)))
+    return ctes + f" SELECT {_FC_COLS} FROM fc WHERE _future"
+
+
+@register("forecast_inputs_start_inside", _forecast_sql(-71))
+def q_forecast_inputs_start_inside(spark, sf_dir):
+    """M7 as a back-test: three days before the end, from history before the start alone."""
+    return _forecast_from(spark, sf_dir, -71)
+
+
+@register("forecast_inputs_gap", _forecast_sql(49))
+def q_forecast_inputs_gap(spark, sf_dir):
+    """M7 with 48 unknown hours between the history and the start."""
+    return _forecast_from(spark, sf_dir, 49)
+
+
+# ------------------------------------------------------------------ ranges and days
+
+
+def _bounds(kv: DataFrame, key: str) -> tuple[str, str]:
+    """First and last key: the range starts on a row that counts and stops on one that doesn't."""
+    return tuple(kv.agg(F.min(key), F.max(key)).first())
+
+
+_IN_RANGE = " WHERE datetime >= (SELECT min(datetime) FROM served) AND datetime < (SELECT max(datetime) FROM served)"
+
+
+def _range_sql(name: str) -> str:
+    return f"WITH served AS ({ORACLE_SQL[name]}) SELECT * FROM served{_IN_RANGE}"
+
+
+@register("serve_predictions_range", _range_sql("serve_predictions"))
+def q_serve_predictions_range(spark, sf_dir):
+    """V1 + S10: start inclusive, stop exclusive, both on stored keys."""
+    kv = _pred_kv(spark, sf_dir)
+    return SV.predictions(kv, *_bounds(kv, "row_key"))
+
+
+@register("serve_actual_range", _range_sql("serve_actual"))
+def q_serve_actual_range(spark, sf_dir):
+    """V2 + S10 + P27: the range over text cells, as a string-typed store holds them."""
+    kv = _load_kv(spark, sf_dir)
+    cells = KV.kv_cells(kv, "key", "seq", IN.load_cells())
+    typed = KV.kv_from_cells(cells, {"timestamp_ms": "bigint", "current_reading": "double"})
+    return SV.actual_load(typed, *_bounds(typed, "key"))
+
+
+@register("serve_weather_range", _range_sql("serve_weather"))
+def q_serve_weather_range(spark, sf_dir):
+    """V3 + S10."""
+    kv = _weather_kv(spark, sf_dir)
+    return SV.weather(kv, *_bounds(kv, "key"))
+
+
+_DAY_SQL = " WHERE substr(datetime, 1, 10) = (SELECT substr(max(datetime), 1, 10) FROM served)"
+
+
+def _last_day(spark, sf_dir) -> tuple[DataFrame, str]:
+    kv = _pred_kv(spark, sf_dir)
+    return kv, kv.agg(F.max("row_key")).first()[0][:10]
+
+
+def _combined_day(spark, sf_dir):
+    kv, day = _last_day(spark, sf_dir)
+    return SV.combined(kv, _load_kv(spark, sf_dir), _weather_kv(spark, sf_dir), date=day)
+
+
+@register("serve_combined_day", f"WITH served AS ({ORACLE_SQL['serve_combined']}) SELECT * FROM served{_DAY_SQL}")
+def q_serve_combined_day(spark, sf_dir):
+    """V4 + P30: one day, the last one predicted."""
+    return _combined_day(spark, sf_dir)
+
+
+@register("dashboard_day", f"WITH served AS ({ORACLE_SQL['dashboard_rows']}) SELECT * FROM served{_DAY_SQL}")
+def q_dashboard_day(spark, sf_dir):
+    """V5 + P30 + P31: the table text of that day."""
+    return SV.dashboard(_combined_day(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ several runs, compaction
+
+
+def _two_runs(spark, sf_dir) -> DataFrame:
+    """Run a twice, then run b, which predicts one more at every hour."""
+    preds = _seasonal_preds(spark, sf_dir)
+    path = scratch_path(spark, "predictions")
+    FC.append_predictions(preds, path, "a")
+    FC.append_predictions(preds, path, "a")
+    FC.append_predictions(preds.withColumn("predicted_load_mw", F.round(F.col("predicted_load_mw") + 1, 2)), path, "b")
+    return spark.read.parquet(path)
+
+
+_RUNS_CTE = """
+runs AS (
+  SELECT ts, predicted_load_mw, 'a' AS run_id FROM preds
+  UNION ALL SELECT ts, round(predicted_load_mw + 1, 2), 'b' FROM preds
+)"""
+
+
+@register("append_predictions_rerun", O.with_ctes(*O.FEATURE_CTES, O.PRED_KV_CTE, _RUNS_CTE) + " SELECT * FROM runs")
+def q_append_predictions_rerun(spark, sf_dir):
+    """K5: a repeated run replaces itself, another one is added."""
+    return _two_runs(spark, sf_dir)
+
+
+@register(
+    "export_upsert",
+    O.with_ctes(*O.FEATURE_CTES, O.PRED_KV_CTE)
+    + " SELECT row_key, round(prediction_value + 1, 2) AS prediction_value, prediction_ts FROM pred_kv"
+    " ORDER BY row_key DESC LIMIT 24",
+)
+def q_export_upsert(spark, sf_dir):
+    """K6 over two runs: 24 different hours, each with the latest run's value."""
+    return KV.export_latest(_two_runs(spark, sf_dir), n=24)
+
+
+_COMPACT_CTE = """
+log AS (
+  SELECT user_id AS key, -event_id AS seq, event_id % 3 AS b,
+         CASE WHEN event_type = 'view' THEN NULL ELSE value END AS value, props
+  FROM events
+),
+placed AS (SELECT *, b * 1000000000000 + seq AS o FROM log)"""
+
+
+@register(
+    "kv_compacted_current",
+    O.with_ctes(_COMPACT_CTE)
+    + """
+SELECT key, max_by(seq, o) AS seq,
+       max_by(value, o) FILTER (WHERE value IS NOT NULL) AS value,
+       max_by(props, o) FILTER (WHERE props IS NOT NULL) AS props
+FROM placed GROUP BY key""",
+)
+def q_kv_compacted_current(spark, sf_dir):
+    """K7 across a compaction: three batches, seq running against their order; the last batch wins."""
+    ups = AD.keyed_upserts(AD.read_table(spark, sf_dir, "events"))
+    log, snapshot = scratch_path(spark, "kv-log"), scratch_path(spark, "kv-snapshot")
+    for b in range(3):
+        KV.kv_write_batch(ups.where(F.col("seq") % 3 == b).withColumn("seq", -F.col("seq")), log, b)
+        if b == 1:
+            KV.kv_compact(spark, log, snapshot)
+    return KV.kv_current_incremental(spark, snapshot, log).select("key", "seq", "value", "props")
+
+
+# ------------------------------------------------------------------ set-aside rows
+
+
+@register(
+    "csv_quarantine",
+    O.with_ctes(O.LOAD_CTE)
+    + """
+SELECT count(*) FILTER (WHERE h NOT IN (3, 7)) AS good_rows, count(*) FILTER (WHERE h IN (3, 7)) AS bad_rows
+FROM (SELECT CAST(substr(datetime_ept, 12, 2) AS INTEGER) % 10 AS h FROM load_data)""",
+)
+def q_csv_quarantine(spark, sf_dir):
+    """S2 + P4, quarantine mode: rows with an empty or unreadable measure are set aside."""
+    load, _ = _series(spark, sf_dir)
+    last = F.substring(KEY, 13, 1)
+    text = F.when(last == "7", "n/a").when(last != "3", F.col("mw").cast("string"))
+    path = scratch_path(spark, "quarantine-csv")
+    FI.write_series_csv(load.select(KEY, text.alias("mw")), path, order=None)
+    good, bad = FI.read_series_csv(spark, path, LOAD, on_error="quarantine")
+    both = good.select(F.lit(True).alias("ok")).unionByName(bad.select(F.lit(False).alias("ok")))
+    return both.agg(F.count_if("ok").alias("good_rows"), F.count_if(~F.col("ok")).alias("bad_rows"))
+
+
+# ------------------------------------------------------------------ model results that SQL can state
+
+
+_TEST_ROWS = f"numbered WHERE _rn >= (SELECT c FROM cut) AND {_NOT_NULL_19}"
+
+
+@register(
+    "model_metrics_check",
+    _SPLIT_SQL
+    + f" SELECT count(*) AS n_test_scored, 19 AS n_features, 4 AS grid_points, 3 AS folds, true AS better_than_mean FROM {_TEST_ROWS}",
+)
+def q_model_metrics_check(spark, sf_dir):
+    """M2-M6 + A3: sizes of the full grid search, and a hold-out RMSE below that of the training mean."""
+    model, train, test = _trained(spark, sf_dir)
+    mean = train.agg(F.avg("mw")).first()[0]  # one scalar
+
+    def error(pred):
+        return F.sqrt(F.avg((pred - F.col("mw")) * (pred - F.col("mw"))))
+
+    return ML.score(model, test).agg(
+        F.count(F.lit(1)).alias("n_test_scored"),
+        F.lit(len(ML.feature_columns(train.drop("mw")))).alias("n_features"),
+        F.lit(len(model.getEstimatorParamMaps())).alias("grid_points"),
+        F.lit(model.getNumFolds()).alias("folds"),
+        (error(F.col("prediction")) < error(F.lit(mean))).alias("better_than_mean"),
+    )
+
+
+@register("feature_importance_check", "SELECT CAST(19 AS BIGINT) AS n_features, true AS none_negative, CAST(1 AS DOUBLE) AS total")
+def q_feature_importance_check(spark, sf_dir):
+    """O5: all 19 importances, none negative, together 1 (to 9 decimals)."""
+    model, _, _ = _trained(spark, sf_dir)
+    return ML.feature_importance(model, -1.0).agg(
+        F.count_distinct("feature").alias("n_features"),
+        (F.min("importance") >= 0).alias("none_negative"),
+        F.round(F.sum("importance"), 9).alias("total"),
+    )
+
+
+@register("model_reload_check", _SPLIT_SQL + f" SELECT count(*) AS n_rows, count(*) AS n_equal FROM {_TEST_ROWS}")
+def q_model_reload_check(spark, sf_dir):
+    """K8 + S8 + M6 + M8: the model that was saved and loaded scores every test row alike."""
+    model, _, test = _trained(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    ML.save_model(model, path)
+    before = ML.score(model, test).select("ts", "prediction")
+    after = ML.score(ML.load_model(path), test).select("ts", F.col("prediction").alias("_after"))
+    return before.join(after, "ts", "full").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("prediction") == F.col("_after")).alias("n_equal")
+    )
+
+
+@register(
+    "forecast_24h_check",
+    O.with_ctes(O.LOAD_CTE, O.WEATHER_CTE, O.JOINED_CTE, O.FORECAST_CTE) + " SELECT ts, true AS in_training_range FROM fc WHERE _future",
+)
+def q_forecast_24h_check(spark, sf_dir):
+    """M6 + M7: 24 hours, each within the range of the training loads (a forest can't leave it)."""
+    model, train, _ = _trained(spark, sf_dir)
+    low, high = train.agg(F.round(F.min("mw"), 2), F.round(F.max("mw"), 2)).first()  # two scalars
+    preds = FC.forecast(model, FC.forecast_inputs(_joined(spark, sf_dir), avg_scale=CENTS))
+    return preds.select("ts", F.col("predicted_load_mw").between(low, high).alias("in_training_range"))

@@ -51,27 +51,37 @@ def forecast_inputs(
     hours: int = HOURS,
     defaults: dict[str, float] | None = None,
     history_rows: int | None = None,
-    avg_scale: int | None = 2,
+    avg_scale: int | None = None,
 ) -> DataFrame:
     """Feature rows for ``hours`` future hours after the history in ``joined``.
 
-    ``start`` defaults to the last known hour + 1.  ``joined`` is the output of
-    ``join_raw`` (key, ts, mw, weather measures).
+    ``start`` defaults to the last known hour + 1.  With a ``start``, only
+    history before it is used; hours between the last known one and ``start``
+    are filled with unknown rows, so row offsets stay hours, and the lags step
+    back over them too.  ``joined`` is the output of ``join_raw`` (key, ts, mw,
+    weather measures).
     """
+    gap = 0
+    if start is not None:
+        first_hour = F.lit(str(start)).cast("timestamp_ntz")
+        joined = joined.where(F.col("ts") < first_hour)
+        # one scalar: how many hours are unknown before the forecast begins
+        ahead = F.timestamp_diff("HOUR", F.max("ts"), first_hour) - 1
+        gap = max(0, joined.agg(ahead).first()[0] or 0)
+    ahead_hours = gap + hours
     defaults = FORECAST_WEATHER_DEFAULTS if defaults is None else defaults
     exprs, reach = window_feature_exprs(True, avg_scale)
-    days, weeks = -(-hours // 24), -(-hours // 168)
-    history_rows = history_rows or (168 * weeks + hours + 2)
+    days, weeks = -(-ahead_hours // 24), -(-ahead_hours // 168)
+    history_rows = history_rows or (168 * weeks + ahead_hours + 2)
     tail = history_tail(joined, history_rows).withColumn("_future", F.lit(False))
 
     # One row (the last known hour) drives the grid of future hours.
     grid_src = tail.agg(F.max("ts").alias("_last"))
-    if start is None:
-        first = F.col("_last") + F.expr("INTERVAL 1 HOUR")
-    else:
-        first = F.lit(str(start)).cast("timestamp_ntz")
+    next_hour = F.col("_last") + F.expr("INTERVAL 1 HOUR")
+    first = next_hour if start is None else F.lit(str(start)).cast("timestamp_ntz")
+    begin = first if start is None else F.least(F.coalesce(next_hour, first), first)
     future_ts = F.explode(
-        F.sequence(first, first + F.make_interval(hours=F.lit(hours - 1)), F.expr("INTERVAL 1 HOUR"))
+        F.sequence(begin, first + F.make_interval(hours=F.lit(hours - 1)), F.expr("INTERVAL 1 HOUR"))
     )
     future = grid_src.select(future_ts.alias("ts")).select(
         format_key("ts").alias(KEY),
@@ -102,11 +112,12 @@ def forecast_inputs(
     exprs["load_lag_24h"] = chain(24, 24, days - 1) if days > 1 else exprs["load_lag_24h"]
     exprs["load_lag_7d"] = chain(168, 168, weeks - 1) if weeks > 1 else exprs["load_lag_7d"]
     out = global_windows(feats, exprs, ["ts", "_future"])
-    if hours > 168:
+    if ahead_hours > 168:
         # Beyond a week the 7-day window holds only unknown hours: keep the last known average.
         upto_f = Window.orderBy("ts", "_future").rowsBetween(Window.unboundedPreceding, 0)
         out = out.withColumn("load_ma_7d", F.last("load_ma_7d", ignorenulls=True).over(upto_f))
-    return out.where(F.col("_future")).drop("_future")
+    asked = F.col("_future") if start is None else F.col("_future") & (F.col("ts") >= F.lit(str(start)).cast("timestamp_ntz"))
+    return out.where(asked).drop("_future")
 
 
 def forecast(model, inputs: DataFrame) -> DataFrame:

@@ -118,7 +118,7 @@ def run_prediction(
     return preds
 
 
-def export_predictions(predictions: DataFrame, n: int = 24, dedup: bool = True, zone: str | None = None) -> DataFrame:
+def export_predictions(predictions: DataFrame, n: int = 24, zone: str | None = None) -> DataFrame:
     """Latest ``n`` predictions as (row_key, prediction_value, prediction_ts)."""
     kw = {"zone": zone} if zone else {}
-    return KV.export_latest(predictions, n=n, dedup=dedup and "run_id" in predictions.columns, **kw)
+    return KV.export_latest(predictions, n=n, **kw)

@@ -28,7 +28,7 @@ weather_data AS (
          min(value) AS WND_SPD,
          CAST(1000 + count(*) AS DOUBLE) AS ATM_PRESS
   FROM events
-  WHERE event_type = 'error' AND NOT (hour(ts) = 3 AND day(ts) % 5 = 0)
+  WHERE event_type = 'error'
   GROUP BY 1
 )"""
 
@@ -184,10 +184,21 @@ upserts AS (
   FROM events
 )"""
 
-FORECAST_CTE = f"""
-tail AS (SELECT * FROM joined_raw ORDER BY ts DESC, mw DESC, TEMP DESC, PRCP DESC, HMDT DESC, WND_SPD DESC, ATM_PRESS DESC LIMIT 194),
+def forecast_cte(start: str | None = None, ahead: int = 24) -> str:
+    """``start``: SQL of the first hour (default: the one after the last known); ``ahead``: hours
+    from the last known one to the end of the forecast."""
+    days = -(-ahead // 24)
+    past = f"WHERE ts < ({start})" if start else ""
+    last = f"({start}) + INTERVAL 23 HOUR" if start else "max(ts) + INTERVAL 24 HOUR"
+    asked = f"_future AND ts >= ({start})" if start else "_future"
+
+    def chain(first: int, n: int) -> str:
+        return "coalesce(" + ", ".join(f"LAG(mw, {first + 24 * j}) OVER (ORDER BY ts, _future)" for j in range(n)) + ")"
+
+    return f"""
+tail AS (SELECT * FROM joined_raw {past} ORDER BY ts DESC, mw DESC, TEMP DESC, PRCP DESC, HMDT DESC, WND_SPD DESC, ATM_PRESS DESC LIMIT {170 + ahead}),
 grid AS (
-  SELECT unnest(generate_series(max(ts) + INTERVAL 1 HOUR, max(ts) + INTERVAL 24 HOUR, INTERVAL 1 HOUR)) AS ts
+  SELECT unnest(generate_series(max(ts) + INTERVAL 1 HOUR, {last}, INTERVAL 1 HOUR)) AS ts
   FROM tail
 ),
 both_rows AS (
@@ -217,12 +228,15 @@ fc_time AS (
   FROM filled
 ),
 fc AS (
-  SELECT * EXCLUDE (_future, load_lag_1h),
-         coalesce(load_lag_1h, LAG(mw, 25) OVER (ORDER BY ts, _future)) AS load_lag_1h, _future
+  SELECT * EXCLUDE (_future, load_lag_1h, load_lag_24h),
+         {chain(1, days + 1)} AS load_lag_1h, {chain(24, days)} AS load_lag_24h, {asked} AS _future
   FROM ({window_select('fc_time', 'ts, _future')})
 )"""
 
 
+FORECAST_CTE = forecast_cte()
+
+
 DENSE_CTE = f"""
 grid AS (
   SELECT unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts
@@ -250,7 +264,7 @@ weather_u AS (
   SELECT user_id, strftime(date_trunc('hour', ts), '{KEY_FMT}') AS datetime_ept,
          max(value) AS TEMP
   FROM events
-  WHERE event_type = 'error' AND NOT (hour(ts) = 3 AND day(ts) % 5 = 0)
+  WHERE event_type = 'error'
   GROUP BY 1, 2
 ),
 joined_u AS (

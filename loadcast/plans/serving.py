@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from loadcast.functions.display import time_of_day, two_dp
 from loadcast.functions.timekeys import DEFAULT_ZONE, day_bounds, epoch_seconds, format_key
-from loadcast.operators.kv import range_scan
+from loadcast.operators.kv import latest_run, range_scan
 
 
 def _num(c: str, to: str = "double"):
@@ -22,8 +22,8 @@ def _num(c: str, to: str = "double"):
 
 
 def predictions_kv(preds: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
-    """Predictions table -> keyed layout (row_key, prediction_value, prediction_ts)."""
-    return preds.select(
+    """Predictions table -> keyed layout (row_key, prediction_value, prediction_ts), one row per key: the latest run's."""
+    return latest_run(preds).select(
         format_key("ts").alias("row_key"),
         F.col("predicted_load_mw").alias("prediction_value"),
         epoch_seconds("ts", zone).alias("prediction_ts"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 KEY = "datetime_ept"
-KEY_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # Weather measures in batch files and tables (upper case, as the batch layer names them).
 WEATHER_MEASURES = ["TEMP", "PRCP", "HMDT", "WND_SPD", "ATM_PRESS"]
@@ -24,16 +23,6 @@ WEATHER = T.StructType(
     + [T.StructField(m, T.DoubleType(), True) for m in WEATHER_MEASURES]
 )
 
-RAW_WEATHER = T.StructType(
-    [
-        T.StructField("YEAR", T.IntegerType(), True),
-        T.StructField("MO", T.IntegerType(), True),
-        T.StructField("DY", T.IntegerType(), True),
-        T.StructField("HR", T.IntegerType(), True),
-    ]
-    + [T.StructField(m, T.DoubleType(), True) for m in WEATHER_MEASURES]
-)
-
 # Speed-layer messages (JSON).
 LOAD_MESSAGE = T.StructType(
     [
@@ -47,12 +36,5 @@ WEATHER_MESSAGE = T.StructType(
     + [T.StructField(m, T.DoubleType(), True) for m in STREAM_WEATHER_MEASURES]
 )
 
-PREDICTIONS = T.StructType(
-    [
-        T.StructField("ts", T.TimestampNTZType(), True),
-        T.StructField("predicted_load_mw", T.DoubleType(), True),
-    ]
-)
-
 # Columns that never enter the feature vector.
 NON_FEATURES = ("mw", "ts", KEY)

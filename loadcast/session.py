@@ -5,13 +5,14 @@ numbering, stream logs in tests) are written below the cluster's
 ``spark.checkpoint.dir``; ``scratch_scope`` removes them after use.  The library never invents a machine-local folder:
 ``checkpoint_root`` raises when the setting is missing, and only
 ``ensure_checkpoint_root`` (used by tests, bench and the driver entry) sets a
-fallback, and only when nothing is configured.
+fallback, and only under a ``local`` master with nothing configured.
 """
 
 from __future__ import annotations
 
 import atexit
 import contextlib
+import contextvars
 import os
 import re
 import shutil
@@ -71,18 +72,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 def ensure_checkpoint_root(spark: SparkSession) -> str:
     """Like ``checkpoint_root`` but sets a local folder when none is configured.
 
-    Meant for tests and single-machine runs only; on a cluster the setting is
-    present and is used as is.
+    Meant for tests and single-machine runs only: under any other master than
+    ``local`` a missing setting raises, since executors would write to disks
+    of their own.
     """
     try:
         return checkpoint_root(spark)
     except RuntimeError:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local($|\[)", master):
+            raise
         d = tempfile.mkdtemp(prefix="loadcast-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         return spark.sparkContext.getCheckpointDir() or d
 
 
-_SCOPES: list[list[str]] = []
+# The open scopes of this thread (a thread that is started sees none of its parent's).
+_SCOPES: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("scopes", default=())
 _CREATED: list[str] = []
 # Remove this process's own scratch folders when it exits (nothing else under the root).
 CLEANUP_AT_EXIT = True
@@ -92,8 +98,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder below the checkpoint root (recorded by an open ``scratch_scope``)."""
     root = checkpoint_root(spark).rstrip("/")
     path = f"{root}/loadcast/{label}-{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    if _SCOPES.get():
+        _SCOPES.get()[-1].append(path)
     if not _CREATED:
         atexit.register(_cleanup_at_exit)
     _CREATED.append(path)
@@ -137,11 +143,11 @@ def scratch_scope(spark: SparkSession):
     that still read those folders must not be used after the block.
     """
     created: list[str] = []
-    _SCOPES.append(created)
+    token = _SCOPES.set((*_SCOPES.get(), created))
     try:
         yield created
     finally:
-        _SCOPES.pop()
+        _SCOPES.reset(token)
         for path in created:
             drop_path(spark, path)
 

@@ -40,10 +40,7 @@ def weather_series(events: DataFrame, series_keys: Sequence[str] = ()) -> DataFr
     """Hourly weather from error events; some hours have none (left join nulls)."""
     n = F.count(F.lit(1))
     return (
-        events.where(
-            (F.col("event_type") == "error")
-            & ~((F.hour("ts") == 3) & (F.dayofmonth("ts") % 5 == 0))
-        )
+        events.where(F.col("event_type") == "error")
         .groupBy(*series_keys, hour_floor("ts").alias("_h"))
         .agg(
             F.max("value").alias("TEMP"),

@@ -29,7 +29,16 @@ def read_raw_weather_csv(spark: SparkSession, path: str) -> DataFrame:
     Columns are matched by header name, so extra columns are harmless and
     missing ones can be reported instead of shifting positions.
     """
-    return spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    return _read_by_header(spark, path)
+
+
+def _read_by_header(spark: SparkSession, path: str) -> DataFrame:
+    """Text columns named by the header of the first file; a file whose header differs raises
+    (Spark would otherwise read it by position)."""
+    reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 
 def _wanted_measures(df: DataFrame, measures: Sequence[str]) -> list[str]:
@@ -43,14 +52,14 @@ def _wanted_measures(df: DataFrame, measures: Sequence[str]) -> list[str]:
 def clean_weather(df: DataFrame, on_error: str = "raise", ordered: bool = False):
     """YEAR/MO/DY/HR parts -> ``datetime_ept`` (TIMESTAMP_NTZ) + weather measures.
 
-    ``on_error="raise"``: an impossible date (hour 24, 30 February, text)
-    fails the job.  ``on_error="quarantine"``: returns ``(good, bad)``, bad
+    ``on_error="raise"``: an impossible date (hour 24, 30 February, text, an
+    empty part) fails the job.  ``on_error="quarantine"``: returns ``(good, bad)``, bad
     rows keeping their raw parts.  Missing measure columns are dropped with a
     warning.  Parts are combined arithmetically, never by string padding.
     """
     measures = _wanted_measures(df, WEATHER_MEASURES)
     if on_error == "raise":
-        parts = [F.col(p).cast("int") for p in PARTS]
+        parts = [_not_null_or_fail(p).cast("int") for p in PARTS]
         ts = F.make_timestamp_ntz(*parts, F.lit(0), F.lit(0))
         out = df.select(ts.alias(KEY), *[F.col(m).cast("double").alias(m) for m in measures])
         return out.orderBy(KEY) if ordered else out
@@ -80,7 +89,7 @@ def read_series_csv(spark: SparkSession, path: str, schema: T.StructType, on_err
     Strict: a non-numeric or empty measure fails the job.  Quarantine:
     returns ``(good, bad)`` with bad rows as raw text.
     """
-    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    raw = _read_by_header(spark, path)
     names = [f.name for f in schema.fields]
     missing = [n for n in names if n not in raw.columns]
     if missing:

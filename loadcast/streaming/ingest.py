@@ -207,15 +207,23 @@ def read_current_view(spark: SparkSession, out_path: str, cells: Sequence[str],
     return rows.groupBy("key").agg(latest).select("key", F.col(f"_r.{seq}").alias(seq), *[F.col(f"_r.{c}").alias(c) for c in cells])
 
 
-def run_for(query: StreamingQuery, timeout_s: float | None = None) -> None:
-    """Wait until the stream ends or ``timeout_s`` passes, then stop it cleanly."""
+def run_for(query: StreamingQuery, timeout_s: float | None = None, continuous: bool = False) -> None:
+    """Wait until the stream has read all its input.
+
+    With ``timeout_s`` a stream that isn't done by then is stopped and
+    TimeoutError raised: what it has written is only a part.  A ``continuous``
+    stream has no end; stopping it after ``timeout_s`` is the normal case.
+    """
+    done = False
     try:
-        query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination()
+        done = query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination() is None
     finally:
         if query.isActive:
             query.stop()
     if query.exception() is not None:
         raise query.exception()
+    if not done and not continuous:
+        raise TimeoutError(f"the stream had not read all its input after {timeout_s} s")
 
 
 def file_message_stream(spark: SparkSession, path_glob: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:

@@ -24,7 +24,7 @@ def test_cli_batch_stream_and_serving(spark, scratch, capsys):
     assert main(["predict", s + "/model", s + "/load_pq", s + "/weather_pq", s + "/preds", "--run-id", "r1"], spark) == 0
     assert main(["export", s + "/preds", s + "/pred_kv", "--batch-id", "1"], spark) == 0
     out = capsys.readouterr().out
-    assert "load rows: 720, weather rows: 672" in out and "feature rows: 552" in out and "test RMSE" in out
+    assert "load rows: 720, weather rows: 678" in out and "feature rows: 552" in out and "test RMSE" in out
 
     src = s + "/msgs"
     os.makedirs(src)

@@ -16,7 +16,7 @@ def test_batch_layer_end_to_end(spark, scratch):
     raw_dir = scratch + "/raw"
     FI.write_series_csv(AD.raw_weather(weather), raw_dir, order=None)
     n_clean = J.clean_weather_file(spark, raw_dir, scratch + "/clean")
-    assert n_clean == 672
+    assert n_clean == 678
 
     FI.write_series_csv(load, scratch + "/load_csv")
     FI.write_series_csv(weather, scratch + "/weather_csv")

@@ -92,10 +92,7 @@ def test_export_latest_dedup(spark):
     preds = spark.createDataFrame(rows, "t string, predicted_load_mw double, run_id string").select(
         F.col("t").cast("timestamp_ntz").alias("ts"), "predicted_load_mw", "run_id"
     )
-    plain = KV.export_latest(preds, n=24)
-    assert plain.select("row_key").distinct().count() == 12  # duplicated hours crowd out others
-    dedup = KV.export_latest(preds, n=24, dedup=True)
-    assert dedup.select("row_key").distinct().count() == 24
+    assert KV.export_latest(preds, n=24).select("row_key").distinct().count() == 24
 
 
 def test_epoch_zone_winter_offset(spark):
@@ -153,8 +150,27 @@ def test_stream_restart_and_replay(spark, scratch):
     assert metrics == [(0, 1, 0, 1), (1, 2, 1, 1)]
 
 
-def test_kafka_source_is_declared():
-    assert callable(IN.kafka_message_stream)
+def test_unfinished_stream_raises(spark, scratch):
+    src = scratch + "/in"
+    os.makedirs(src)
+    for i in range(40):
+        _write_events(f"{src}/{i:02}.parquet", [({"timestamp": "2024-01-01 00:00:00", "current_reading": float(i)}, i)])
+    stream = spark.readStream.schema("value string, seq long").option("maxFilesPerTrigger", 1).parquet(src)
+    parsed = IN.parse_readings(stream, IN.LOAD_SCHEMA, "timestamp")
+    q = IN.start_ingest(parsed, scratch + "/log", scratch + "/ckpt", IN.load_cells(), trigger={"availableNow": True})
+    with pytest.raises(TimeoutError):
+        IN.run_for(q, 1)
+    assert not q.isActive
+
+
+def test_continuous_stream_may_be_stopped(spark, scratch):
+    src = scratch + "/in"
+    os.makedirs(src)
+    _write_events(src + "/a.parquet", [({"timestamp": "2024-01-01 00:00:00", "current_reading": 1.0}, 1)])
+    parsed = IN.parse_readings(spark.readStream.schema("value string, seq long").parquet(src), IN.LOAD_SCHEMA, "timestamp")
+    q = IN.start_ingest(parsed, scratch + "/log", scratch + "/ckpt", IN.load_cells(), trigger={"processingTime": "1 seconds"})
+    IN.run_for(q, 1, continuous=True)
+    assert not q.isActive
 
 
 @pytest.mark.parametrize("fn", [IN.load_messages, IN.weather_messages])
