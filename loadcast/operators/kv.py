@@ -19,9 +19,11 @@ measure writes no cell, so an older value of that cell survives.  Here:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadcast.functions.timekeys import DEFAULT_ZONE, epoch_seconds, format_key
 
@@ -33,6 +35,15 @@ def _order(order_cols: Sequence[str]) -> Column:
     return cols[0] if len(cols) == 1 else F.struct(*cols)
 
 
+# More than all values of a long.
+_STEP = Decimal(2 * 10**19)
+
+
+def _packed(first: str, second: str) -> Column:
+    """Two integer columns as one number of the same order (a struct would make the merge sort its rows)."""
+    return (F.col(first).cast("decimal(18,0)") * F.lit(_STEP)).cast("decimal(38,0)") + F.col(second).cast("decimal(19,0)")
+
+
 def kv_current(
     log: DataFrame,
     key: str = "key",
@@ -46,9 +57,16 @@ def kv_current(
     """
     if cells is None:
         cells = [c for c in log.columns if c not in (key, *order_cols, BATCH)]
-    ordv = _order(order_cols)
+    kinds = {f.name: f.dataType for f in log.schema.fields}
+    packed = len(order_cols) == 2 and all(isinstance(kinds[c], T.IntegralType) for c in order_cols)
+    ordv = _packed(*order_cols) if packed else _order(order_cols)
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordv)).alias(c) for c in cells]
-    last = F.max(F.col(order_cols[-1])) if len(order_cols) == 1 else F.max(ordv)[order_cols[-1]]
+    if packed:
+        # the second number again: what is left beside the multiples of the step
+        place = F.pmod(F.max(ordv) + F.lit(_STEP / 2), F.lit(_STEP)) - F.lit(_STEP / 2)
+        last = place.cast(kinds[order_cols[-1]])
+    else:
+        last = F.max(F.col(order_cols[-1])) if len(order_cols) == 1 else F.max(ordv)[order_cols[-1]]
     return log.groupBy(key).agg(last.alias(order_cols[-1]), *aggs)
 
 

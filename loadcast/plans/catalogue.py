@@ -836,3 +836,64 @@ def q_forecast_24h_check(spark, sf_dir):
     low, high = train.agg(F.round(F.min("mw"), 2), F.round(F.max("mw"), 2)).first()  # two scalars
     preds = FC.forecast(model, FC.forecast_inputs(_joined(spark, sf_dir), avg_scale=CENTS))
     return preds.select("ts", F.col("predicted_load_mw").between(low, high).alias("in_training_range"))
+
+
+# ------------------------------------------------------------------ a stream of several batches with bad messages
+
+
+_STREAM_FILES = 4
+_BATCH_TIME = "2024-06-01 00:00:00"
+
+
+def _odd_stream(spark, sf_dir, runs: int = 1) -> dict[str, str]:
+    """Odd messages in four files, one file a batch; with two runs the whole stream is replayed
+    (a new checkpoint) into the same folders.  -> paths of log, rejects and metrics."""
+    messages = AD.odd_load_messages(AD.read_table(spark, sf_dir, "events"))
+    source = scratch_path(spark, "stream-in")
+    messages.repartitionByRange(_STREAM_FILES, "seq").write.parquet(source)
+    paths = {name: scratch_path(spark, f"stream-{name}") for name in ("log", "rejects", "metrics")}
+    for _ in range(runs):
+        src = IN.file_message_stream(spark, source, messages.schema, max_files=1)
+        at = F.lit(_BATCH_TIME).cast("timestamp_ntz").cast("timestamp")
+        parsed = IN.parse_readings(src, IN.LOAD_SCHEMA, "timestamp", batch_time=F.to_utc_timestamp(at, F.current_timezone()))
+        IN.run_for(IN.start_ingest(
+            parsed, paths["log"], scratch_path(spark, "stream-ckpt"), IN.load_cells(), trigger={"availableNow": True},
+            reject_path=paths["rejects"], metrics_path=paths["metrics"],
+        ))
+    return paths
+
+
+@register("stream_rejects", "SELECT event_id AS seq, value AS current_reading FROM events WHERE event_id % 50 = 1")
+def q_stream_rejects(spark, sf_dir):
+    """P24 + T7: messages with an empty key are set aside, null keys and broken JSON dropped; the stream goes on."""
+    return spark.read.parquet(_odd_stream(spark, sf_dir)["rejects"]).select("seq", "current_reading")
+
+
+@register(
+    "stream_metrics",
+    f"""
+SELECT CAST({_STREAM_FILES} AS BIGINT) AS batches, CAST(count(*) FILTER (WHERE event_id % 50 NOT IN (0, 3)) AS BIGINT) AS rows,
+       CAST(count(*) FILTER (WHERE event_id % 50 = 1) AS BIGINT) AS rejected,
+       CAST(count(*) FILTER (WHERE event_id % 50 NOT IN (0, 1, 3)) AS BIGINT) AS written
+FROM events""",
+)
+def q_stream_metrics(spark, sf_dir):
+    """A4 + T1: the counts of each batch, one file a batch, summed up."""
+    kept = spark.read.parquet(_odd_stream(spark, sf_dir)["metrics"])
+    return kept.agg(
+        F.count_distinct(KV.BATCH).alias("batches"), F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"), F.sum("written").alias("written")
+    )
+
+
+@register(
+    "stream_replay",
+    f"""
+SELECT event_id AS seq, CASE WHEN event_id % 50 = 2 THEN 'not a time' ELSE strftime(date_trunc('hour', ts), '{O.KEY_FMT}') END AS key,
+       CASE WHEN event_id % 50 = 2 THEN epoch_ms(TIMESTAMP '{_BATCH_TIME}')
+            ELSE CAST(epoch_ms(timezone('{O.ZONE}', date_trunc('hour', ts))) AS BIGINT) END AS timestamp_ms,
+       value AS current_reading
+FROM events WHERE event_id % 50 NOT IN (0, 1, 3)""",
+)
+def q_stream_replay(spark, sf_dir):
+    """T4 + T8 + P25: the stream run twice leaves every message once; an unreadable key gets the batch's time."""
+    return KV.kv_read_log(spark, _odd_stream(spark, sf_dir, runs=2)["log"]).select("seq", "key", "timestamp_ms", "current_reading")

@@ -83,3 +83,12 @@ def keyed_upserts(events: DataFrame) -> DataFrame:
         .alias("value"),
         F.col("props"),
     )
+
+
+def odd_load_messages(events: DataFrame) -> DataFrame:
+    """(value, seq) load readings, some with a null, empty or unreadable key or broken JSON
+    (``event_id`` 0, 1, 2, 3 modulo 50)."""
+    turn = F.col("event_id") % 50
+    key = F.when(turn == 1, "").when(turn == 2, "not a time").when(turn != 0, format_key(hour_floor("ts")))
+    body = F.to_json(F.struct(key.alias("timestamp"), F.col("value").alias("current_reading")))
+    return events.select(F.when(turn == 3, "{broken").otherwise(body).alias("value"), F.col("event_id").alias("seq"))

@@ -23,7 +23,7 @@ def test_batch_layer_end_to_end(spark, scratch):
     n_load, n_weather = J.csv_to_parquet(
         spark, scratch + "/load_csv", scratch + "/weather_csv", scratch + "/load_pq", scratch + "/weather_pq"
     )
-    assert (n_load, n_weather) == (720, 672)
+    assert (n_load, n_weather) == (720, 678)
 
     load_t = FI.external_table(spark, "t_jobs_load", scratch + "/load_pq", LOAD)
     weather_t = FI.external_table(spark, "t_jobs_weather", scratch + "/weather_pq", WEATHER)

@@ -144,3 +144,11 @@ def test_training_table_leaves_no_table(spark):
     before = spark.catalog.listTables()
     assert E.queries()["training_table"](spark, "/root/testdata/sf0.001").count() == 363
     assert [t.name for t in spark.catalog.listTables() if not t.isTemporary] == [t.name for t in before if not t.isTemporary]
+
+
+def test_merge_of_numbers_hashes_and_keeps_order(spark):
+    rows = [(k, b, s, float(b * 100 + s)) for k in range(3) for b in range(3) for s in (-(1 << 62), -5, 0, 7, 1 << 62)]
+    log = spark.createDataFrame(rows, "key long, batch_id int, seq long, v double")
+    current = KV.kv_current(log, "key", (KV.BATCH, "seq"), ["v"])
+    assert "SortAggregate" not in current._jdf.queryExecution().executedPlan().toString()
+    assert {(r.seq, r.v) for r in current.collect()} == {(1 << 62, float(200 + (1 << 62)))}
