@@ -7,8 +7,10 @@ target is ``f`` times its size gives ``floor(f)`` whole copies of every
 document for certain; the rest is a sample of words of fixed size: documents
 are ranked by Q = (U / (1 - U)) / (p / (1 - p)), with U a hash of the document
 and p = f - floor(f) its inclusion probability, and taken from the smallest Q
-on while they fit.  Last, the one document left over whose size is nearest to
-the words still missing is taken if that brings the source nearer its target.
+on while they fit.  Where one doesn't, those behind it that aren't larger than
+what is missing go on in the same way (``ROUNDS`` in all).  Last, the one
+document left over whose size is nearest to the words still missing is taken
+if that brings the source nearer its target.
 
 No source is ever in one task: Q is cut into ``BINS`` ranges whose sizes are
 summed first, and only the documents of the range that the sample ends in are
@@ -31,6 +33,8 @@ from .common import WORD, fresh, materialize
 # The repeating weights of sources in order.
 WEIGHTS = (5, 2, 1)
 BINS = 4096
+#: Times that the sample goes on past a document that doesn't fit.
+ROUNDS = 3
 
 
 def word_count(text: Column) -> Column:
@@ -95,63 +99,98 @@ def _rank() -> Column:
     return F.when(F.col("p") > 0, q / (1 + q))
 
 
-def sample_plan(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """``targets`` and what to sample: documents of rank up to ``last``, and the one of rank ``extra``."""
-    drawn = (
-        _by_source(rows, targets)
-        .select("source", "size", "u", "p", (F.col("target") - F.col("certain") * F.col("source_size")).alias("want"))
-        .withColumn("rank", _rank())
-        .where(F.col("rank").isNotNull() & (F.col("size") > 0))
-    )
-    # rows of equal rank stand or fall together
-    ranks = drawn.groupBy("source", "rank").agg(F.sum("size").alias("words"), F.first("want").alias("want"))
-    binned = materialize(ranks.withColumn("bin", F.floor(F.col("rank") * BINS)), "mix-ranks")
-    upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _fill(ranks: DataFrame, state: DataFrame) -> DataFrame:
+    """(source, hi, upto): how far a source can go on from ``state`` (source, lo, upto).
+
+    ranks: those that may still be taken, with the words wanted; rows are
+    taken by rank while they fit, the words so far added to ``upto``.
+    """
     bins = (
-        binned.groupBy("source", "bin")
+        ranks.groupBy("source", "bin")
         .agg(F.sum("words").alias("bin_words"), F.first("want").alias("want"))
-        .withColumn("upto", F.sum("bin_words").over(upto))
+        .withColumn("sum", F.sum("bin_words").over(Window.partitionBy("source").orderBy("bin")))
     )
     # the first range that doesn't fit as a whole (or none)
+    over = F.col("upto") + F.col("sum") > F.col("want")
     edge = (
-        bins.groupBy("source")
-        .agg(
-            F.min(F.when(F.col("upto") > F.col("want"), F.col("bin"))).alias("edge_bin"),
-            F.coalesce(F.max(F.when(F.col("upto") <= F.col("want"), F.col("upto"))), F.lit(0)).alias("edge_before"),
+        _by_source(bins, state)
+        .groupBy("source", "lo", "upto")
+        .agg(F.min(F.when(over, F.col("bin"))).alias("edge_bin"), F.max(F.when(~over, F.col("sum"))).alias("whole"))
+        .select(
+            "source", "lo", F.coalesce("edge_bin", F.lit(BINS + 1)).alias("edge_bin"),
+            (F.col("upto") + F.coalesce("whole", F.lit(0))).alias("edge_before"),
         )
-        .withColumn("edge_bin", F.coalesce("edge_bin", F.lit(BINS + 1)))
     )
-    inside = _by_source(binned, edge)
     ordered = Window.partitionBy("source").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fits = F.col("sum") <= F.col("want")
     cut = (
-        inside.where(F.col("bin") == F.col("edge_bin"))
-        .withColumn("upto", F.col("edge_before") + F.sum("words").over(ordered))
+        _by_source(ranks, edge.drop("lo"))
+        .where(F.col("bin") == F.col("edge_bin"))
+        .withColumn("sum", F.col("edge_before") + F.sum("words").over(ordered))
         .groupBy("source")
-        .agg(
-            F.max(F.when(F.col("upto") <= F.col("want"), F.col("rank"))).alias("cut_rank"),
-            F.max(F.when(F.col("upto") <= F.col("want"), F.col("upto"))).alias("cut_upto"),
-        )
+        .agg(F.max(F.when(fits, F.col("rank"))).alias("cut_rank"), F.max(F.when(fits, F.col("sum"))).alias("cut_upto"))
     )
-    cuts = _by_source(edge, cut, "left").select(
+    return _by_source(edge, cut, "left").select(
         "source",
-        F.coalesce("cut_rank", F.col("edge_bin") / BINS * (1 - 2.0**-50)).alias("last"),
+        F.greatest("lo", F.coalesce("cut_rank", F.col("edge_bin") / BINS * (1 - 2.0**-50))).alias("hi"),
         F.coalesce("cut_upto", "edge_before").alias("upto"),
     )
-    left_over = _by_source(binned, cuts).where(F.col("rank") > F.col("last"))
+
+
+def sample_plan(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """``targets`` and what to sample: ``steps`` (documents of rank above lo, up to hi, of at most
+    ``limit`` words), and the one of rank ``extra``."""
+    drawn = (
+        _by_source(rows, targets)
+        .select("source", "size", "u", "p", (F.col("target") - F.col("certain") * F.col("source_size")).alias("want"))
+        .withColumn("rank", _rank())
+        .where(F.col("rank").isNotNull() & (F.col("size") > 0))
+    )
+    # rows of equal rank stand or fall together
+    ranks = drawn.groupBy("source", "rank").agg(F.sum("size").alias("words"), F.max("size").alias("size"), F.first("want").alias("want"))
+    binned = materialize(ranks.withColumn("bin", F.floor(F.col("rank") * BINS)), "mix-ranks")
+    no_steps = F.array().cast("array<struct<lo:double,hi:double,limit:double>>")
+    state = materialize(
+        binned.groupBy("source").agg(F.first("want").alias("wanted"))
+        .select("source", "wanted", F.lit(-1.0).alias("lo"), F.lit(0).cast("long").alias("upto"), no_steps.alias("steps")),
+        "mix-state",
+    )
+    for _ in range(ROUNDS):
+        # past the document that didn't fit, those go on that aren't larger than what is missing
+        gap = F.col("wanted") - F.col("upto")
+        open_ranks = _by_source(binned, state.drop("steps")).where((F.col("rank") > F.col("lo")) & (F.col("size") <= gap))
+        filled = _fill(open_ranks.select(*binned.columns), state.select("source", "lo", "upto"))
+        filled = filled.withColumnRenamed("upto", "new_upto")
+        hi = F.coalesce("hi", "lo")
+        state = materialize(
+            _by_source(state, filled, "left").select(
+                "source", "wanted", hi.alias("lo"), F.coalesce("new_upto", "upto").alias("upto"),
+                F.concat("steps", F.array(F.struct(F.col("lo"), hi.alias("hi"), gap.alias("limit")))).alias("steps"),
+            ),
+            "mix-state",
+        )
+    left_over = _by_source(binned, state).where(~_in_steps(F.col("rank"), F.col("size"), F.col("steps")))
     miss = F.abs(F.col("want") - F.col("upto") - F.col("words"))
     extra = (
         left_over.where(miss < F.col("want") - F.col("upto"))
         .groupBy("source")
         .agg(F.min(F.struct(miss.alias("miss"), "rank"))["rank"].alias("extra"))
     )
-    return _by_source(_by_source(targets, cuts, "left"), extra, "left").select(
-        "source", "source_size", "target", "certain", "p", "last", "extra"
+    return _by_source(_by_source(targets, state.select("source", "steps"), "left"), extra, "left").select(
+        "source", "source_size", "target", "certain", "p", "steps", "extra"
     )
 
 
+def _in_steps(rank: Column, size: Column, steps: Column) -> Column:
+    return F.exists(steps, lambda s: (rank > s["lo"]) & (rank <= s["hi"]) & (size <= s["limit"]))
+
+
+def _sampled(rank: Column, size: Column, steps: Column, extra: Column) -> Column:
+    return F.coalesce(_in_steps(rank, size, steps) | (rank == extra), F.lit(False))
+
+
 def _copies() -> Column:
-    rank = _rank()
-    sampled = F.coalesce((rank <= F.col("last")) | (rank == F.col("extra")), F.lit(False))
+    sampled = _sampled(_rank(), F.col("size"), F.col("steps"), F.col("extra"))
     return F.when(F.col("size") > 0, F.col("certain") + sampled.cast("long")).otherwise(F.lit(0)).cast("long")
 
 
@@ -182,6 +221,6 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     joined = drawn.join(plan, F.col(source).cast("string").eqNullSafe(F.col(own["source"])))
     rank_q = (F.col(own["u"]) / (1 - F.col(own["u"]))) / (F.col(own["p"]) / (1 - F.col(own["p"])))
     rank = F.when(F.col(own["p"]) > 0, rank_q / (1 + rank_q))
-    sampled = F.coalesce((rank <= F.col(own["last"])) | (rank == F.col(own["extra"])), F.lit(False)).cast("int")
+    sampled = _sampled(rank, F.col(own["size"]), F.col(own["steps"]), F.col(own["extra"])).cast("int")
     copies = F.when(F.col(own["size"]) > 0, F.col(own["certain"]).cast("int") + sampled).otherwise(0)
     return joined.withColumn(own["copies"], F.explode(F.array_repeat(F.lit(True), copies))).select(*docs.columns)
