@@ -126,18 +126,28 @@ def default_tie_break(df: DataFrame, order: Sequence[str]) -> list[str]:
     ]
 
 
+#: Hours that ``densify_hours`` lists together.
+_STRETCH = 1024
+
+
 def densify_hours(df: DataFrame, ts: str = "ts", key: str | None = KEY, series_keys: Sequence[str] = ()) -> DataFrame:
     """Add a filler row (``_filler`` true, measures null) for every missing hour
     between each series' first and last hour, so row offsets equal hours.
 
-    The grid is built per series with ``sequence`` + ``explode`` (bounded by
-    the series' span in hours) and anti-joined with the hours present.
+    The grid of a series is built in two steps, first the starts of stretches of
+    ``_STRETCH`` hours, then the hours of each, so no row ever holds the whole
+    span (a mistyped far year would make a huge array), and anti-joined with
+    the hours present.
     """
     bounds = df.where(F.col(ts).isNotNull()).groupBy(*series_keys).agg(
         F.min(ts).alias("_lo"), F.max(ts).alias("_hi")
     )
-    grid = bounds.select(
-        *series_keys, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 HOUR"))).alias(ts)
+    stretches = bounds.select(
+        *series_keys, "_hi", F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {_STRETCH} HOUR"))).alias("_from")
+    )
+    until = F.least("_hi", F.col("_from") + F.expr(f"INTERVAL {_STRETCH - 1} HOUR"))
+    grid = stretches.select(
+        *series_keys, F.explode(F.sequence(F.col("_from"), until, F.expr("INTERVAL 1 HOUR"))).alias(ts)
     )
     present = df.select(*series_keys, ts)
     missing = grid.join(present, [*series_keys, ts], "left_anti")

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from loadcast.functions.timekeys import format_key
-from loadcast.operators.features import final_features, join_raw, time_features, weather_features, window_features
+from loadcast.operators.features import densify_hours, final_features, join_raw, time_features, weather_features, window_features
 from loadcast.schemas import LOAD, WEATHER
 
 
@@ -100,6 +100,18 @@ def test_feature_chain_names(spark):
     assert cols[-6:] == ["load_lag_1h", "load_lag_24h", "load_lag_7d", "temp_lag_2h", "temp_change_24h", "load_ma_7d"]
 
 
+def test_densify_over_many_stretches(spark):
+    """A span of several stretches, its last one cut short, and a series of one hour."""
+    rows = [("a", "2021-01-01 05:00:00"), ("a", "2021-01-01 06:00:00"), ("a", "2021-06-30 17:00:00"), ("b", "2021-03-03 03:00:00")]
+    df = spark.createDataFrame(rows, "s string, t string").select("s", F.col("t").cast("timestamp_ntz").alias("ts"))
+    dense = densify_hours(df, key=None, series_keys=["s"])
+    got = dense.groupBy("s").agg(F.count("*").alias("n"), F.count_distinct("ts").alias("d"), F.count_if("_filler").alias("f"), F.max("ts").alias("hi")).collect()
+    hours = 180 * 24 + 13
+    assert {r.s: (r.n, r.d, r.f, str(r.hi)) for r in got} == {
+        "a": (hours, hours, hours - 3, "2021-06-30 17:00:00"), "b": (1, 1, 0, "2021-03-03 03:00:00")
+    }
+
+
 def test_densify_counts_hours(spark):
     keys = _hours(30, skip={5})
     load = spark.createDataFrame([(k, float(i)) for i, k in enumerate(keys)], LOAD)
