@@ -6,9 +6,15 @@ recursion in log space; a text is its words and one end.  The pieces are those
 of an existing sentencepiece file (its path is a parameter; pieces with a white
 space inside play no part) and all single bytes, so every word has a
 segmentation.  The file's scores give the starting weights; expectation-
-maximisation over the counted words of all training documents re-estimates
+maximisation over the distinct words of all training documents re-estimates
 them (the vocabulary stays as it is).
 
+Besides, every word of the training documents is a piece of its own lattice,
+weighed by its count less a discount; what the discounts leave, and no more, is
+shared by the segmentations into the vocabulary's pieces.  So a word that was
+seen scores by how often, one that wasn't by its spelling, and the
+probabilities of all words and the end sum to 1.
+
 Counts are corpus-wide: documents are dealt to groups of bounded text size,
 each group gives its distinct words with training counts, words are summed over
 the groups, and every group gets back one row per word of its own (count and
@@ -206,12 +212,12 @@ def group_words(docs: DataFrame) -> DataFrame:
     return docs.select("g", "train", "text").mapInArrow(scan, "g int, code long, word binary, n long")
 
 
-def reestimate(words: DataFrame, pieces: dict[bytes, float], ends: int, rounds: int = 2) -> tuple[dict[bytes, float], float]:
-    """EM over (word, n): new weights of the pieces, and the probability of the end.
+def reestimate(words: DataFrame, pieces: dict[bytes, float], rounds: int = 2) -> dict[bytes, float]:
+    """EM over the distinct training words of (word, n): new weights of the pieces.
 
-    Only sums per piece come to the driver, as integers (so their order doesn't matter)."""
+    The pieces have to spell words that were hardly seen, so a word counts once.  Only sums per
+    piece come to the driver, as integers (so their order doesn't matter)."""
     unit = 1 << 20
-    p_end = (ends + 1) / (ends + 2)
     for _ in range(rounds):
         names = list(pieces)
         weight = np.array([pieces[p] for p in names])
@@ -219,24 +225,22 @@ def reestimate(words: DataFrame, pieces: dict[bytes, float], ends: int, rounds:
         def scan(batches: Iterator[pa.RecordBatch], names: list[bytes] = names, weight: np.ndarray = weight) -> Iterator[pa.RecordBatch]:
             lattice, used = Lattice(names, weight), np.zeros(len(names), dtype=np.int64)
             for batch in batches:
-                times = batch.column(1).to_numpy()
                 for rows, matrix in by_length(batch.column(0)):
                     part = np.zeros(len(names))
-                    lattice.expected(matrix, times[rows].astype(float), part)
+                    lattice.expected(matrix, np.ones(len(rows)), part)
                     used += np.round(part * unit).astype(np.int64)
             some = np.flatnonzero(used)
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(used[some])], names=["piece", "used"])
 
-        sums = words.where("n > 0").select("word", "n").mapInArrow(scan, "piece long, used long").groupBy("piece").agg(F.sum("used").alias("used"))
+        sums = words.where("n > 0").select("word").mapInArrow(scan, "piece long, used long").groupBy("piece").agg(F.sum("used").alias("used"))
         used = np.zeros(len(names))
         for row in sums.toLocalIterator():
             used[row["piece"]] = row["used"] / unit
         if used.sum() == 0:
             break
-        p_end = (ends + 1) / (ends + used.sum() + 2)
         used += 0.1
         pieces = dict(zip(names, used / used.sum(), strict=True))
-    return pieces, p_end
+    return pieces
 
 
 @dataclass(frozen=True)
@@ -244,10 +248,28 @@ class Totals:
     tokens: int  # N: training tokens, ends included
     distinct: int  # V: distinct ones
     ends: int  # training documents
+    once: int = 0  # distinct training words with count 1
+    twice: int = 0  # and 2
 
     def base(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
 
+    def log_end(self) -> float:
+        """Log probability that the text ends."""
+        return math.log((self.ends + 1) / (self.tokens + 2))
+
+    def log_word(self, count: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+        """Log probability of words of these training counts, as pieces of their own or ``spelled`` by the vocabulary's."""
+        words, distinct = self.tokens - self.ends, self.distinct - (self.ends > 0)
+        going_on = math.log1p(-(self.ends + 1) / (self.tokens + 2))
+        if not words:
+            return spelled + going_on
+        # the discount of absolute discounting, by the numbers of rare words
+        discount = min(max(self.once / (self.once + 2 * self.twice), 0.1), 0.9) if self.once else 0.5
+        with np.errstate(divide="ignore"):
+            whole = np.log(np.maximum(count - discount, 0) / words)
+        return np.logaddexp(whole, math.log(discount * distinct / words) + spelled) + going_on
+
 
 def pack_known(known: DataFrame) -> DataFrame:
     """(g, code, n, lattice) -> (g, codes, counts, scores): one row per group and batch, values packed as 64-bit numbers."""
@@ -263,7 +285,7 @@ def pack_known(known: DataFrame) -> DataFrame:
     return known.select("g", "code", "n", "lattice").mapInArrow(run, "g int, codes binary, counts binary, scores binary")
 
 
-def score_groups(stream: DataFrame, totals: Totals, p_end: float) -> DataFrame:
+def score_groups(stream: DataFrame, totals: Totals) -> DataFrame:
     """stream: rows of a group in order, its packed words first (is_doc false), then its documents."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +317,7 @@ def score_groups(stream: DataFrame, totals: Totals, p_end: float) -> DataFrame:
                     columns[0].append(size + 1)
                     columns[1].append(np.bincount(own, c > 0, texts).astype(np.int64) + (totals.ends > 0))
                     columns[2].append(np.bincount(own, totals.base(c), texts) + totals.base(np.array([totals.ends])))
-                    columns[3].append((np.bincount(own, lattice[place], texts) + math.log(p_end)) / math.log(10))
+                    columns[3].append((np.bincount(own, lattice[place], texts) + totals.log_end()) / math.log(10))
                 done = [np.concatenate(c) for c in columns]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(5), part.column(6), pa.array(done[0]), pa.array(done[1]), pa.array(np.full(hi - lo, totals.tokens, np.int64)), pa.array(done[2]), pa.array(done[3])],
@@ -307,10 +329,10 @@ def score_groups(stream: DataFrame, totals: Totals, p_end: float) -> DataFrame:
     )
 
 
-def lattice_scores(words: DataFrame, pieces: dict[bytes, float], p_end: float) -> DataFrame:
-    """(word, n) -> (word, n, lattice): natural log of the word's probability after "no end yet"."""
+def lattice_scores(words: DataFrame, pieces: dict[bytes, float], totals: Totals) -> DataFrame:
+    """(word, n) -> (word, n, lattice): natural log of the word's probability over all its segmentations."""
     names = list(pieces)
-    weight = np.array([pieces[p] for p in names]) * (1 - p_end)
+    weight = np.array([pieces[p] for p in names])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(names, weight)
@@ -318,6 +340,7 @@ def lattice_scores(words: DataFrame, pieces: dict[bytes, float], p_end: float) -
             out = np.zeros(batch.num_rows)
             for rows, matrix in by_length(batch.column(0)):
                 out[rows] = lattice.forward(matrix)[:, -1]
+            out = totals.log_word(batch.column(1).to_numpy(), out)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], names=["word", "n", "lattice"])
 
     return words.select("word", "n").mapInArrow(scan, "word binary, n long, lattice double")
@@ -342,12 +365,15 @@ def score(docs: DataFrame, held_out: Column, vocabulary: str, doc_id: str = "doc
     dealt = rows.select("g", (~F.col("held_out")).alias("train"), "text").repartition(parts, "g")
     own = materialize(group_words(dealt), "lm-group-words")
     words = materialize(own.groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
-    counted = words.agg(F.sum("n").alias("tokens"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct")).first()
+    n = F.col("n")
+    counted = words.agg(
+        F.sum("n").alias("tokens"), F.count_if(n > 0).alias("distinct"), F.count_if(n == 1).alias("once"), F.count_if(n == 2).alias("twice")
+    ).first()
     ends = size["ends"]
-    totals = Totals((counted["tokens"] or 0) + ends, counted["distinct"] + (ends > 0), ends)
+    totals = Totals((counted["tokens"] or 0) + ends, counted["distinct"] + (ends > 0), ends, counted["once"], counted["twice"])
 
-    pieces, p_end = reestimate(words, with_bytes(read_pieces(vocabulary)), ends)
-    scored = lattice_scores(words, pieces, p_end)
+    pieces = reestimate(words, with_bytes(read_pieces(vocabulary)))
+    scored = lattice_scores(words, pieces, totals)
     # a word that two batches of a group gave is there twice, with the same values
     known = pack_known(own.select("g", "code", "word").join(scored, "word"))
     none = F.lit(None)
@@ -362,4 +388,4 @@ def score(docs: DataFrame, held_out: Column, vocabulary: str, doc_id: str = "doc
         .repartition(parts, "g")
         .sortWithinPartitions("g", "is_doc")
     )
-    return score_groups(stream, totals, p_end)
+    return score_groups(stream, totals)
