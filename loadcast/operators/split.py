@@ -5,19 +5,27 @@ The reference takes ``limit(int(0.8 * n))`` of a ts-sorted frame as train and
 ``exceptAll`` hashes whole rows.  Here the rows get a global number once
 (``with_sequence``) and the split is a filter on it: the same rows, fully
 parallel.  ``exceptAll`` remains available as a check.
+
+A frame that kept the number its windows were computed over (``rn``, which may
+have gaps) isn't numbered again: rows are counted per stretch of numbers, and
+only the stretch that the cut falls into is ordered.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadcast.operators.features import default_tie_break
 from loadcast.operators.sequence import with_sequence
 
 
+#: Row numbers of a stretch that are counted together.
+STRETCH = 1 << 20
+
+
 def numbered(df: DataFrame, order: Sequence[str] = ("ts",), tie_break: Sequence[str] | None = None) -> DataFrame:
     ties = list(default_tie_break(df, order) if tie_break is None else tie_break)
     return with_sequence(df, [*order, *ties], rn_col="_rn")
@@ -28,37 +36,73 @@ def split_cut(n: int, ratio: float) -> int:
     return int(ratio * n)
 
 
+def first_test_number(df: DataFrame, ratio: float, rn: str, stretch: int = STRETCH) -> int | None:
+    """The number ``rn`` of the first row behind the first ``int(ratio*n)``; None if there is none.
+
+    One row per stretch is summed up in order; one number comes to the driver.
+    """
+    home = F.expr(f"`{rn}` div {int(stretch)}")
+    before = Window.orderBy("_home").rowsBetween(Window.unboundedPreceding, -1)
+    placed = df.groupBy(home.alias("_home")).agg(F.count(F.lit(1)).alias("_n")).select(
+        "_home", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_total")
+    )
+    cut = F.floor(F.lit(float(ratio)) * F.col("_total"))
+    row = placed.where((F.col("_before") <= cut) & (cut < F.col("_before") + F.col("_n"))).select("_home", "_before", "_total").first()
+    if row is None:
+        return None
+    skip = split_cut(row["_total"], ratio) - row["_before"]  # less than a stretch
+    return df.where(home == row["_home"]).select(rn).orderBy(rn).offset(skip).limit(1).first()[0]
+
+
+def mark_test(
+    df: DataFrame,
+    ratio: float = 0.8,
+    order: Sequence[str] = ("ts",),
+    tie_break: Sequence[str] | None = None,
+    rn: str | None = None,
+    flag: str = "_test",
+) -> DataFrame:
+    """``df`` without ``rn`` and with a column ``flag``: false for the first ``int(ratio*n)`` rows in
+    time order, true for the rest.
+
+    ``rn``: a column of ``df`` that already numbers the rows in that order, if there is one.
+    """
+    if rn is None:
+        seq = numbered(df, order, tie_break)
+        cut = split_cut(seq.count(), ratio)  # one scalar to the driver
+        return seq.withColumn(flag, F.col("_rn") >= cut).drop("_rn")
+    first = first_test_number(df, ratio, rn)
+    return df.withColumn(flag, F.lit(False) if first is None else F.col(rn) >= first).drop(rn)
+
+
 def time_split(
     df: DataFrame,
     ratio: float = 0.8,
     order: Sequence[str] = ("ts",),
     tie_break: Sequence[str] | None = None,
+    rn: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test): the first ``int(ratio*n)`` rows in time order, and the rest."""
-    seq = numbered(df, order, tie_break)
-    n = seq.count()  # a Parquet count of the fixed numbering; one scalar to the driver
-    cut = split_cut(n, ratio)
-    train = seq.where(F.col("_rn") < cut).drop("_rn")
-    test = seq.where(F.col("_rn") >= cut).drop("_rn")
-    return train, test
+    marked = mark_test(df, ratio, order, tie_break, rn)
+    return marked.where(~F.col("_test")).drop("_test"), marked.where("_test").drop("_test")
 
 
 def time_split_with_bounds(
-    df: DataFrame, ratio: float = 0.8, order: Sequence[str] = ("ts",), tie_break: Sequence[str] | None = None
+    df: DataFrame, ratio: float = 0.8, order: Sequence[str] = ("ts",), tie_break: Sequence[str] | None = None,
+    rn: str | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``time_split`` plus its bounds row, computed in one pass over the numbered rows."""
-    seq = numbered(df, order, tie_break)
-    cut = split_cut(seq.count(), ratio)
-    is_train = F.col("_rn") < cut
+    marked = mark_test(df, ratio, order, tie_break, rn)
+    is_train = ~F.col("_test")
     ts = F.col(order[0])
-    bounds = seq.agg(
+    bounds = marked.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(is_train).alias("train_rows"),
         F.count_if(~is_train).alias("test_rows"),
         F.max(F.when(is_train, ts)).alias("train_max_ts"),
         F.min(F.when(~is_train, ts)).alias("test_min_ts"),
     ).withColumn("ordered", F.coalesce(F.col("train_max_ts") <= F.col("test_min_ts"), F.lit(True)))
-    return seq.where(is_train).drop("_rn"), seq.where(~is_train).drop("_rn"), bounds
+    return marked.where(is_train).drop("_test"), marked.where(~is_train).drop("_test"), bounds
 
 
 def split_bounds(train: DataFrame, test: DataFrame, ts: str = "ts") -> DataFrame:

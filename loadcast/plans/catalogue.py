@@ -203,8 +203,14 @@ def _model_frame(spark, sf_dir):
     return q_final_features(spark, sf_dir).drop(KEY)
 
 
+def _numbered_frame(spark, sf_dir):
+    """``_model_frame`` with the row number (``rn``) that its windows were computed over."""
+    load, weather = _series(spark, sf_dir)
+    return FE.final_features(load, weather, avg_scale=CENTS, keep_rn=True).drop(KEY)
+
+
 def _split(spark, sf_dir):
-    return SP.time_split(_model_frame(spark, sf_dir), ratio=0.8)
+    return SP.time_split(_numbered_frame(spark, sf_dir), ratio=0.8, rn="rn")
 
 
 _SPLIT_SQL = O.with_ctes(*O.SPLIT_CTES)
@@ -237,15 +243,15 @@ FROM numbered""",
 )
 def q_split_bounds(spark, sf_dir):
     """A1 + A2: sizes and boundary timestamps of the split, and their order check."""
-    return SP.time_split_with_bounds(_model_frame(spark, sf_dir), ratio=0.8)[2]
+    return SP.time_split_with_bounds(_numbered_frame(spark, sf_dir), ratio=0.8, rn="rn")[2]
 
 
 @register("split_except_all", _SPLIT_SQL + " SELECT * EXCLUDE (_rn) FROM numbered WHERE _rn >= (SELECT c FROM cut)")
 def q_split_except_all(spark, sf_dir):
     """X1 as the reference computes it: all rows EXCEPT ALL the train rows."""
-    df = _model_frame(spark, sf_dir)
-    train, _ = SP.time_split(df, ratio=0.8)
-    return SP.test_by_except_all(df, train)
+    df = _numbered_frame(spark, sf_dir)
+    train, _ = SP.time_split(df, ratio=0.8, rn="rn")
+    return SP.test_by_except_all(df.drop("rn"), train)
 
 
 # ------------------------------------------------------------------ model
@@ -552,10 +558,9 @@ FROM numbered""",
 )
 def q_assembler_split_rows(spark, sf_dir):
     """M1 on the split: rows the model trains and is scored on, and the feature count."""
-    train, test = _split(spark, sf_dir)
-    feats = ML.feature_columns(train.drop("mw"))
-    both = train.withColumn("_test", F.lit(False)).unionByName(test.withColumn("_test", F.lit(True)))
-    return ML.assembled_rows(both, feats).agg(
+    marked = SP.mark_test(_numbered_frame(spark, sf_dir), ratio=0.8, rn="rn", flag="_test")
+    feats = ML.feature_columns(marked.drop("mw", "_test"))
+    return ML.assembled_rows(marked, feats).agg(
         F.count_if(~F.col("_test")).alias("train_rows_assembled"),
         F.count_if(F.col("_test")).alias("test_rows_assembled"),
         F.lit(len(feats)).alias("n_features"),

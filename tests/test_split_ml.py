@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from conftest import SF01
 from loadcast.ml import model as ML
 from loadcast.operators import split as SP
@@ -36,6 +37,31 @@ def test_split_partition_and_order(feats, split):
     assert SP.test_by_except_all(feats, train).exceptAll(test).count() == 0
 
 
+@pytest.mark.parametrize("ratio", [0.0, 0.37, 0.8, 1.0])
+def test_split_on_kept_numbers_is_the_same(spark, ratio):
+    # numbers with gaps, as the warm-up filter leaves them, and stretches without a row
+    df = spark.range(0, 4000, 7, 5).where("id < 900 or id > 2500").select(F.col("id").alias("rn"), F.timestamp_seconds(F.col("id") * 3600).alias("ts"))
+    n = df.count()
+    for stretch in (1, 64, 1 << 20):
+        first = SP.first_test_number(df, ratio, "rn", stretch)
+        numbers = sorted(r.rn for r in df.collect())
+        assert first == (numbers[int(ratio * n)] if int(ratio * n) < n else None)
+    train, test = SP.time_split(df, ratio, rn="rn")
+    again = SP.time_split(df.drop("rn"), ratio)
+    assert [sorted(r.ts for r in d.collect()) for d in (train, test)] == [sorted(r.ts for r in d.collect()) for d in again]
+    assert SP.first_test_number(df.where("false"), ratio, "rn") is None
+
+
+@pytest.mark.parametrize("query", ["split_train", "split_bounds", "split_except_all", "assembler_split_rows", "rmse_seasonal"])
+def test_split_queries_number_rows_once(spark, monkeypatch, query):
+    from loadcast.operators import sequence
+
+    folders = []
+    monkeypatch.setattr(sequence, "scratch_path", lambda s, label, f=sequence.scratch_path: folders.append(label) or f(s, label))
+    E.queries()[query](spark, SF01).count()
+    assert folders == ["sequence"]
+
+
 def test_split_plan_has_no_large_limit(split):
     train, _ = split
     plan = train._jdf.queryExecution().executedPlan().toString()
