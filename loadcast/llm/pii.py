@@ -61,7 +61,7 @@ LOOSE = {
     "name": r"\b(?:" + "|".join(TITLES) + r")\.?\x20\p{Lu}\p{Ll}{1,30}(?:\x20\p{Lu}\p{Ll}{1,30})?"
     r"|\b(?:" + "|".join(FIRST_NAMES) + r")\x20\p{Lu}\p{Ll}{1,30}",
 }
-LOOSE_NEEDS = {"secret": r"[0-9]", "number": r"[0-9]{3}[.-][0-9]{4}|[0-9]{2}-[0-9]{4}", "name": r"\b(?:" + "|".join([*TITLES, *FIRST_NAMES]) + r")\b"}
+LOOSE_NEEDS = {"secret": r"[0-9]|(?i:" + "|".join(SECRET_WORDS) + ")", "number": r"[0-9]{3}[.-][0-9]{4}|[0-9]{2}-[0-9]{4}", "name": r"\b(?:" + "|".join([*TITLES, *FIRST_NAMES]) + r")\b"}
 KINDS = [*BASE, *LOOSE]
 _SPAN = "array<struct<kind:string,start:int,end:int,text:string,before:string>>"
 _CONTEXT = 24
