@@ -55,8 +55,8 @@ PRIVATE_WORDS = [*SECRET_WORDS, "key", "ssn", "iban", "account", "phone", "tel",
 PUBLIC_WORDS = "version vol page isbn issn doi figure section chapter".split()
 
 LOOSE = {
-    "secret": r"\b(?i:" + "|".join(SECRET_WORDS) + r")[\x20\"']{0,2}[=:][\x20\"']{0,2}[^\x20\x09-\x0D\"']{6,200}"
-    r"|(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]{0,200}[0-9])(?=[0-9_/+-]{0,200}[A-Za-z])[A-Za-z0-9_/+-]{16,200}(?![A-Za-z0-9_/+@-])",
+    "secret": r"\b(?i:" + "|".join(SECRET_WORDS) + r")[\x20\"']{0,2}[=:][\x20\"']{0,2}[^\x20\x09-\x0D\"']{6,}+"
+    r"|(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*+[0-9])(?=[0-9_/+-]*+[A-Za-z])[A-Za-z0-9_/+-]{16,}+(?!@)",
     "number": r"(?<![0-9+.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])|(?<![0-9+).-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9-])",
     "name": r"\b(?:" + "|".join(TITLES) + r")\.?\x20\p{Lu}\p{Ll}{1,30}(?:\x20\p{Lu}\p{Ll}{1,30})?"
     r"|\b(?:" + "|".join(FIRST_NAMES) + r")\x20\p{Lu}\p{Ll}{1,30}",
@@ -136,7 +136,7 @@ LABELERS = {
     "checked_format": lambda s: F.when(s["kind"].isin(*BASE), 1).otherwise(0),
     "key_format": lambda s: F.when(
         s["text"].rlike(r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9-]{16,}|[0-9a-f]{32,64}|[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30})$"), 1
-    ).when((s["kind"] == "secret") & s["text"].rlike(r"[/]|^[a-z]+(?:[-_][a-z]+)+[0-9]*$"), -1).otherwise(0),
+    ).when((s["kind"] == "secret") & s["text"].rlike(r"[/]|^[a-z]++(?:[-_][a-z]++)++[0-9]*+$"), -1).otherwise(0),
     "gazetteer": lambda s: F.when(s["text"].rlike(_any([*FIRST_NAMES, *TITLES, *SECRET_WORDS], r"\b")), 1).when(s["kind"] == "name", -1).otherwise(0),
     "context": lambda s: F.when(
         F.concat(s["before"], F.when(s["kind"] == "secret", s["text"]).otherwise(F.lit(""))).rlike(_any(PRIVATE_WORDS, r"\b[^A-Za-z]{0,4}"))

@@ -395,3 +395,22 @@ def test_pii_finds_a_password_without_any_digit(spark):
     got = {r.doc_id: r.spans for r in pii.pii_report(table).collect()}
     assert got[1] == got[2] == "secret:24:53" and got[3].startswith("secret:0:") and got[4] == ""
     assert all("correcthorse" not in r.text and "openthedoor" not in r.text for r in pii.redact(table).collect())
+
+
+def test_pii_takes_long_secrets_whole(spark):
+    rnd = random.Random(8)
+    rows, want = [], {}
+    for n in (200, 201, 5000):
+        mixed = "".join(rnd.choices("abcdefghijkABCDEFGHIJK0123456789", k=n - 2)) + "z7"
+        late, words = "x" * (n - 1) + "7", "".join(rnd.choices("abcdefghijk", k=n))
+        for text, at in ((f"key {mixed} here", 4), (f"key {late} here", 4), (f"now password={words} ok", 4), (f"now token: {mixed} ok", 4)):
+            rows.append((len(rows), text))
+            want[len(rows) - 1] = [(at, len(text) - len(text[at:].partition(" here")[1] or " ok"))]
+    hyphens = "a-" * 20_000 + "a9"  # a shape whose look must not recurse
+    rows.append((len(rows), hyphens))
+    want[len(rows) - 1] = [(0, len(hyphens))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = table.select("doc_id", pii.judged(pii.find_loose(F.col("text"))).alias("s")).collect()
+    assert {r.doc_id: [(s.start, s.end) for s in r.s if s.kind == "secret"] for r in found} == want
+    hidden = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(rows[:-1] * 5, "doc_id long, text string")).collect()}
+    assert all(hidden[i] == ("now [SECRET] ok" if t.startswith("now") else "key [SECRET] here") for i, t in rows[:-1] if "xxx" not in t)
