@@ -8,8 +8,8 @@ document for certain; the rest is a sample of words of fixed size: documents
 are ranked by Q = (U / (1 - U)) / (p / (1 - p)), with U a hash of the document
 and p = f - floor(f) its inclusion probability, and taken from the smallest Q
 on while they fit.  Where one doesn't, those behind it that aren't larger than
-what is missing go on in the same way (``ROUNDS`` in all).  Last, the one
-document left over whose size is nearest to the words still missing is taken
+what is missing go on in the same way, until none that is left over fits.  Last,
+the one document left over whose size is nearest to the words still missing is taken
 if that brings the source nearer its target.
 
 No source is ever in one task: Q is cut into ``BINS`` ranges whose sizes are
@@ -33,8 +33,6 @@ from .common import WORD, fresh, materialize
 # The repeating weights of sources in order.
 WEIGHTS = (5, 2, 1)
 BINS = 4096
-#: Times that the sample goes on past a document that doesn't fit.
-ROUNDS = 3
 
 
 def word_count(text: Column) -> Column:
@@ -137,9 +135,16 @@ def _fill(ranks: DataFrame, state: DataFrame) -> DataFrame:
     )
 
 
+def _next_fit(ranks: DataFrame, state: DataFrame) -> DataFrame:
+    """``state`` (source, wanted, hi, upto, steps) and ``lo``, the first rank above ``hi`` whose words fit (or null)."""
+    fits = (F.col("rank") > F.col("hi")) & (F.col("words") <= F.col("wanted") - F.col("upto"))
+    first = _by_source(ranks, state.drop("steps")).where(fits).groupBy("source").agg(F.min("rank").alias("lo"))
+    return _by_source(state, first, "left").select("source", "wanted", "hi", "upto", "steps", "lo")
+
+
 def sample_plan(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """``targets`` and what to sample: ``steps`` (documents of rank above lo, up to hi, of at most
-    ``limit`` words), and the one of rank ``extra``."""
+    """``targets`` and what to sample: ``steps`` (documents of rank lo to hi, of at most ``limit``
+    words), and the one of rank ``extra``."""
     drawn = (
         _by_source(rows, targets)
         .select("source", "size", "u", "p", (F.col("target") - F.col("certain") * F.col("source_size")).alias("want"))
@@ -151,24 +156,29 @@ def sample_plan(rows: DataFrame, targets: DataFrame) -> DataFrame:
     binned = materialize(ranks.withColumn("bin", F.floor(F.col("rank") * BINS)), "mix-ranks")
     no_steps = F.array().cast("array<struct<lo:double,hi:double,limit:double>>")
     state = materialize(
-        binned.groupBy("source").agg(F.first("want").alias("wanted"))
-        .select("source", "wanted", F.lit(-1.0).alias("lo"), F.lit(0).cast("long").alias("upto"), no_steps.alias("steps")),
+        _next_fit(
+            binned,
+            binned.groupBy("source").agg(F.first("want").alias("wanted"))
+            .select("source", "wanted", F.lit(-1.0).alias("hi"), F.lit(0).cast("long").alias("upto"), no_steps.alias("steps")),
+        ),
         "mix-state",
     )
-    for _ in range(ROUNDS):
+    # every round takes a document at least, so what is missing shrinks until none fits
+    while not state.where(F.col("lo").isNotNull()).isEmpty():
         # past the document that didn't fit, those go on that aren't larger than what is missing
         gap = F.col("wanted") - F.col("upto")
-        open_ranks = _by_source(binned, state.drop("steps")).where((F.col("rank") > F.col("lo")) & (F.col("size") <= gap))
+        open_ranks = _by_source(binned, state.drop("steps")).where((F.col("rank") >= F.col("lo")) & (F.col("size") <= gap))
         filled = _fill(open_ranks.select(*binned.columns), state.select("source", "lo", "upto"))
-        filled = filled.withColumnRenamed("upto", "new_upto")
-        hi = F.coalesce("hi", "lo")
-        state = materialize(
+        filled = filled.withColumnRenamed("hi", "new_hi").withColumnRenamed("upto", "new_upto")
+        step = F.array(F.struct("lo", F.col("new_hi").alias("hi"), gap.alias("limit")))
+        gone_on = materialize(
             _by_source(state, filled, "left").select(
-                "source", "wanted", hi.alias("lo"), F.coalesce("new_upto", "upto").alias("upto"),
-                F.concat("steps", F.array(F.struct(F.col("lo"), hi.alias("hi"), gap.alias("limit")))).alias("steps"),
+                "source", "wanted", F.coalesce("new_hi", "hi").alias("hi"), F.coalesce("new_upto", "upto").alias("upto"),
+                F.when(F.col("new_hi").isNull(), F.col("steps")).otherwise(F.concat("steps", step)).alias("steps"),
             ),
             "mix-state",
         )
+        state = materialize(_next_fit(binned, gone_on), "mix-state")
     left_over = _by_source(binned, state).where(~_in_steps(F.col("rank"), F.col("size"), F.col("steps")))
     miss = F.abs(F.col("want") - F.col("upto") - F.col("words"))
     extra = (
@@ -182,7 +192,7 @@ def sample_plan(rows: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def _in_steps(rank: Column, size: Column, steps: Column) -> Column:
-    return F.exists(steps, lambda s: (rank > s["lo"]) & (rank <= s["hi"]) & (size <= s["limit"]))
+    return F.exists(steps, lambda s: (rank >= s["lo"]) & (rank <= s["hi"]) & (size <= s["limit"]))
 
 
 def _sampled(rank: Column, size: Column, steps: Column, extra: Column) -> Column:
