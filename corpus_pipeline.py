@@ -3,9 +3,9 @@
 Stages, in order: quality rules (rejected documents go), n-gram Jaccard join
 (one document of each group of near duplicates stays), personal data (masked
 in the text), mixing of sources to target weights (documents are repeated or
-left out), byte-level BPE.  Each works on all that the one before it kept and
-returns the columns of ``documents``; the last returns doc_id, lang, source,
-n_tokens and ids.
+left out), byte-level BPE encoding and decoding.  Each works on all that the one
+before it kept and returns the columns of ``documents``; the last returns doc_id,
+lang, source, n_tokens, ids and the digest of the text that the ids decode to.
 
 SQL can't express the fitted votes, MinHash, sampling or BPE, so there is no
 ORACLE_SQL; tests/llm compare a run with a brute-force version.
@@ -37,10 +37,10 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return mixing.mix(docs)
 
 
-def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def bpe_encoding_and_decoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     wanted = docs.select("doc_id", "lang", "source", "text")
-    encoded = bpe.encode(wanted, tokenizer_file("byte_bpe_50k.json"), text="text", ids="ids")
-    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    encoded = bpe.encode(wanted, tokenizer_file("byte_bpe_50k.json"), text="text", ids="ids", decoded_sha256="decoded_sha256")
+    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 
 
 STAGES = [
@@ -48,7 +48,7 @@ STAGES = [
     ("n-gram Jaccard join", ngram_jaccard_join),
     ("personal data", personal_data),
     ("mixing sources to target weights", source_mixing),
-    ("BPE encoding", bpe_encoding),
+    ("BPE encoding and decoding", bpe_encoding_and_decoding),
 ]
 
 ORACLE_SQL = None

@@ -144,12 +144,15 @@ def _pieces(column: pa.Array, limit: int = 4 << 20) -> Iterator[list[np.ndarray]
         yield out
 
 
-def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", decoded_sha256: str | None = None) -> DataFrame:
     """``docs`` and a column ``ids`` (array<int>): the tokens of the whole text.
 
     tokenizer: path of a tokenizers file that every executor can read.
+    decoded_sha256: a column of this name, if given, has the digest of the text that the ids are decoded to.
     """
-    kind = T.ArrayType(T.IntegerType(), False)
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)]
+    if decoded_sha256:
+        added.append(T.StructField(decoded_sha256, T.StringType(), False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = FragmentTokenizer(tokenizer)
@@ -157,11 +160,13 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids"
             encoded = [e for piece in _pieces(batch.column(at)) for e in own.encode_bytes(piece)]
             ends = np.cumsum([0, *(len(e) // 4 for e in encoded)]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(encoded), dtype="<i4"))
-            column = pa.ListArray.from_arrays(pa.array(ends), values)
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, ids])
+            columns = [pa.ListArray.from_arrays(pa.array(ends), values)]
+            if decoded_sha256:
+                columns.append(pa.array([hashlib.sha256(own.decode(e).encode()).hexdigest() for e in encoded], pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *(f.name for f in added)])
 
     at = docs.columns.index(text)
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(ids, kind, False)]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
 
 
 def decode(tokens: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:

@@ -63,3 +63,12 @@ def test_pipeline_on_odd_and_empty_documents(spark, docs, no_docs, scratch):
         got = P.run(spark, f"{scratch}/{name}").collect()
         assert (len(got) > 0) == (name == "odd")
         assert all(np.all(np.array(r.ids) >= 0) for r in got)
+
+
+def test_last_stage_decodes_what_it_encoded(spark, docs, no_docs):
+    name, stage = P.STAGES[-1]
+    assert name == "BPE encoding and decoding"
+    wanted = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    got = stage(spark, wanted, SF01).select("doc_id", "decoded_sha256").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(repr((r.doc_id, odd.sha(r.text or ""))) for r in wanted.collect())
+    assert stage(spark, no_docs, SF01).count() == 0
