@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, lm, mixing, near, pii, quality, substring, topk
+from . import bpe, chat, langid, lm, merkle, mixing, near, pii, quality, substring, topk
 from .common import documents, fold, materialize
 
 # Conversation -7, whose texts hold control strings.
@@ -87,11 +87,23 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(documents(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and whether the row (some are tampered with) still folds to the root."""
+    parts = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    n_chars = F.col("n_chars") + F.when(fold(F.col("doc_id"), 7) == 0, 1).otherwise(0)
+    tampered = merkle.leaf([n_chars if i == 3 else c for i, c in enumerate(parts)])
+    tree = merkle.manifest(documents(spark, sf_dir), F.col("lang"), [F.col("doc_id")], parts, [F.col("doc_id"), tampered.alias("tampered")])
+    folded = tree.withColumn("folded_root", merkle.fold(F.col("tampered"), F.col("path")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_exact_top_k, op3_language_id, op4_substring_dedup, op5_lm_scoring,
-        op6_ngram_jaccard_join, op7_mixing, op8_bpe, op9_quality_rules, op10_pii,
+        op6_ngram_jaccard_join, op7_mixing, op8_bpe, op9_quality_rules, op10_pii, op11_merkle_manifest,
     )
 }
 
@@ -142,4 +154,46 @@ ORACLE_SQL: dict[str, str] = {
         SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)
     """,
+    "op11_merkle_manifest": r"""
+        WITH RECURSIVE d AS (
+            SELECT *, list_reduce(
+                [CAST(4294967295 AS BIGINT)] || [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')],
+                lambda c, b: list_reduce([xor(c, b)] || [CAST(i AS BIGINT) FOR i IN range(8)], lambda s, i: xor(s >> 1, CASE WHEN s & 1 = 1 THEN 3988292384 ELSE 0 END))
+            ) AS inverted FROM documents
+        ), p AS (
+            SELECT doc_id, lang, [coalesce(strlen(x) || ':' || x, '-') FOR x IN [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text]] AS a,
+                [coalesce(strlen(x) || ':' || x, '-') FOR x IN [CAST(doc_id AS VARCHAR), source, lang,
+                    CAST(n_chars + CASE WHEN coalesce(xor(inverted, 4294967295), 0) % 7 = 0 THEN 1 ELSE 0 END AS VARCHAR), text]] AS b
+            FROM d
+        ), leaf AS (
+            SELECT doc_id, coalesce('=' || lang, '-') AS run, sha256(array_to_string(a, '')) AS leaf, sha256(array_to_string(b, '')) AS tampered FROM p
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY run) AS n FROM leaf
+        ), tree AS (
+            SELECT 0 AS level, run, p, n, leaf AS node FROM placed
+            UNION ALL
+            SELECT level + 1, run, p // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY p)) FROM tree WHERE n > 1 GROUP BY level, run, p // 2, n
+        ), sub AS (
+            SELECT run, node AS subroot, row_number() OVER (ORDER BY run) - 1 AS p, count(*) OVER () AS n FROM tree WHERE n = 1
+        ), top AS (
+            SELECT 0 AS level, p, n, subroot AS node FROM sub
+            UNION ALL
+            SELECT level + 1, p // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY p)) FROM top WHERE n > 1 GROUP BY level, p // 2, n
+        ), up AS (
+            SELECT sub.run, list(CASE WHEN o.node IS NULL THEN '-' WHEN o.p % 2 = 0 THEN 'L' || o.node ELSE 'R' || o.node END ORDER BY m.level) AS steps
+            FROM sub JOIN top m ON m.n > 1 AND m.p = sub.p >> m.level LEFT JOIN top o ON o.level = m.level AND o.p = xor(m.p, 1) GROUP BY sub.run
+        ), low AS (
+            SELECT w.run, w.p, list(CASE WHEN o.node IS NULL THEN '-' WHEN o.p % 2 = 0 THEN 'L' || o.node ELSE 'R' || o.node END ORDER BY m.level) AS steps
+            FROM placed w JOIN tree m ON m.n > 1 AND m.run = w.run AND m.p = w.p >> m.level
+            LEFT JOIN tree o ON o.run = m.run AND o.level = m.level AND o.p = xor(m.p, 1) GROUP BY w.run, w.p
+        ), whole AS (
+            SELECT w.*, subroot, (SELECT node FROM top WHERE n = 1) AS root, coalesce(low.steps, []) || coalesce(up.steps, []) AS steps
+            FROM placed w JOIN sub ON sub.run = w.run LEFT JOIN low ON low.run = w.run AND low.p = w.p LEFT JOIN up ON up.run = w.run
+        ), folded AS (
+            SELECT *, list_reduce([tampered] || steps, lambda node, s: CASE
+                WHEN s = '-' THEN sha256(node) WHEN s[1] = 'L' THEN sha256(s[2:] || node) ELSE sha256(node || s[2:]) END) AS folded_root FROM whole
+        )
+        SELECT doc_id, leaf, subroot, root, sha256(array_to_string([s[2:] FOR s IN steps], '')) AS proof_sha256, folded_root, folded_root = root AS verified
+        FROM folded
+    """,
 }
