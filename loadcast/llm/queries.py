@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, lm, merkle, mixing, near, pii, quality, substring, topk
-from .common import documents, fold, materialize
+from . import bpe, chat, langid, lm, merkle, mixing, near, periodic, pii, quality, substring, topk
+from .common import WORD, documents, fold, materialize
 
 # Conversation -7, whose texts hold control strings.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -99,11 +99,40 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): the texts of every tenth document (by the id's crc32) end in copies of some of their words."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD), F.lit(0))
+
+    def repeated(w: Column) -> Column:
+        n, g = F.size(w).cast("long"), F.floor(h / 10)
+        a = g % n
+        p = F.floor((n - a) / (g % 8 + 3)) + 1
+        place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(w, place(i))), " ")).otherwise("")
+
+    # the lambda binds the words, so that they are found once a text
+    return docs.select("doc_id", F.when(h % 10 == 0, F.transform(F.array(words), repeated)[0]).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every document, and digests of them and of the text without their repeats."""
+    found = periodic.collapse(repeated_tails(documents(spark, sf_dir)))
+    best = periodic.longest(F.col("runs"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.sha2(periodic.listing(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    ).withColumn("exponent_milli", F.expr("1000 * length div period"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_exact_top_k, op3_language_id, op4_substring_dedup, op5_lm_scoring,
-        op6_ngram_jaccard_join, op7_mixing, op8_bpe, op9_quality_rules, op10_pii, op11_merkle_manifest,
+        op6_ngram_jaccard_join, op7_mixing, op8_bpe, op9_quality_rules, op10_pii, op11_merkle_manifest, op12_periodic_runs,
     )
 }
 
