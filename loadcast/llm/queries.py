@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, lm, merkle, mixing, near, periodic, pii, quality, substring, topk
+from . import bpe, chat, langid, lm, merkle, mixing, near, periodic, pii, quality, substring, topk, toxicity
 from .common import WORD, documents, fold, materialize
 
 # Conversation -7, whose texts hold control strings.
@@ -128,11 +128,22 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("exponent_milli", F.expr("1000 * length div period"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from two thirds of the labels, and the spans that make it up."""
+    docs = documents(spark, sf_dir)
+    held_out = fold(F.col("doc_id"), 3) == 1
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold(F.col("doc_id"), 3) != 1)
+    model = toxicity.train(toxicity.sample(docs.where(~held_out), labels))
+    found = toxicity.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    listed = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return found.withColumn("spans", F.array_join(listed, ","))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_exact_top_k, op3_language_id, op4_substring_dedup, op5_lm_scoring,
-        op6_ngram_jaccard_join, op7_mixing, op8_bpe, op9_quality_rules, op10_pii, op11_merkle_manifest, op12_periodic_runs,
+        op6_ngram_jaccard_join, op7_mixing, op8_bpe, op9_quality_rules, op10_pii, op11_merkle_manifest, op12_periodic_runs, op13_toxicity,
     )
 }
 
