@@ -11,6 +11,8 @@ Commands mirror the batch, speed and serving layers:
   export          PREDICTIONS OUT [--n 24] [--batch-id N]   (an upsert: one batch per export)
   ingest          load|weather SOURCE LOG CHECKPOINT [--kafka SERVERS] [--topic T] [--available-now]
                   [--timeout S] [--reject-path P] [--metrics-path P] [--stateful]
+                  [--max-per-trigger N] [--starting-offsets latest|earliest|JSON] [--trigger-seconds 10]
+  compact         load|weather|predictions LOG [--grace SECONDS]
   combined        DATE PREDICTIONS_KV LOAD_LOG WEATHER_LOG [--dashboard] [--views]
 """
 
@@ -34,6 +36,7 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     from loadcast.ml import model as ML
+    from loadcast.operators import compaction as CP
     from loadcast.operators import kv as KV
     from loadcast.plans import jobs as J
     from loadcast.plans import serving as SV
@@ -87,6 +90,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     c.add_argument("--reject-path")
     c.add_argument("--metrics-path")
     c.add_argument("--stateful", action="store_true", help="keep the current row per key in streaming state")
+    c.add_argument("--max-per-trigger", type=int, default=100, help="files, or Kafka records, of one batch; 0: no limit")
+    c.add_argument("--starting-offsets", default="latest", help="Kafka: where a first start begins (latest, earliest or JSON)")
+    c.add_argument("--trigger-seconds", type=float, default=10)
+
+    c = sub.add_parser("compact")
+    c.add_argument("kind", choices=sorted(J.LOGS))
+    c.add_argument("log")
+    c.add_argument("--grace", type=float, default=86_400, help="seconds that folders out of use are kept")
 
     c = sub.add_parser("combined")
     for a in ("date", "predictions_kv", "load_log", "weather_log"):
@@ -134,11 +145,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             if args.kind == "load"
             else (IN.WEATHER_SCHEMA, "datetime_ept", IN.weather_cells())
         )
+        limit = args.max_per_trigger or None
         if args.kafka:
-            src = IN.kafka_message_stream(spark, args.kafka, args.topic)
+            src = IN.kafka_message_stream(spark, args.kafka, args.topic, limit, args.starting_offsets)
         else:
-            src = IN.file_message_stream(spark, args.source, "value string, seq long", max_files=100)
-        trigger = {"availableNow": True} if args.available_now else None
+            src = IN.file_message_stream(spark, args.source, "value string, seq long", limit)
+        trigger = {"availableNow": True} if args.available_now else {"processingTime": f"{args.trigger_seconds:g} seconds"}
         parsed = IN.parse_readings(src, schema, key)
         if args.stateful:
             q = IN.start_current_view(parsed, args.log, args.checkpoint, cells, trigger)
@@ -148,19 +160,19 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 reject_path=args.reject_path, metrics_path=args.metrics_path,
             )
         IN.run_for(q, args.timeout, continuous=not args.available_now)
+    elif args.cmd == "compact":
+        made = J.compact_log(spark, args.kind, args.log, args.grace)
+        print(f"manifest version {made.version}: {len(made.days)} days, through batch {made.through}")
     elif args.cmd == "combined":
-        cells_load, cells_weather = IN.load_cells(), IN.weather_cells()
         if args.views:
-            load_kv = IN.read_current_view(spark, args.load_log, cells_load)
-            weather_kv = IN.read_current_view(spark, args.weather_log, cells_weather)
+            load_kv = IN.read_current_view(spark, args.load_log, IN.load_cells())
+            weather_kv = IN.read_current_view(spark, args.weather_log, IN.weather_cells())
         else:
-            load_kv = KV.kv_current(KV.kv_read_log(spark, args.load_log), "key", (KV.BATCH, "seq"), cells_load)
-            weather_kv = KV.kv_current(KV.kv_read_log(spark, args.weather_log), "key", (KV.BATCH, "seq"), cells_weather)
-        preds = spark.read.parquet(args.predictions_kv)
-        if "dt" in preds.columns:  # written by `export`: prune to the one day's folders
-            preds = preds.where(preds["dt"] == args.date)
-        if KV.BATCH in preds.columns:  # an export log: the latest value per key wins
-            preds = KV.kv_current(preds, "row_key", (KV.BATCH,), ["prediction_value", "prediction_ts"])
+            load_kv = J.current_table(spark, "load", args.load_log)
+            weather_kv = J.current_table(spark, "weather", args.weather_log)
+        # an export log (the latest value per key wins), or a plain keyed table
+        is_log = CP.is_log(spark, args.predictions_kv)
+        preds = J.current_table(spark, "predictions", args.predictions_kv) if is_log else KV.kv_read_log(spark, args.predictions_kv)
         comb = SV.combined(preds, load_kv, weather_kv, date=args.date)
         (SV.dashboard(comb) if args.dashboard else comb).orderBy("datetime").show(48, truncate=False)
     return 0

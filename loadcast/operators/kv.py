@@ -12,8 +12,10 @@ measure writes no cell, so an older value of that cell survives.  Here:
 * ``kv_compact`` folds the log into a snapshot that later merges treat as
   one older row per key; ``kv_current_incremental`` merges the snapshot with
   only the newer batch folders;
-* ``kv_write_by_day`` partitions a keyed table by the key's day so that
-  ``range_scan`` prunes folders.
+* a log or table may be partitioned by the key's day (``with_day``), below the
+  batch: the merge keeps the day as a second grouping column, so a day range
+  on the current table reaches the scan and prunes folders;
+* ``operators/compaction.py`` keeps a growing log short under a manifest.
 """
 
 from __future__ import annotations
@@ -28,20 +30,35 @@ from pyspark.sql import types as T
 from loadcast.functions.timekeys import DEFAULT_ZONE, epoch_seconds, format_key
 
 BATCH = "batch_id"
+#: Partition column of logs and tables that are partitioned by the key's day.
+DAY = "dt"
+#: Where the keys without a readable day are kept.
+OTHER_DAY = "other"
 
 
-def _order(order_cols: Sequence[str]) -> Column:
-    cols = [F.col(c) for c in order_cols]
-    return cols[0] if len(cols) == 1 else F.struct(*cols)
-
-
-# More than all values of a long.
+# More than all values of a long, and less than all of them.
 _STEP = Decimal(2 * 10**19)
+_BELOW = Decimal(-(2**63) - 1)
 
 
-def _packed(first: str, second: str) -> Column:
-    """Two integer columns as one number of the same order (a struct would make the merge sort its rows)."""
-    return (F.col(first).cast("decimal(18,0)") * F.lit(_STEP)).cast("decimal(38,0)") + F.col(second).cast("decimal(19,0)")
+def _order(order_cols: Sequence[str], kinds: dict[str, T.DataType]) -> tuple[Column, Column]:
+    """(what "latest" goes by, the latest value of the last order column); a null sorts before all values.
+
+    One or two integer columns become one number (a struct would make the merge
+    sort its rows); others a struct, which isn't null when its fields are.
+    """
+    cols = [F.col(c) for c in order_cols]
+    if len(cols) > 2 or not all(isinstance(kinds[c], T.IntegralType) for c in order_cols):
+        ordv = F.struct(*cols)
+        return ordv, F.max(ordv)[order_cols[-1]]
+    ordv = F.coalesce(cols[-1].cast("decimal(19,0)"), F.lit(_BELOW).cast("decimal(19,0)")).cast("decimal(38,0)")
+    if len(cols) == 2:
+        # batch numbers of up to 18 digits
+        first = F.coalesce(cols[0].cast("decimal(18,0)").cast("decimal(19,0)"), F.lit(Decimal(-(10**18))).cast("decimal(19,0)"))
+        ordv = (first * F.lit(_STEP)).cast("decimal(38,0)") + ordv.cast("decimal(19,0)")
+    # the last number again: what is left beside the multiples of the step
+    place = F.pmod(F.max(ordv) + F.lit(_STEP / 2), F.lit(_STEP)) - F.lit(_STEP / 2)
+    return ordv, F.when(place > F.lit(_BELOW), place).cast(kinds[order_cols[-1]])
 
 
 def kv_current(
@@ -49,25 +66,20 @@ def kv_current(
     key: str = "key",
     order_cols: Sequence[str] = ("seq",),
     cells: Sequence[str] | None = None,
+    day: str | None = None,
 ) -> DataFrame:
-    """Per key, each cell's latest non-null value; ``order_cols`` define "latest".
+    """Per key, each cell's latest non-null value; ``order_cols`` define "latest" (a null is the earliest).
 
     A cell that was never non-null stays null.  The latest order value per key
-    is kept under the last order column's name (e.g. ``seq``).
+    is kept under the last order column's name (e.g. ``seq``).  ``day`` names a
+    column that depends on the key alone; it's kept, and filters on it and on
+    the key are applied before the merge.
     """
     if cells is None:
-        cells = [c for c in log.columns if c not in (key, *order_cols, BATCH)]
-    kinds = {f.name: f.dataType for f in log.schema.fields}
-    packed = len(order_cols) == 2 and all(isinstance(kinds[c], T.IntegralType) for c in order_cols)
-    ordv = _packed(*order_cols) if packed else _order(order_cols)
+        cells = [c for c in log.columns if c not in (key, *order_cols, BATCH, day)]
+    ordv, last = _order(order_cols, {f.name: f.dataType for f in log.schema.fields})
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordv)).alias(c) for c in cells]
-    if packed:
-        # the second number again: what is left beside the multiples of the step
-        place = F.pmod(F.max(ordv) + F.lit(_STEP / 2), F.lit(_STEP)) - F.lit(_STEP / 2)
-        last = place.cast(kinds[order_cols[-1]])
-    else:
-        last = F.max(F.col(order_cols[-1])) if len(order_cols) == 1 else F.max(ordv)[order_cols[-1]]
-    return log.groupBy(key).agg(last.alias(order_cols[-1]), *aggs)
+    return log.groupBy(key, *([day] if day else [])).agg(last.alias(order_cols[-1]), *aggs)
 
 
 def kv_cells(
@@ -93,7 +105,8 @@ def kv_from_cells(
     type, and text that does not parse becomes null (``try_cast``).  The
     pivot values are given, so Spark runs no extra job to find them.
     """
-    latest = cells_df.groupBy(key, "column").agg(F.max_by("value", seq).alias("value"), F.max(seq).alias("_s"))
+    order, _ = _order((seq,), {f.name: f.dataType for f in cells_df.schema.fields})
+    latest = cells_df.groupBy(key, "column").agg(F.max_by("value", order).alias("value"), F.max(seq).alias("_s"))
     wide = latest.groupBy(key).pivot("column", list(columns)).agg(F.first("value"))
     seqs = latest.groupBy(key).agg(F.max("_s").alias(seq))
     return wide.join(seqs, key).select(
@@ -114,7 +127,9 @@ def kv_write_batch(batch: DataFrame, log_path: str, batch_id: int, partition_by:
 
 
 def kv_read_log(spark: SparkSession, log_path: str) -> DataFrame:
-    return spark.read.parquet(log_path)
+    """All batches there are; the day, if the log has it, as text (Spark may take the folder names for dates)."""
+    log = spark.read.parquet(log_path)
+    return log.withColumn(DAY, F.col(DAY).cast("string")) if DAY in log.columns else log
 
 
 def kv_compact(
@@ -159,27 +174,39 @@ def kv_current_incremental(
     return kv_current(both, key, order_cols, cells)
 
 
-def with_day(kv: DataFrame, key: str = "key", day_col: str = "dt") -> DataFrame:
-    """Add the day prefix of a ``yyyy-MM-dd HH:mm:ss`` key as a partition column."""
-    return kv.withColumn(day_col, F.substring(F.col(key), 1, 10))
+def day_of(key: Column) -> Column:
+    """The day of a ``yyyy-MM-dd HH:mm:ss`` key, as text; keys that don't begin with a day share one of their own."""
+    return F.when(key.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.substring(key, 1, 10)).otherwise(F.lit(OTHER_DAY))
+
+
+def with_day(kv: DataFrame, key: str = "key", day_col: str = DAY) -> DataFrame:
+    """Add the key's day as a partition column."""
+    return kv.withColumn(day_col, day_of(F.col(key)))
 
 
-def kv_write_by_day(kv: DataFrame, path: str, key: str = "key", day_col: str = "dt") -> None:
+def kv_write_by_day(kv: DataFrame, path: str, key: str = "key", day_col: str = DAY) -> None:
     """Write a keyed table partitioned by the key's day, for pruned range scans."""
     with_day(kv, key, day_col).write.mode("overwrite").partitionBy(day_col).parquet(path)
 
 
+def in_days(day: Column, start: str, stop: str) -> Column:
+    """Whether a key of this day may lie in ``start <= key < stop``."""
+    text = day.cast("string")
+    return day.isNotNull() & (text.between(F.lit(start[:10]), F.lit(stop[:10])) | (text == F.lit(OTHER_DAY)))
+
+
 def range_scan(
     kv: DataFrame, start: str, stop: str, key: str = "key", partition_col: str | None = None
 ) -> DataFrame:
     """Rows with ``start <= key < stop`` (start inclusive, stop exclusive).
 
-    With ``partition_col`` (a day prefix of the key the table is partitioned
-    by), the same bounds prune whole partitions before any file is read.
+    With ``partition_col`` (the key's day, which the table or the log under it
+    is partitioned by), the same bounds prune whole partitions before any file
+    is read; keys without a readable day are always looked at.
     """
     cond = (F.col(key) >= F.lit(start)) & (F.col(key) < F.lit(stop))
     if partition_col:
-        cond = cond & (F.col(partition_col) >= F.lit(start[:10])) & (F.col(partition_col) <= F.lit(stop[:10]))
+        cond = cond & in_days(F.col(partition_col), start, stop)
     return kv.where(cond)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadcast.ml import model as ML
+from loadcast.operators import compaction as CP
 from loadcast.operators import features as FE
 from loadcast.operators import kv as KV
 from loadcast.operators import split as SP
@@ -398,19 +399,27 @@ def _run_stream(spark, sf_dir, messages_fn, schema, key, cells):
     log_path = scratch_path(spark, "kv-log")
     q = IN.start_ingest(parsed, log_path, scratch_path(spark, "stream-ckpt"), cells, trigger={"availableNow": True})
     IN.run_for(q)
-    return KV.kv_current(KV.kv_read_log(spark, log_path), "key", (KV.BATCH, "seq"), cells)
+    return KV.kv_current(KV.kv_read_log(spark, log_path), "key", (KV.BATCH, "seq"), cells, day=KV.DAY)
 
 
 @register("stream_load", O.with_ctes(O.LOAD_MSG_CTE) + " SELECT * FROM load_kv")
 def q_stream_load(spark, sf_dir):
     """S6 (file stream) + P21-P25 + T1-T8 + K7: JSON load readings to the keyed log, current view."""
+    return _load_stream(spark, sf_dir).drop(KV.DAY)
+
+
+def _load_stream(spark, sf_dir):
     return _run_stream(spark, sf_dir, IN.load_messages, IN.LOAD_SCHEMA, "timestamp", IN.load_cells())
 
 
+def _weather_stream(spark, sf_dir):
+    return _run_stream(spark, sf_dir, IN.weather_messages, IN.WEATHER_SCHEMA, KEY, IN.weather_cells())
+
+
 @register("stream_weather", O.with_ctes(O.WEATHER_MSG_CTE) + " SELECT * FROM weather_kv")
 def q_stream_weather(spark, sf_dir):
     """The same for weather readings (lower-case measure names)."""
-    return _run_stream(spark, sf_dir, IN.weather_messages, IN.WEATHER_SCHEMA, KEY, IN.weather_cells())
+    return _weather_stream(spark, sf_dir).drop(KV.DAY)
 
 
 # ------------------------------------------------------------------ serving
@@ -670,13 +679,17 @@ _DAY_SQL = " WHERE substr(datetime, 1, 10) = (SELECT substr(max(datetime), 1, 10
 
 
 def _last_day(spark, sf_dir) -> tuple[DataFrame, str]:
-    kv = _pred_kv(spark, sf_dir)
-    return kv, kv.agg(F.max("row_key")).first()[0][:10]
+    """The predictions as a table by day, and the last day predicted (any day, if none is)."""
+    path = scratch_path(spark, "predictions-kv")
+    KV.kv_write_by_day(_pred_kv(spark, sf_dir), path, key="row_key")
+    kv = KV.kv_read_log(spark, path)
+    return kv, (kv.agg(F.max("row_key")).first()[0] or ALL_START)[:10]
 
 
 def _combined_day(spark, sf_dir):
+    """The day's folders of the three tables are read: the readings' logs as the streams left them."""
     kv, day = _last_day(spark, sf_dir)
-    return SV.combined(kv, _load_kv(spark, sf_dir), _weather_kv(spark, sf_dir), date=day)
+    return SV.combined(kv, _load_stream(spark, sf_dir), _weather_stream(spark, sf_dir), date=day)
 
 
 @register("serve_combined_day", f"WITH served AS ({ORACLE_SQL['serve_combined']}) SELECT * FROM served{_DAY_SQL}")
@@ -691,6 +704,9 @@ def q_dashboard_day(spark, sf_dir):
     return SV.dashboard(_combined_day(spark, sf_dir))
 
 
+# The time of the batches that fixed answers need.
+_BATCH_TIME = "2024-06-01 00:00:00"
+
 # ------------------------------------------------------------------ several runs, compaction
 
 
@@ -757,6 +773,70 @@ def q_kv_compacted_current(spark, sf_dir):
     return KV.kv_current_incremental(spark, snapshot, log).select("key", "seq", "value", "props")
 
 
+_FOLDED_CTE = f"""
+placed AS (
+  SELECT event_id % 6 AS b, event_id AS seq,
+         CASE WHEN event_id % 50 = 2 THEN 'not a time' ELSE strftime(date_trunc('hour', ts), '{O.KEY_FMT}') END AS key,
+         CASE WHEN event_id % 50 = 2 THEN epoch_ms(TIMESTAMP '{_BATCH_TIME}')
+              ELSE CAST(epoch_ms(timezone('{O.ZONE}', date_trunc('hour', ts))) AS BIGINT) END AS timestamp_ms,
+         CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END AS current_reading
+  FROM events WHERE event_id % 50 NOT IN (0, 1, 3)
+)"""
+
+
+@register(
+    "kv_manifest_current",
+    O.with_ctes(_FOLDED_CTE)
+    + """
+SELECT key, max_by(seq, b * 1000000000000 + seq) AS seq, max_by(timestamp_ms, b * 1000000000000 + seq) AS timestamp_ms,
+       max_by(current_reading, b * 1000000000000 + seq) FILTER (WHERE current_reading IS NOT NULL) AS current_reading
+FROM placed GROUP BY key""",
+)
+def q_kv_manifest_current(spark, sf_dir):
+    """K7 compaction under a manifest: three compactions while six batches arrive; keys without a day among them."""
+    at = F.lit(_BATCH_TIME).cast("timestamp_ntz").cast("timestamp")
+    messages = AD.odd_load_messages(AD.read_table(spark, sf_dir, "events"))
+    parsed = IN.parse_readings(messages, IN.LOAD_SCHEMA, "timestamp", batch_time=F.to_utc_timestamp(at, F.current_timezone()))
+    reading = F.when(F.col("seq") % 5 != 0, F.col("current_reading"))
+    rows = KV.with_day(parsed.where(~F.col("rejected")).select("key", "seq", "timestamp_ms", reading.alias("current_reading")))
+    log = scratch_path(spark, "kv-manifest-log")
+    for b in range(6):
+        KV.kv_write_batch(rows.where(F.col("seq") % 6 == b), log, b, partition_by=KV.DAY)
+        if b in (0, 2, 3):
+            CP.compact(spark, log, cells=IN.load_cells(), grace_s=0)  # what was folded is gone afterwards
+    return CP.read_current(spark, log, cells=IN.load_cells()).drop(KV.DAY)
+
+
+@register(
+    "kv_null_order",
+    O.with_ctes(O.UPSERT_CTE)
+    + """,
+placed AS (
+  SELECT key, seq // 7 AS b, CASE WHEN seq % 7 <> 0 THEN seq END AS seq, value, seq // 7 * 10 + seq % 7 AS o
+  FROM upserts
+)
+SELECT key, max_by(coalesce(seq, -1), o) FILTER (WHERE seq IS NOT NULL OR o % 10 = 0) AS seq_or_none,
+       max_by(value, o) FILTER (WHERE value IS NOT NULL) AS value, true AS same_as_struct, true AS same_as_one_column
+FROM placed GROUP BY key""",
+)
+def q_kv_null_order(spark, sf_dir):
+    """K7 where the sequence may be null: a null comes first in its batch, in all three forms of the order."""
+    ups = AD.keyed_upserts(AD.read_table(spark, sf_dir, "events")).select("key", "seq", "value")
+    place = F.expr("seq div 7 * 10 + seq % 7")
+    log = ups.withColumns({
+        "b": F.expr("seq div 7"), "t": F.lpad(F.expr("seq div 7").cast("string"), 20, "0"),
+        "one": F.when(place > 0, place), "seq": F.when(F.col("seq") % 7 != 0, F.col("seq")),
+    })
+    number = KV.kv_current(log, "key", ("b", "seq"), ["value"])
+    struct = KV.kv_current(log, "key", ("t", "seq"), ["value"]).select("key", F.col("seq").alias("_seq"), F.col("value").alias("_value"))
+    single = KV.kv_current(log, "key", ("one",), ["value"]).select("key", F.col("value").alias("_single"))
+    return number.join(struct, "key").join(single, "key").select(
+        "key", F.coalesce("seq", F.lit(-1)).alias("seq_or_none"), "value",
+        (F.col("seq").eqNullSafe(F.col("_seq")) & F.col("value").eqNullSafe(F.col("_value"))).alias("same_as_struct"),
+        F.col("value").eqNullSafe(F.col("_single")).alias("same_as_one_column"),
+    )
+
+
 # ------------------------------------------------------------------ set-aside rows
 
 
@@ -846,12 +926,11 @@ def q_forecast_24h_check(spark, sf_dir):
 # ------------------------------------------------------------------ a stream of several batches with bad messages
 
 
-_STREAM_FILES = 4
-_BATCH_TIME = "2024-06-01 00:00:00"
+_STREAM_FILES = 8
 
 
 def _odd_stream(spark, sf_dir, runs: int = 1) -> dict[str, str]:
-    """Odd messages in four files, one file a batch; with two runs the whole stream is replayed
+    """Odd messages in eight files, one file a batch; with two runs the whole stream is replayed
     (a new checkpoint) into the same folders.  -> paths of log, rejects and metrics."""
     messages = AD.odd_load_messages(AD.read_table(spark, sf_dir, "events"))
     source = scratch_path(spark, "stream-in")

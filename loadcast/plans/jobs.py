@@ -6,6 +6,7 @@
   run_model_training     feature table -> split, CV, RMSE, importances, saved model
   run_prediction         saved model + history -> next hours, appended per run
   export_predictions     predictions -> latest n rows keyed for serving
+  compact_log            stream or export log -> snapshots by day, a new manifest version
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from loadcast.ml import model as ML
+from loadcast.operators import compaction as CP
 from loadcast.operators import kv as KV
 from loadcast.operators import split as SP
 from loadcast.operators.features import final_features, join_raw
@@ -23,6 +25,14 @@ from loadcast.plans import forecast as FC
 from loadcast.schemas import KEY, LOAD, WEATHER
 from loadcast.session import scratch_scope
 from loadcast.sources import files as FI
+from loadcast.streaming import ingest as IN
+
+#: Key, sequence and cells of each kind of keyed log.
+LOGS = {
+    "load": ("key", "seq", IN.load_cells()),
+    "weather": ("key", "seq", IN.weather_cells()),
+    "predictions": ("row_key", None, ["prediction_value", "prediction_ts"]),
+}
 
 
 def clean_weather_file(spark: SparkSession, input_path: str, output_path: str, on_error: str = "raise") -> int:
@@ -122,3 +132,15 @@ def export_predictions(predictions: DataFrame, n: int = 24, zone: str | None = N
     """Latest ``n`` predictions as (row_key, prediction_value, prediction_ts)."""
     kw = {"zone": zone} if zone else {}
     return KV.export_latest(predictions, n=n, **kw)
+
+
+def compact_log(spark: SparkSession, kind: str, log_path: str, grace_s: float = 86_400) -> CP.Manifest:
+    """Fold the batches of a log (see ``LOGS``) that came since its last compaction."""
+    key, seq, cells = LOGS[kind]
+    return CP.compact(spark, log_path, key, seq, cells, grace_s)
+
+
+def current_table(spark: SparkSession, kind: str, log_path: str) -> DataFrame:
+    """The current rows of a log (see ``LOGS``), compacted or not, with their day."""
+    key, seq, cells = LOGS[kind]
+    return CP.read_current(spark, log_path, key, seq, cells)

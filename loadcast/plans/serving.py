@@ -1,7 +1,8 @@
 """Serving queries over the keyed tables (re-aimed read endpoints).
 
 Each endpoint is a DataFrame query: a key range scan, typed cells, output
-names as the endpoints return them; ``combined`` joins forecast, actual load
+names as the endpoints return them; on a table partitioned by the key's day the
+range prunes whole days; ``combined`` joins forecast, actual load
 and weather by hour and adds the absolute error.  Keys are unique per table
 (they come out of the keyed merge), so "first match" is "the match".
 """
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from loadcast.functions.display import time_of_day, two_dp
 from loadcast.functions.timekeys import DEFAULT_ZONE, day_bounds, epoch_seconds, format_key
-from loadcast.operators.kv import latest_run, range_scan
+from loadcast.operators.kv import DAY, latest_run, range_scan
 
 
 def _num(c: str, to: str = "double"):
@@ -21,6 +22,11 @@ def _num(c: str, to: str = "double"):
     return F.col(c).try_cast(to)
 
 
+def _between(kv: DataFrame, start: str, stop: str, key: str) -> DataFrame:
+    """The key range, by whole days first if the table knows its keys' days."""
+    return range_scan(kv, start, stop, key, DAY if DAY in kv.columns else None)
+
+
 def predictions_kv(preds: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
     """Predictions table -> keyed layout (row_key, prediction_value, prediction_ts), one row per key: the latest run's."""
     return latest_run(preds).select(
@@ -31,7 +37,7 @@ def predictions_kv(preds: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
 
 
 def predictions(kv: DataFrame, start: str, stop: str, key: str = "row_key") -> DataFrame:
-    return range_scan(kv, start, stop, key).select(
+    return _between(kv, start, stop, key).select(
         F.col(key).alias("datetime"),
         _num("prediction_ts", "bigint").alias("timestamp"),
         _num("prediction_value").alias("predictedLoad"),
@@ -39,7 +45,7 @@ def predictions(kv: DataFrame, start: str, stop: str, key: str = "row_key") -> D
 
 
 def actual_load(kv: DataFrame, start: str, stop: str, key: str = "key") -> DataFrame:
-    return range_scan(kv, start, stop, key).select(
+    return _between(kv, start, stop, key).select(
         F.col(key).alias("datetime"),
         _num("timestamp_ms", "bigint").alias("timestamp"),
         _num("current_reading").alias("actualLoad"),
@@ -47,7 +53,7 @@ def actual_load(kv: DataFrame, start: str, stop: str, key: str = "key") -> DataF
 
 
 def weather(kv: DataFrame, start: str, stop: str, key: str = "key") -> DataFrame:
-    return range_scan(kv, start, stop, key).select(
+    return _between(kv, start, stop, key).select(
         F.col(key).alias("datetime"),
         _num("temp").alias("temperature"),
         _num("hmdt").alias("humidity"),
@@ -73,6 +79,9 @@ def combined(
     """
     if date is not None:
         start, stop = day_bounds(date)
+    if start is not None and stop is not None:
+        pred_kv = _between(pred_kv, start, stop, "row_key")
+        load_kv, weather_kv = (_between(kv, start, stop, "key") for kv in (load_kv, weather_kv))
     p = pred_kv.select(F.col("row_key").alias("_k"), _num("prediction_value").alias("predicted"))
     a = load_kv.select(F.col("key").alias("_k"), _num("current_reading").alias("actual"))
     w = weather_kv.select(
@@ -81,8 +90,6 @@ def combined(
         _num("hmdt").alias("humidity"),
         _num("wnd_spd").alias("windSpeed"),
     )
-    if start is not None and stop is not None:
-        p, a, w = (range_scan(x, start, stop, "_k") for x in (p, a, w))
     j = p.join(a, "_k", "left").join(w, "_k", "left")
     return j.select(
         F.col("_k").alias("datetime"),

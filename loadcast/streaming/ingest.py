@@ -3,7 +3,7 @@
 Source -> text -> ``from_json`` (permissive: garbage gives nulls, a wrong
 typed field only nulls that field) -> key checks -> epoch of the key ->
 ``foreachBatch`` that writes the micro-batch from the executors as
-``<log>/batch_id=N`` (overwrite, so a replayed batch id replaces itself).
+``<log>/batch_id=N/dt=DAY`` (overwrite, so a replayed batch id replaces itself).
 No row goes through the driver.
 
 The fallback epoch for an unparsable key is the micro-batch's own timestamp
@@ -23,7 +23,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loadcast.functions.calendar import hour_floor
 from loadcast.functions.timekeys import DEFAULT_ZONE, epoch_millis, format_key, parse_key
-from loadcast.operators.kv import BATCH, kv_write_batch
+from loadcast.operators.compaction import is_folded
+from loadcast.operators.kv import BATCH, DAY, kv_write_batch, with_day
 from loadcast.schemas import KEY, LOAD_MESSAGE, STREAM_WEATHER_MEASURES, WEATHER_MESSAGE
 
 log = logging.getLogger(__name__)
@@ -101,6 +102,9 @@ def batch_writer(
 ):
     """foreachBatch callable: write accepted rows of the micro-batch into the log.
 
+    The log is partitioned by the key's day below the batch.  A batch that a
+    compaction has folded already (the last one, replayed) isn't written again.
+
     Rejected rows (empty key) are counted with ``observe``; with
     ``reject_path`` they are also written aside as ``<reject_path>/batch_id=N``.
     Then the batch (bounded by the trigger's offset cap) is persisted so both
@@ -120,7 +124,11 @@ def batch_writer(
             observed = src.observe(
                 obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("rejected")).alias("rejected")
             )
-            kv_write_batch(observed.where(~F.col("rejected")).select(*keep), log_path, batch_id)
+            accepted = with_day(observed.where(~F.col("rejected")).select(*keep))
+            if is_folded(src.sparkSession, log_path, batch_id):
+                accepted.write.format("noop").mode("overwrite").save()  # for the counts
+            else:
+                kv_write_batch(accepted, log_path, batch_id, partition_by=DAY)
             if reject_path:
                 kv_write_batch(src.where(F.col("rejected")).drop("rejected"), reject_path, batch_id)
             m = obs.get
@@ -234,17 +242,16 @@ def file_message_stream(spark: SparkSession, path_glob: str, schema: T.StructTyp
     return r.parquet(path_glob)
 
 
-def kafka_message_stream(spark: SparkSession, servers: str, topic: str, max_offsets: int = 100, starting: str = "latest") -> DataFrame:
+def kafka_options(servers: str, topic: str, max_offsets: int | None = 100, starting: str = "latest") -> dict[str, str]:
+    """Options of the Kafka source; without ``max_offsets`` a batch takes all there is."""
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting}
+    return options | ({"maxOffsetsPerTrigger": str(max_offsets)} if max_offsets else {})
+
+
+def kafka_message_stream(spark: SparkSession, servers: str, topic: str, max_offsets: int | None = 100, starting: str = "latest") -> DataFrame:
     """Kafka source with a per-trigger cap (needs the Kafka connector on the classpath)."""
-    return (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting)
-        .option("maxOffsetsPerTrigger", max_offsets)
-        .load()
-        .select(F.col("value").cast("string").alias("value"), F.col("offset").alias("seq"))
-    )
+    messages = spark.readStream.format("kafka").options(**kafka_options(servers, topic, max_offsets, starting)).load()
+    return messages.select(F.col("value").cast("string").alias("value"), F.col("offset").alias("seq"))
 
 
 LOAD_SCHEMA = LOAD_MESSAGE

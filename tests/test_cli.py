@@ -5,6 +5,7 @@ import os
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 
 from conftest import SF01
 from loadcast.__main__ import main
@@ -72,3 +73,37 @@ def test_cli_export_is_an_upsert(spark, scratch):
     cur = {r.row_key: r.prediction_value for r in KV.kv_current(log, "row_key", ("batch_id",), ["prediction_value"]).collect()}
     assert len(cur) == 36  # the first export's early hours survive the second export
     assert cur["2024-03-01 00:00:00"] == 1.0 and cur["2024-03-01 12:00:00"] == 2.0
+
+
+def test_ingest_options_reach_the_sources(spark, monkeypatch, scratch):
+    """The cap and the starting offsets are passed on; 0 means no cap."""
+    from loadcast.__main__ import main
+    from loadcast.streaming import ingest as IN
+
+    seen = []
+    monkeypatch.setattr(IN, "kafka_message_stream", lambda *a: seen.append(a[1:]) or (_ for _ in ()).throw(KeyError))
+    monkeypatch.setattr(IN, "file_message_stream", lambda *a: seen.append(a[1:]) or (_ for _ in ()).throw(KeyError))
+    tail = ["load", scratch, scratch + "/log", scratch + "/ckpt"]
+    for extra in (["--kafka", "h:1", "--topic", "t", "--max-per-trigger", "5000", "--starting-offsets", "earliest"], ["--max-per-trigger", "0"], []):
+        with pytest.raises(KeyError):
+            main(["ingest", *tail, *extra], spark)
+    assert seen == [("h:1", "t", 5000, "earliest"), (scratch, "value string, seq long", None), (scratch, "value string, seq long", 100)]
+    assert IN.kafka_options("h:1", "t", None)["startingOffsets"] == "latest" and "maxOffsetsPerTrigger" not in IN.kafka_options("h:1", "t", None)
+    assert IN.kafka_options("h:1", "t", 7, "earliest") == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest", "maxOffsetsPerTrigger": "7",
+    }
+
+
+def test_compact_command(spark, scratch, capsys):
+    from loadcast.__main__ import main
+    from loadcast.operators import kv as KV
+
+    log = scratch + "/log"
+    for b in range(2):
+        one = spark.createDataFrame([("2024-01-01 00:00:00", b, 1, float(b))], "key string, seq long, timestamp_ms long, current_reading double")
+        KV.kv_write_batch(KV.with_day(one), log, b, partition_by=KV.DAY)
+    assert main(["compact", "load", log, "--grace", "0"], spark) == 0
+    assert "manifest version 1: 1 days, through batch 1" in capsys.readouterr().out
+    from loadcast.plans.jobs import current_table
+
+    assert current_table(spark, "load", log).first().current_reading == 1.0

@@ -289,3 +289,26 @@ def test_stateful_current_view_equals_log_merge(spark, scratch):
         for r in KV.kv_current(KV.kv_read_log(spark, scratch + "/log"), "key", ("batch_id", "seq"), IN.load_cells()).collect()
     }
     assert state == log == {"2024-01-01 00:00:00": (3, 1.0), "2024-01-01 01:00:00": (4, 6.0)}
+
+
+@pytest.mark.parametrize(("order", "kind"), [(("b", "seq"), "int"), (("b", "seq"), "string"), (("seq",), "int"), (("seq",), "string")])
+def test_a_null_order_value_comes_first(spark, order, kind):
+    """One number, a struct of both or one column: a value whose seq is null is older, and isn't lost."""
+    rows = [("k", 0, 1, "a"), ("k", 1, None, "b"), ("z", 1, None, "c"), ("y", 1, None, "d"), ("y", 1, 2, None), ("x", None, 5, "e"), ("x", 0, None, "f")]
+    log = spark.createDataFrame(rows, "key string, b int, seq long, v string")
+    log = log.withColumn("b", F.col("b").cast(kind)).withColumn("seq", F.col("seq").cast("long" if kind == "int" else kind))
+    got = {r.key: (r.v, None if r.seq is None else int(r.seq)) for r in KV.kv_current(log, "key", order, ["v"]).collect()}
+    both = {"k": ("b", None), "z": ("c", None), "y": ("d", 2), "x": ("f", None)}
+    assert got == (both if len(order) == 2 else {"k": ("a", 1), "z": ("c", None), "y": ("d", 2), "x": ("e", 5)})
+
+
+def test_extreme_order_values(spark):
+    """The largest and smallest long after the packing and back."""
+    low, high = -(2**63), 2**63 - 1
+    log = spark.createDataFrame([("a", 1, low, "x"), ("a", 1, None, "y"), ("b", -3, high, "x"), ("b", -2, low, "y"), ("c", 10**18 - 1, high, "z")], "key string, b long, seq long, v string")
+    assert {tuple(r) for r in KV.kv_current(log, "key", ("b", "seq"), ["v"]).collect()} == {("a", low, "x"), ("b", low, "y"), ("c", high, "z")}
+
+
+def test_cells_with_a_null_sequence(spark):
+    cells = spark.createDataFrame([("k", None, "v", "1"), ("k", 0, "v", "2"), ("z", None, "v", "3")], "key string, seq long, column string, value string")
+    assert {(r.key, r.v) for r in KV.kv_from_cells(cells, {"v": "int"}).collect()} == {("k", 2), ("z", 3)}
