@@ -103,7 +103,7 @@ def test_compact_command(spark, scratch, capsys):
         one = spark.createDataFrame([("2024-01-01 00:00:00", b, 1, float(b))], "key string, seq long, timestamp_ms long, current_reading double")
         KV.kv_write_batch(KV.with_day(one), log, b, partition_by=KV.DAY)
     assert main(["compact", "load", log, "--grace", "0"], spark) == 0
-    assert "manifest version 1: 1 days, through batch 1" in capsys.readouterr().out
+    assert "manifest version 2: 1 days, through batch 1" in capsys.readouterr().out
     from loadcast.plans.jobs import current_table
 
     assert current_table(spark, "load", log).first().current_reading == 1.0
