@@ -37,13 +37,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, buffers, chunks, materialize, mix, shuffle_partitions
+from .common import Words, buffers, chunks, materialize, shuffle_partitions
 
 #: Bytes of text in a group, about.
 GROUP_BYTES = 16 << 20
 LEAST_GROUP_BYTES = 2 << 20
 _SPACE = 0x20
-_SLOT_BITS = 21
+#: Bytes of a word from which it is looked at by itself.
+LONG = 256
+_SLOT_BITS = 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -76,21 +78,47 @@ def with_bytes(pieces: dict[bytes, float]) -> dict[bytes, float]:
 
 
 class Lattice:
-    """Pieces and their log probabilities, looked up by a hash of their bytes."""
+    """Pieces and their weights; pieces are found by byte, byte pair, or a hash of their bytes.
+
+    A beginning that no piece has ends the search from its place, so the work goes
+    with the pieces that are there.  Words of equal length are looked at together;
+    a word longer than ``LONG`` bytes by itself, all its places together.
+    """
 
     def __init__(self, pieces: list[bytes], weight: np.ndarray):
         self.pieces, self.longest = pieces, max(map(len, pieces))
-        self.log = np.log(weight)
-        codes = np.array([self._code(p) for p in pieces], dtype=np.uint64)
+        self.weight, self.log = weight, np.log(weight)
+        if self.longest * -self.log.min() > 600:
+            raise ValueError("a piece is too long for its weight")  # a stretch of that many bytes has to stay a float
+        self.single = np.full(256, -1, dtype=np.int32)
+        self.pair, self.pair_goes_on = np.full(1 << 16, -1, dtype=np.int32), np.zeros(1 << 16, dtype=bool)
+        entry: dict[bytes, int] = {}  # beginnings of three bytes and more: the piece, if it is one
+        goes_on: set[bytes] = set()
+        for i, p in enumerate(pieces):
+            if len(p) == 1:
+                self.single[p[0]] = i
+            elif len(p) == 2:
+                self.pair[p[0] << 8 | p[1]] = i
+            else:
+                entry[p] = i
+                self.pair_goes_on[p[0] << 8 | p[1]] = True
+                for n in range(len(p) - 1, 2, -1):
+                    if p[:n] in goes_on:
+                        break
+                    goes_on.add(p[:n])
+        names = sorted(entry.keys() | goes_on)
+        codes = np.array([self._code(p) for p in names], dtype=np.uint64)
         if len(np.unique(codes)) < len(codes):
             raise ValueError("pieces collide")
-        self.log = np.append(self.log, -np.inf)  # index -1: no piece
-        # a large table of slots; pieces whose slot is taken mark it as shared and go to a sorted list
+        # one more of each, for what isn't there
+        self.piece = np.array([*(entry.get(p, -1) for p in names), -1], dtype=np.int32)
+        self.goes_on = np.array([*(p in goes_on for p in names), False], dtype=bool)
+        # a large table of slots; entries whose slot is taken mark it as shared and go to a sorted list
         slot = self._slot(codes)
         _, first = np.unique(slot, return_index=True)
         self.key, self.value = np.zeros(1 << _SLOT_BITS, dtype=np.uint64), np.full(1 << _SLOT_BITS, -1, dtype=np.int32)
         self.key[slot[first]], self.value[slot[first]] = codes[first], first
-        left = np.delete(np.arange(len(pieces), dtype=np.int32), first)
+        left = np.delete(np.arange(len(names), dtype=np.int32), first)
         left = left[np.argsort(codes[left])]
         self.shared = np.zeros(1 << _SLOT_BITS, dtype=bool)
         self.shared[slot[left]] = True
@@ -98,7 +126,7 @@ class Lattice:
 
     @staticmethod
     def _slot(code: np.ndarray) -> np.ndarray:
-        return (mix(code) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+        return ((code * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
 
     @staticmethod
     def _code(piece: bytes) -> int:
@@ -108,64 +136,131 @@ class Lattice:
         return h
 
     def find(self, code: np.ndarray) -> np.ndarray:
-        """Index of the piece with this code, or -1."""
+        """Index of the entry with this code, or -1."""
         slot = self._slot(code)
         out = np.where(self.key[slot] == code, self.value[slot], np.int32(-1))
-        at = np.flatnonzero(self.shared[slot] & (out < 0))
+        at = np.flatnonzero((out < 0) & self.shared[slot])
         if len(at):
             place = np.minimum(np.searchsorted(self.other_key, code[at]), len(self.other_key) - 1)
             out[at] = np.where(self.other_key[place] == code[at], self.other_value[place], -1)
         return out
 
-    def edges(self, words: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
-        """Piece between byte s and e of each of some words of equal length, for all s < e; -1: none."""
-        length = words.shape[1]
-        value = words.astype(np.uint64) + np.uint64(1)
-        out = {}
-        for s in range(length):
-            code = np.zeros(len(words), dtype=np.uint64)
-            for e in range(s + 1, min(length, s + self.longest) + 1):
-                code = code * _BASE + value[:, e - 1]
-                found = self.find(code)
-                if e == s + 1 or (found >= 0).any():
-                    out[s, e] = found
+    def edges(self, words: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For n = 1, 2, ... bytes: (places, pieces) where a piece of n bytes stands.  words: (bytes, words)
+        of equal length; a place is byte times words plus word, ascending."""
+        length, count = words.shape
+        flat = words.ravel()
+        out = [(np.arange(len(flat)), self.single[flat])]  # every byte is a piece
+        if length < 2:
+            return out
+        pair = (flat[:-count].astype(np.int64) << 8) | flat[count:]
+        piece = self.pair[pair]
+        at = np.flatnonzero(piece >= 0)
+        out.append((at, piece[at]))
+        alive = np.flatnonzero(self.pair_goes_on[pair])
+        value = flat.astype(np.uint64) + np.uint64(1)
+        code = value[alive] * _BASE + value[alive + count]
+        for n in range(3, min(length, self.longest) + 1):
+            inside = int(np.searchsorted(alive, (length - n + 1) * count))
+            alive, code = alive[:inside], code[:inside]
+            if len(alive) == 0:
+                break
+            code = code * _BASE + value[alive + (n - 1) * count]
+            found = self.find(code)
+            piece = self.piece[found]
+            at = np.flatnonzero(piece >= 0)
+            out.append((alive[at], piece[at]))
+            on = np.flatnonzero(self.goes_on[found])
+            alive, code = alive[on], code[on]
         return out
 
-    def forward(self, words: np.ndarray, edges: dict | None = None) -> np.ndarray:
-        """alpha[i, e]: log probability of the first e bytes of word i, over all segmentations."""
-        edges = self.edges(words) if edges is None else edges
-        alpha = np.full((len(words), words.shape[1] + 1), -np.inf)
-        alpha[:, 0] = 0
-        for e in range(1, words.shape[1] + 1):
-            terms = [alpha[:, s] + self.log[edges[s, e]] for s in range(max(0, e - self.longest), e) if (s, e) in edges]
-            top = np.max(terms, axis=0)
-            alpha[:, e] = top + np.log(np.sum([np.exp(t - top) for t in terms], axis=0))
-        return alpha
+    def _recursion(self, words: np.ndarray, edges: list, backward: bool) -> np.ndarray:
+        """log probability of the first e bytes (backward: of all from byte e on), (bytes + 1, words).
+
+        The last places are kept as plain probabilities, rescaled every eighth byte."""
+        length, count = words.shape
+        cuts = [np.searchsorted(places, np.arange(length + 1) * count) for places, _ in edges]
+        now, out, scale = np.zeros((length + 1, count)), np.zeros((length + 1, count)), np.zeros(count)
+        now[length if backward else 0] = 1
+        for step in range(1, length + 1):
+            e = length - step if backward else step
+            total = np.zeros(count)
+            for n, ((places, pieces), cut) in enumerate(zip(edges, cuts, strict=True), start=1):
+                start, other = (e, e + n) if backward else (e - n, e - n)
+                if start < 0 or other > length:
+                    break
+                lo, hi = cut[start], cut[start + 1]
+                if lo == hi:
+                    continue
+                if n == 1:  # of all words
+                    total += now[other] * self.weight[pieces[lo:hi]]
+                else:
+                    at = places[lo:hi] - start * count
+                    total[at] += now[other, at] * self.weight[pieces[lo:hi]]
+            now[e] = total
+            out[e] = np.log(total) + scale
+            if step % 8 == 0:
+                scale = scale + np.log(total)
+                window = slice(e, e + self.longest) if backward else slice(max(0, e - self.longest + 1), e + 1)
+                now[window] /= total
+        return out
+
+    def _long(self, edges: list, length: int, backward: bool) -> np.ndarray:
+        """``_recursion`` of one word, place by place."""
+        number = np.array([len(places) for places, _ in edges])
+        places = np.concatenate([places for places, _ in edges])
+        size = np.repeat(np.arange(1, len(edges) + 1), number)
+        weight = np.concatenate([self.weight[pieces] for _, pieces in edges])
+        key = places if backward else places + size  # the place that an edge adds to
+        order = np.argsort(key, kind="stable")
+        first = np.searchsorted(key[order], np.arange(length + 2)).tolist()
+        size, weight = size[order].tolist(), weight[order].tolist()
+        sign = 1 if backward else -1
+        now, scales, scale = [0.0] * (length + 1), np.zeros(length + 1), 0.0
+        now[length if backward else 0] = 1.0
+        raw = [1.0] * (length + 1)
+        for step in range(1, length + 1):
+            e = length - step if backward else step
+            total = 0.0
+            for i in range(first[e], first[e + 1]):
+                total += now[e + sign * size[i]] * weight[i]
+            now[e] = raw[e] = total
+            scales[e] = scale
+            if step % 8 == 0:
+                scale += math.log(total)
+                for k in range(max(0, min(e, e + sign * (self.longest - 1))), min(length, max(e, e + sign * (self.longest - 1))) + 1):
+                    now[k] /= total
+        return np.log(np.array(raw)) + scales
+
+    def _both(self, words: np.ndarray, edges: list, backward: bool) -> np.ndarray:
+        if len(words) > LONG:
+            return self._long(edges, len(words), backward)[:, None]
+        return self._recursion(words, edges, backward)
+
+    def forward(self, words: np.ndarray) -> np.ndarray:
+        """alpha[i, e]: log probability of the first e bytes of word i, over all segmentations (words of equal length)."""
+        turned = np.ascontiguousarray(words.T)
+        return self._both(turned, self.edges(turned), backward=False).T
 
     def expected(self, words: np.ndarray, times: np.ndarray, into: np.ndarray) -> None:
-        """Add the expected number of uses of each piece (forward-backward) to ``into``."""
+        """Add the expected number of uses of each piece (forward-backward) to ``into``; word i stands ``times[i]`` times."""
+        words = np.ascontiguousarray(words.T)
         edges = self.edges(words)
-        alpha = self.forward(words, edges)
-        length = words.shape[1]
-        beta = np.full(alpha.shape, -np.inf)
-        beta[:, length] = 0
-        for s in range(length - 1, -1, -1):
-            terms = [beta[:, e] + self.log[edges[s, e]] for e in range(s + 1, min(length, s + self.longest) + 1) if (s, e) in edges]
-            top = np.max(terms, axis=0)
-            beta[:, s] = top + np.log(np.sum([np.exp(t - top) for t in terms], axis=0))
-        for (s, e), piece in edges.items():
-            at = np.flatnonzero(piece >= 0)
-            use = times[at] * np.exp(alpha[at, s] + self.log[piece[at]] + beta[at, e] - alpha[at, length])
-            into += np.bincount(piece[at], use, len(into))
+        alpha, beta = (self._both(words, edges, backward) for backward in (False, True))
+        count, whole = words.shape[1], alpha[-1] - np.log(times)
+        alpha, beta = alpha.ravel(), (beta - whole).ravel()
+        used = [np.exp(alpha[places] + self.log[pieces] + beta[places + n * count]) for n, (places, pieces) in enumerate(edges, start=1)]
+        into += np.bincount(np.concatenate([pieces for _, pieces in edges]), np.concatenate(used), len(into))
 
 
 def by_length(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(rows, matrix of bytes with the word mark in front) for words of equal length, a bounded number at a time."""
+    """(rows, matrix of bytes with the word mark in front) for words of equal length, a bounded number at a time;
+    words of ``LONG`` bytes and more one by one."""
     data, offsets = buffers(column)
     length = np.diff(offsets)
     for n in np.unique(length):
         rows = np.flatnonzero(length == n)
-        step = max(1, limit // int(n + 1))
+        step = max(1, limit // int(n + 1)) if n < LONG else 1
         for i in range(0, len(rows), step):
             part = rows[i : i + step]
             out = np.full((len(part), n + 1), _SPACE, dtype=np.uint8)
@@ -360,9 +455,8 @@ def score(docs: DataFrame, held_out: Column, vocabulary: str, doc_id: str = "doc
     # bounded groups, and enough of them for all tasks unless they'd be tiny
     groups = max(1, -(-size_bytes // group_bytes), min(shuffle_partitions(spark), size_bytes // LEAST_GROUP_BYTES))
     rows = rows.withColumn("g", _group(F.col("doc_id"), F.col("text"), groups))
-    parts = max(shuffle_partitions(spark), groups)
 
-    dealt = rows.select("g", (~F.col("held_out")).alias("train"), "text").repartition(parts, "g")
+    dealt = rows.select("g", (~F.col("held_out")).alias("train"), "text").repartitionById(groups, "g")  # a task a group
     own = materialize(group_words(dealt), "lm-group-words")
     words = materialize(own.groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     n = F.col("n")
@@ -385,7 +479,7 @@ def score(docs: DataFrame, held_out: Column, vocabulary: str, doc_id: str = "doc
         .unionByName(rows.select(
             "g", F.lit(True).alias("is_doc"), *[none.cast("binary").alias(c) for c in ("codes", "counts", "scores")], "doc_id", "held_out", "text"
         ))
-        .repartition(parts, "g")
+        .repartitionById(groups, "g")
         .sortWithinPartitions("g", "is_doc")
     )
     return score_groups(stream, totals)

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import numpy as np
 import odd
@@ -189,6 +190,46 @@ def test_lattice_sums_over_all_segmentations():
         assert np.isclose(sum(len(p) * u for p, u in zip(weight, used, strict=True)), len(w))  # the pieces cover the word
 
 
+@pytest.mark.parametrize("long", [3, 256])
+def test_lattice_of_long_words(monkeypatch, long):
+    """Words side by side and place by place, over rescaled stretches, equal the sum in log space; likewise the uses."""
+    monkeypatch.setattr(lm, "LONG", long)
+    rnd = random.Random(long)
+    pieces = [bytes([c]) for c in b" abc"] + sorted({bytes(rnd.choices(b"abc", k=rnd.randint(2, 9))) for _ in range(60)})
+    weight = np.array([rnd.choice([1e-9, 0.1, 0.5]) for _ in pieces])
+    lattice = lm.Lattice(pieces, weight / weight.sum())
+    logs = dict(zip(pieces, np.log(weight / weight.sum()), strict=True))
+    words = [b" " + bytes(rnd.choices(b"abc", k=n)) for n in (1, 2, 7, 8, 9, 40, 40, 200, 300)]
+
+    def sums(w):
+        out = [0.0] + [-np.inf] * len(w)
+        for e in range(1, len(w) + 1):
+            out[e] = np.logaddexp.reduce([out[s] + logs[w[s:e]] for s in range(max(0, e - 9), e) if w[s:e] in logs])
+        return out
+
+    for rows, matrix in lm.by_length(pa.array([w[1:] for w in words], pa.binary())):
+        alpha = lattice.forward(matrix)
+        used = np.zeros(len(pieces))
+        lattice.expected(matrix, np.full(len(rows), 2.0), used)
+        assert np.isclose(sum(len(p) * u for p, u in zip(pieces, used, strict=True)), 2 * matrix.size)
+        for i, a in zip(rows, alpha, strict=True):
+            assert np.allclose(a, sums(words[i]))
+
+
+def test_a_word_of_a_megabyte_is_scored(spark):
+    """No word is too long: its score is that of its bytes' segmentations, in seconds."""
+    path, rnd = tokenizer_file("piece_bpe_32k.model"), random.Random(2)
+    big = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz0123456789+/", k=1 << 20))
+    pieces = lm.with_bytes(lm.read_pieces(path))
+    lattice = lm.Lattice(list(pieces), np.array(list(pieces.values())))
+    began = time.process_time()
+    (_, matrix), = lm.by_length(pa.array([big], pa.binary()))
+    whole = lattice.forward(matrix)[0]
+    assert time.process_time() - began < 20
+    (_, part), = lm.by_length(pa.array([big[:200]], pa.binary()))
+    assert np.allclose(whole[:150], lattice.forward(part)[0][:150]) and whole[-1] < whole[-2]
+
+
 def test_lm_scores(spark, docs, no_docs):
     path = tokenizer_file("piece_bpe_32k.model")
     got = lm.score(docs, common.fold(F.col("doc_id"), 5) == 1, path, group_bytes=100_000).collect()
