@@ -6,7 +6,7 @@ Commands mirror the batch, speed and serving layers:
   clean-weather   RAW_CSV OUT_CSV [--quarantine]
   csv-to-parquet  LOAD_CSV WEATHER_CSV LOAD_PARQUET WEATHER_PARQUET
   features        LOAD_PARQUET WEATHER_PARQUET TABLE PATH
-  train           FEATURES_PARQUET MODEL_PATH [--grid reference|quick] [--folds 3]
+  train           FEATURES_PARQUET MODEL_PATH [--grid reference|quick] [--folds 3] [--forward]
   predict         MODEL_PATH LOAD_PARQUET WEATHER_PARQUET PREDICTIONS [--run-id ID] [--start TS] [--hours 24]
   export          PREDICTIONS OUT [--n 24] [--batch-id N]   (an upsert: one batch per export)
   ingest          load|weather SOURCE LOG CHECKPOINT [--kafka SERVERS] [--topic T] [--available-now]
@@ -64,6 +64,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     c.add_argument("model_path")
     c.add_argument("--grid", choices=["reference", "quick"], default="reference")
     c.add_argument("--folds", type=int, default=ML.REFERENCE_FOLDS)
+    c.add_argument("--forward", action="store_true", help="folds that learn from the past only")
 
     c = sub.add_parser("predict")
     for a in ("model_path", "load_parquet", "weather_parquet", "predictions"):
@@ -119,7 +120,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(f"feature rows: {df.count()}")
     elif args.cmd == "train":
         grid = None if args.grid == "reference" else {"numTrees": [20], "maxDepth": [8]}
-        res = J.run_model_training(spark.read.parquet(args.features_parquet), args.model_path, grid=grid, folds=args.folds)
+        res = J.run_model_training(spark.read.parquet(args.features_parquet), args.model_path, grid=grid, folds=args.folds, forward=args.forward)
         res.bounds.show(truncate=False)
         print(f"features: {res.n_features}  test RMSE: {res.rmse:.4f} MW")
         res.importances.show(truncate=False)

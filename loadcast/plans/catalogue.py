@@ -19,6 +19,7 @@ from loadcast.ml import model as ML
 from loadcast.operators import compaction as CP
 from loadcast.operators import features as FE
 from loadcast.operators import kv as KV
+from loadcast.operators import selection as SE
 from loadcast.operators import split as SP
 from loadcast.plans import forecast as FC
 from loadcast.plans import oracle as O
@@ -255,6 +256,75 @@ def q_split_except_all(spark, sf_dir):
     return SP.test_by_except_all(df.drop("rn"), train)
 
 
+def _stored_frame(spark, sf_dir):
+    """The training table as a job reads it back: files, without a row number."""
+    path = scratch_path(spark, "features")
+    FI.write_series_parquet(_model_frame(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@register("split_selected_train", _SPLIT_SQL + " SELECT * EXCLUDE (_rn) FROM numbered WHERE _rn < (SELECT c FROM cut)")
+def q_split_selected_train(spark, sf_dir):
+    """O4 by selection: the cut of a stored table found by histograms; no sort of the table, no numbered copy."""
+    return SE.select_split(_stored_frame(spark, sf_dir))[0]
+
+
+@register("split_selected_test", _SPLIT_SQL + " SELECT * EXCLUDE (_rn) FROM numbered WHERE _rn >= (SELECT c FROM cut)")
+def q_split_selected_test(spark, sf_dir):
+    """X1 by selection."""
+    return SE.select_split(_stored_frame(spark, sf_dir))[1]
+
+
+@register(
+    "split_selected_ties",
+    """
+WITH e AS (
+  SELECT event_id, date_trunc('day', ts) AS ts, event_type FROM events
+  UNION ALL SELECT -1, TIMESTAMP '2024-01-12 00:00:00', 'copy' FROM events
+), n AS (SELECT *, row_number() OVER (ORDER BY ts, event_type = 'copy') - 1 AS i, CAST(floor(0.5 * count(*) OVER ()) AS BIGINT) AS c FROM e)
+SELECT any_value(c) AS train_rows, count(*) - any_value(c) AS test_rows, max(ts) FILTER (WHERE i < c) AS train_max_ts,
+       min(ts) FILTER (WHERE i >= c) AS test_min_ts, count(*) FILTER (WHERE event_type = 'copy') AS copies, count(*) - count(*) FILTER (WHERE event_type = 'copy') AS events
+FROM n""",
+)
+def q_split_selected_ties(spark, sf_dir):
+    """O4 by selection where times repeat: days, and half of all rows the same row over; each event is on one side once."""
+    ev = AD.read_table(spark, sf_dir, "events")
+    days = ev.select("event_id", F.to_date("ts").cast("timestamp_ntz").alias("ts"), "event_type")
+    same = ev.select(F.lit(-1).cast("long").alias("event_id"), F.lit("2024-01-12 00:00:00").cast("timestamp_ntz").alias("ts"), F.lit("copy").alias("event_type"))
+    train, test = SE.select_split(days.unionByName(same), 0.5)
+    both = train.withColumn("_late", F.lit(False)).unionByName(test.withColumn("_late", F.lit(True)))
+    is_copy = F.col("event_type") == "copy"
+    return both.agg(
+        F.count_if(~F.col("_late")).alias("train_rows"), F.count_if("_late").alias("test_rows"),
+        F.max(F.when(~F.col("_late"), F.col("ts"))).alias("train_max_ts"), F.min(F.when(F.col("_late"), F.col("ts"))).alias("test_min_ts"),
+        F.count_if(is_copy).alias("copies"), F.count_distinct(F.when(~is_copy, F.col("event_id"))).alias("events"),
+    )
+
+
+@register(
+    "forward_folds",
+    _SPLIT_SQL
+    + """,
+total AS (SELECT count(*) AS n FROM numbered),
+folds AS (SELECT f, CAST(floor(f * n / 4) AS BIGINT) AS a, CAST(CASE WHEN f = 3 THEN n ELSE floor((f + 1) * n / 4) END AS BIGINT) AS b FROM total, unnest([1, 2, 3]) AS t(f))
+SELECT CAST(f - 1 AS INTEGER) AS fold, count(*) FILTER (WHERE _rn < a) AS train_rows, max(ts) FILTER (WHERE _rn < a) AS train_max_ts,
+       count(*) FILTER (WHERE _rn >= a) AS validate_rows, min(ts) FILTER (WHERE _rn >= a) AS validate_min_ts, max(ts) FILTER (WHERE _rn >= a) AS validate_max_ts
+FROM folds JOIN numbered ON _rn < b GROUP BY f""",
+)
+def q_forward_folds(spark, sf_dir):
+    """M5 + D22: folds that learn from the past and are checked on the block that follows."""
+    out = None
+    for i, (past, block) in enumerate(SE.forward_folds(_stored_frame(spark, sf_dir), 3)):
+        both = past.select("ts", F.lit(True).alias("_past")).unionByName(block.select("ts", F.lit(False).alias("_past")))
+        learned, checked = F.when(F.col("_past"), F.col("ts")), F.when(~F.col("_past"), F.col("ts"))
+        one = both.agg(
+            F.lit(i).alias("fold"), F.count_if("_past").alias("train_rows"), F.max(learned).alias("train_max_ts"),
+            F.count_if(~F.col("_past")).alias("validate_rows"), F.min(checked).alias("validate_min_ts"), F.max(checked).alias("validate_max_ts"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ------------------------------------------------------------------ model
 
 
@@ -898,6 +968,27 @@ def q_feature_importance_check(spark, sf_dir):
     )
 
 
+@register(
+    "model_forward_check",
+    _SPLIT_SQL + f" SELECT count(*) AS n_test_scored, 4 AS grid_points, true AS better_than_mean, true AS folds_scored FROM {_TEST_ROWS}",
+)
+def q_model_forward_check(spark, sf_dir):
+    """M5 + D22: the grid searched by forward chaining; the model beats the training mean on the hold-out."""
+    train, test = SE.select_split(_stored_frame(spark, sf_dir))
+    model = ML.train_forward(train)
+    mean = train.agg(F.avg("mw")).first()[0]  # one scalar
+
+    def error(pred):
+        return F.sqrt(F.avg((pred - F.col("mw")) * (pred - F.col("mw"))))
+
+    return ML.score(model, test).agg(
+        F.count(F.lit(1)).alias("n_test_scored"),
+        F.lit(len(model.avgMetrics)).alias("grid_points"),
+        (error(F.col("prediction")) < error(F.lit(mean))).alias("better_than_mean"),
+        F.lit(all(0 < m < float("inf") for m in model.avgMetrics)).alias("folds_scored"),
+    )
+
+
 @register("model_reload_check", _SPLIT_SQL + f" SELECT count(*) AS n_rows, count(*) AS n_equal FROM {_TEST_ROWS}")
 def q_model_reload_check(spark, sf_dir):
     """K8 + S8 + M6 + M8: the model that was saved and loaded scores every test row alike."""

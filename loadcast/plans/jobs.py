@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loadcast.ml import model as ML
 from loadcast.operators import compaction as CP
 from loadcast.operators import kv as KV
+from loadcast.operators import selection as SE
 from loadcast.operators import split as SP
 from loadcast.operators.features import final_features, join_raw
 from loadcast.plans import forecast as FC
@@ -86,17 +87,18 @@ def run_model_training(
     grid: dict | None = None,
     folds: int = ML.REFERENCE_FOLDS,
     min_importance: float = 0.005,
+    forward: bool = False,
 ) -> TrainingResult:
-    """Split in time order, cross-validate the forest, score the hold-out, save."""
+    """Split in time order, cross-validate the forest, score the hold-out, save.
+
+    ``forward``: folds that learn from the past only, instead of random ones.
+    """
     df = features.drop(KEY) if KEY in features.columns else features
-    with scratch_scope(df.sparkSession):
-        train, test, bounds = SP.time_split_with_bounds(df, ratio)
-        row = bounds.first()
-        if not row["ordered"]:
-            raise AssertionError(f"train ends {row['train_max_ts']} after test starts {row['test_min_ts']}")
-        bounds = df.sparkSession.createDataFrame([row], bounds.schema)  # one row, kept past the scope
-        model = ML.train(train, grid=grid, folds=folds)
-        rmse = ML.rmse_value(ML.score(model, test))
+    train, test = SE.select_split(df, ratio)
+    bounds = SP.assert_split_ordered(train, test)
+    bounds = df.sparkSession.createDataFrame([bounds.first()], bounds.schema)  # one row
+    model = (ML.train_forward if forward else ML.train)(train, grid=grid, folds=folds)
+    rmse = ML.rmse_value(ML.score(model, test))
     if model_path:
         ML.save_model(model, model_path)
     n_features = len(ML.best_pipeline(model).stages[0].getInputCols())
