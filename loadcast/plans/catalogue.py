@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadcast.ml import model as ML
+from loadcast.operators import appending as AP
+from loadcast.operators import bucketed as BU
 from loadcast.operators import compaction as CP
 from loadcast.operators import features as FE
 from loadcast.operators import kv as KV
@@ -563,6 +565,19 @@ def q_serve_combined(spark, sf_dir):
     return _combined(spark, sf_dir)
 
 
+@register("serve_combined_bucketed", _COMBINED_SQL + " SELECT * FROM combined")
+def q_serve_combined_bucketed(spark, sf_dir):
+    """J2 without a shuffle: the three keyed tables stored in buckets of their key, merge-joined bucket by bucket."""
+    tables = {"row_key": _pred_kv(spark, sf_dir), "load": _load_kv(spark, sf_dir), "weather": _weather_kv(spark, sf_dir)}
+    buckets = max(BU.bucket_count(t) for t in tables.values())
+    stored = []
+    for label, kv in tables.items():
+        name = f"kv_{label}_{uuid.uuid4().hex[:8]}"
+        stored.append(BU.write_buckets(kv, name, scratch_path(spark, f"buckets-{label}"), buckets, "row_key" if label == "row_key" else "key"))
+        spark.sql(f"DROP TABLE {name}")  # the name only
+    return SV.combined(*stored, join="merge")
+
+
 @register(
     "dashboard_rows",
     _COMBINED_SQL
@@ -626,6 +641,25 @@ def q_lag_features_by_user(spark, sf_dir):
     )
 
 
+@register("features_appended", O.by_user_sql())
+def q_features_appended(spark, sf_dir):
+    """W1-W6 + P14 for appended hours: ten slices of time, each windowed against its series' last rows only."""
+    ev = AD.read_table(spark, sf_dir, "events")
+    keys = ("user_id",)
+    joined = FE.join_raw(AD.load_series(ev, keys), AD.weather_series(ev, keys), series_keys=keys)
+    path = scratch_path(spark, "joined-slices")
+    place = F.least(F.expr("(dayofmonth(ts) - 1) div 3"), F.lit(9)).cast("int")
+    joined.withColumn("slice", place).write.partitionBy("slice").parquet(path)
+    out, state = scratch_path(spark, "appended"), scratch_path(spark, "appended-state")
+    stored = spark.read.parquet(path)
+    for i in range(10):
+        AP.append_features(stored.where(F.col("slice") == i).select(*joined.columns), out, state, i, series_keys=keys, avg_scale=CENTS)
+    return spark.read.parquet(out).select(
+        "user_id", KEY, "mw", "TEMP", "load_lag_1h", "load_lag_24h", "load_lag_7d",
+        "temp_lag_2h", "temp_change_24h", "load_ma_7d",
+    )
+
+
 @register(
     "assembler_split_rows",
     _SPLIT_SQL

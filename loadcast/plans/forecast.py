@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadcast.functions.timekeys import format_key
@@ -100,24 +100,28 @@ def forecast_inputs(
         filled = filled.withColumn(m, F.coalesce(F.col(m), F.lit(float(v))))
 
     feats = weather_features(time_features(filled))
-    # Seasonal persistence for lags that point into the unknown future: step back a
-    # day (or a week) at a time until a known hour is reached.  Up to 24 hours
-    # ahead only the first fallback of load_lag_1h is ever used.
+    # Seasonal persistence for lags that point into the unknown future: the latest known hour a whole
+    # number of days (or weeks) before.  Rows of one hour of the day (or week) are a window of their own,
+    # so the plan doesn't grow with the horizon.  Up to 24 hours ahead only load_lag_1h ever steps back.
     lag1 = next(k for name, c, k in LAG_FEATURES if name == "load_lag_1h")
+    feats = feats.withColumn("_i", F.row_number().over(w))
 
-    def chain(first: int, step: int, n: int):
-        return lambda w_: F.coalesce(*[F.lag("mw", first + step * j).over(w_) for j in range(n + 1)])
+    def known(step: int, back: int) -> Column:
+        """The latest known load of this row and the ``back`` ones each ``step`` rows earlier."""
+        same_hour = Window.partitionBy(F.col("_i") % step).orderBy("_i")
+        return F.last("mw", ignorenulls=True).over(same_hour.rowsBetween(-back, 0))
 
-    exprs["load_lag_1h"] = chain(lag1, 24, days)
-    exprs["load_lag_24h"] = chain(24, 24, days - 1) if days > 1 else exprs["load_lag_24h"]
-    exprs["load_lag_7d"] = chain(168, 168, weeks - 1) if weeks > 1 else exprs["load_lag_7d"]
+    feats = feats.withColumns({"_day_before": known(24, days), "_day": known(24, days - 1), "_week": known(168, weeks - 1)}).drop("_i")
+    exprs["load_lag_1h"] = lambda w_: F.lag("_day_before", lag1).over(w_)
+    exprs["load_lag_24h"] = lambda w_: F.lag("_day", 24).over(w_)
+    exprs["load_lag_7d"] = lambda w_: F.lag("_week", 168).over(w_)
     out = global_windows(feats, exprs, ["ts", "_future"])
     if ahead_hours > 168:
         # Beyond a week the 7-day window holds only unknown hours: keep the last known average.
         upto_f = Window.orderBy("ts", "_future").rowsBetween(Window.unboundedPreceding, 0)
         out = out.withColumn("load_ma_7d", F.last("load_ma_7d", ignorenulls=True).over(upto_f))
     asked = F.col("_future") if start is None else F.col("_future") & (F.col("ts") >= F.lit(str(start)).cast("timestamp_ntz"))
-    return out.where(asked).drop("_future")
+    return out.where(asked).drop("_future", "_day_before", "_day", "_week")
 
 
 def forecast(model, inputs: DataFrame) -> DataFrame:

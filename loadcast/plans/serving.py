@@ -70,9 +70,13 @@ def combined(
     date: str | None = None,
     start: str | None = None,
     stop: str | None = None,
+    join: str | None = None,
 ) -> DataFrame:
     """Forecast with its actual load, error and weather, one row per forecast hour.
 
+    ``join="merge"`` on tables in equal buckets of their key (``operators.bucketed``)
+    joins them bucket by bucket, without a shuffle.
+
     ``date`` (``YYYY-MM-DD``) selects one day as the endpoint does; or give
     ``start``/``stop``; with neither, every forecast hour.  The same range
     filter is applied to all three tables before the joins.
@@ -90,6 +94,8 @@ def combined(
         _num("hmdt").alias("humidity"),
         _num("wnd_spd").alias("windSpeed"),
     )
+    if join:
+        p, a, w = (x.hint(join) for x in (p, a, w))
     j = p.join(a, "_k", "left").join(w, "_k", "left")
     return j.select(
         F.col("_k").alias("datetime"),

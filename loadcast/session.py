@@ -182,6 +182,8 @@ def cluster_conf(total_cores: int, advisory_mb: int = 256, file_split_mb: int =
         "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # Buckets written by `operators.bucketed` are one sorted file each: merge joins needn't sort them.
+        "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
         # Streaming state (the stateful current view) off the JVM heap, checkpointed incrementally.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
