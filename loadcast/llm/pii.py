@@ -18,6 +18,7 @@ equal ids are handled row by row; an empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,8 +64,40 @@ LOOSE = {
 }
 LOOSE_NEEDS = {"secret": r"[0-9]|(?i:" + "|".join(SECRET_WORDS) + ")", "number": r"[0-9]{3}[.-][0-9]{4}|[0-9]{2}-[0-9]{4}", "name": r"\b(?:" + "|".join([*TITLES, *FIRST_NAMES]) + r")\b"}
 KINDS = [*BASE, *LOOSE]
-_SPAN = "array<struct<kind:string,start:int,end:int,text:string,before:string>>"
+_SPAN = "struct<kind:string,start:int,end:int,text:string,before:string>"
 _CONTEXT = 24
+#: Items of an array that a pass takes together.
+_PART = 64
+#: Characters of the blocks that a text is cut out of.
+_BLOCK = 256
+
+
+def running(items: Column, begin: Column, step: Callable[[Column, Column], tuple[Column, Column]], emits: str, part: int = _PART) -> Column:
+    """A pass over an array that carries a state and emits an element of type ``emits`` for each item:
+    step(state, item) -> (state, element).  Gives struct(state, out).
+
+    What was emitted is copied with every item of a part and with every part, so long arrays go
+    by parts of ``part`` items; the lambdas bind what would be computed again otherwise.
+    """
+
+    def within(state: Column, some: Column) -> Column:
+        def one(acc: Column, x: Column) -> Column:
+            after, element = step(acc["state"], x)
+            return F.struct(after.alias("state"), F.concat(acc["out"], F.array(element)).alias("out"))
+
+        return F.aggregate(some, F.struct(state.alias("state"), F.array().cast(f"array<{emits}>").alias("out")), one)
+
+    def whole(xs: Column) -> Column:
+        def one(acc: Column, i: Column) -> Column:
+            done = F.array(within(acc["state"], F.slice(xs, i * part + 1, F.lit(part))))
+            return F.transform(done, lambda r: F.struct(r["state"].alias("state"), F.concat(acc["out"], F.array(r["out"])).alias("out")))[0]
+
+        parts = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / part).cast("int"), F.lit(1))
+        start = F.struct(begin.alias("state"), F.array().cast(f"array<array<{emits}>>").alias("out"))
+        return F.aggregate(parts, start, one, lambda acc: F.struct(acc["state"].alias("state"), F.flatten(acc["out"]).alias("out")))
+
+    nothing = F.struct(begin.alias("state"), F.array().cast(f"array<{emits}>").alias("out"))
+    return F.transform(F.array(items), lambda xs: F.when(F.size(xs) == 0, nothing).otherwise(whole(xs)))[0]
 
 
 def _spans(text: Column, kind: str, pattern: str, needs: str) -> Column:
@@ -77,15 +110,13 @@ def _spans(text: Column, kind: str, pattern: str, needs: str) -> Column:
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"),
     )
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        start = at + x["gap"]
         end = start + F.length(x["match"])
-        found = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["match"].alias("text"), x["before"].alias("before"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(found)).alias("out"))
+        return end, F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["match"].alias("text"), x["before"].alias("before"))
 
     matches = F.filter(around, lambda x: x["match"].isNotNull())  # the last piece has no match after it
-    found = F.aggregate(matches, F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out")), step, lambda acc: acc["out"])
-    return F.when(possible, found).otherwise(F.array().cast(_SPAN))
+    return F.when(possible, running(matches, F.lit(0), step, _SPAN)["out"]).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
 def _digits(text: Column) -> Column:
@@ -210,13 +241,41 @@ def fit(found: DataFrame, base: str = "base", loose: str = "loose") -> SpanModel
     return fit_spans({(r["kind"], tuple(r["votes"]), tuple(r["shape"])): r["count"] for r in counted.collect()})
 
 
-def _overlaps(s: Column, others: Column) -> Column:
-    return F.exists(others, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]))
+def _free(loose: Column, base: Column) -> Column:
+    """The spans of ``loose`` that overlap none of ``base``, in their order.
+
+    Both are ordered by start together; one pass forward meets the furthest end of
+    the base spans so far, one backward the next base span's start.
+    """
+    kind = "struct<start:int,end:int,at:int,hit:boolean>"
+
+    def marked(spans: Column, is_loose: bool) -> Column:
+        place = lambda i: i if is_loose else F.lit(-1)
+        # at one start, base spans come first
+        return F.transform(spans, lambda s, i: F.struct(s["start"].alias("start"), place(i).alias("at"), s["end"].alias("end")))
+
+    def element(s: Column, hit: Column) -> Column:
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["at"].alias("at"), hit.alias("hit"))
+
+    def forward(edge: Column, s: Column) -> tuple[Column, Column]:
+        is_base = s["at"] < 0
+        return F.when(is_base, F.greatest(edge, s["end"])).otherwise(edge), element(s, ~is_base & (edge > s["start"]))
+
+    def backward(edge: Column, s: Column) -> tuple[Column, Column]:
+        is_base = s["at"] < 0
+        return F.when(is_base, s["start"]).otherwise(edge), element(s, is_base | s["hit"] | (edge < s["end"]))
+
+    ordered = F.array_sort(F.concat(marked(base, False), marked(loose, True)))
+    once = running(ordered, F.lit(-1), forward, kind)["out"]
+    twice = running(F.reverse(once), F.lit(2**31 - 1), backward, kind)["out"]
+    kept = F.array_sort(F.transform(F.filter(twice, lambda s: ~s["hit"]), lambda s: s["at"]))
+    return F.when((F.size(base) == 0) | (F.size(loose) == 0), loose).otherwise(F.transform(kept, lambda i: F.get(loose, i)))
 
 
 def accepted(model: SpanModel, base: Column, loose: Column) -> Column:
     """Base spans, then the other kinds in order; by start within a kind."""
-    return F.concat(base, F.filter(loose, lambda s: model.accepts(s) & ~_overlaps(s, base)))
+    taken = F.transform(F.array(F.filter(loose, model.accepts)), lambda kept: _free(kept, base))[0]  # filtered once
+    return F.concat(base, taken)
 
 
 def _listed(spans: Column) -> Column:
@@ -244,35 +303,57 @@ def pii_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with every span (overlapping ones as one) replaced by its kind in brackets."""
+    """The text with every span (overlapping ones as one) replaced by its kind in brackets.
+
+    One pass over the spans by start carries the one that is still open and its
+    furthest end; one that begins behind that end closes it.  Every closed span
+    keeps the end before it, so the pieces between are cut without looking back, out of
+    the few blocks of the text that they lie in.
+    """
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))
+    masked = F.transform(F.array(blocks), lambda b: _masked(b, spans))[0]
+    return F.when(F.size(spans) == 0, text).otherwise(masked)
+
+
+def _masked(blocks: Column, spans: Column) -> Column:
+    """``redacted`` of a text in blocks of ``_BLOCK`` characters."""
+
+    def between(start: Column, end: Column | None) -> Column:
+        first = F.floor(start / _BLOCK).cast("int")
+        last = F.size(blocks) if end is None else F.floor(end / _BLOCK).cast("int")
+        near = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+        return F.substring(near, start % _BLOCK + 1, F.length(near) if end is None else end - start)
+
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
 
-    def merge(acc: Column, s: Column) -> Column:
-        last = F.get(acc, F.size(acc) - 1)
-        grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
-        joins = F.coalesce(last["end"] > s["start"], F.lit(False))
-        return F.when(joins, F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown))).otherwise(
-            F.concat(acc, F.array(s))
-        )
+    def state(since: Column, start: Column, end: Column, kind: Column) -> Column:
+        return F.struct(since.alias("since"), start.alias("start"), end.alias("end"), kind.alias("kind"))
 
-    merged = F.aggregate(ordered, F.array().cast("array<struct<start:int,end:int,kind:string>>"), merge)
+    def step(acc: Column, s: Column) -> tuple[Column, Column]:
+        closes = acc["start"].isNotNull() & (acc["end"] <= s["start"])
+        grown = state(acc["since"], acc["start"], F.greatest(acc["end"], s["end"]), acc["kind"])
+        after = F.when(acc["start"].isNull(), state(F.lit(0), s["start"], s["end"], s["kind"])).when(closes, state(acc["end"], s["start"], s["end"], s["kind"])).otherwise(grown)
+        return after, F.when(closes, mask(acc))
 
-    def piece(s: Column, i: Column) -> Column:
+    def mask(s: Column) -> Column:
         """The text since the last span, and this one's mask."""
-        since = F.coalesce(F.get(merged, i - 1)["end"], F.lit(0))
-        return F.concat(F.substring(text, since + 1, s["start"] - since), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+        return F.concat(between(s["since"], s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+
+    none = F.lit(None).cast("int")
+    passed = running(ordered, state(F.lit(0), none, none, F.lit(None).cast("string")), step, "string")
+
+    def joined(r: Column) -> Column:
+        """What was closed, the span left open, and the rest of the text."""
+        return F.concat(F.array_join(r["out"], ""), mask(r["state"]), between(r["state"]["end"], None))
 
-    pieces = F.transform(merged, piece)
-    tail = F.substring(text, F.get(merged, F.size(merged) - 1)["end"] + 1, F.length(text))
-    return F.when(F.size(spans) == 0, text).otherwise(F.concat(F.array_join(pieces, ""), tail))
+    return F.transform(F.array(passed), joined)[0]
 
 
 def redact(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """``docs`` with the spans masked in the text; ``n_chars``, if there is such a column, follows."""
     base, loose, spans = (fresh(docs.columns, n) for n in ("_base", "_loose", "_spans"))
-    found = with_candidates(docs, text, base, loose)
-    candidates = materialize(found.select(base, loose).where((F.size(base) > 0) | (F.size(loose) > 0)), "pii-candidates")
-    model = fit(candidates, base, loose)
+    found = materialize(with_candidates(docs, text, base, loose), "pii-candidates")  # with the rows, so that none is searched twice
+    model = fit(found, base, loose)
     out = found.withColumn(spans, accepted(model, F.col(base), F.col(loose))).withColumn(text, redacted(F.col(text), F.col(spans)))
     if n_chars in docs.columns:
         changed = F.when(F.size(spans) > 0, F.length(text).cast("long")).otherwise(F.col(n_chars))

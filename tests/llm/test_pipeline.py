@@ -14,7 +14,7 @@ SF01 = "/root/testdata/sf0.01"
 
 def test_every_operator_is_registered():
     found = [q for q in E.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in found) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(q[2:].split("_")[0]) for q in found) == list(range(1, 14)) and "pipeline" in E.queries()
     assert set(queries.ORACLE_SQL) <= set(found) <= set(E.queries())
 
 
