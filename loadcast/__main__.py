@@ -42,6 +42,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     from loadcast.plans import serving as SV
     from loadcast.schemas import LOAD, WEATHER
     from loadcast.streaming import ingest as IN
+    from loadcast.streaming.control import BatchGate
 
     p = argparse.ArgumentParser(prog="loadcast", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -156,11 +157,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if args.stateful:
             q = IN.start_current_view(parsed, args.log, args.checkpoint, cells, trigger)
         else:
+            gate = BatchGate()
             q = IN.start_ingest(
                 parsed, args.log, args.checkpoint, cells, trigger,
-                reject_path=args.reject_path, metrics_path=args.metrics_path,
+                reject_path=args.reject_path, metrics_path=args.metrics_path, gate=gate,
             )
-        IN.run_for(q, args.timeout, continuous=not args.available_now)
+        IN.run_for(q, args.timeout, continuous=not args.available_now, gate=None if args.stateful else gate)
     elif args.cmd == "compact":
         made = J.compact_log(spark, args.kind, args.log, args.grace)
         print(f"manifest version {made.version}: {len(made.days)} days, through batch {made.through}")

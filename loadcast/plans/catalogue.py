@@ -30,7 +30,10 @@ from loadcast.schemas import KEY, LOAD, WEATHER
 from loadcast.session import ensure_checkpoint_root, scratch_path
 from loadcast.sources import adapters as AD
 from loadcast.sources import files as FI
+from loadcast.streaming import control as CO
+from loadcast.streaming import expiring as EX
 from loadcast.streaming import ingest as IN
+from loadcast.streaming import live as LI
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -1054,7 +1057,7 @@ def q_forecast_24h_check(spark, sf_dir):
 _STREAM_FILES = 8
 
 
-def _odd_stream(spark, sf_dir, runs: int = 1) -> dict[str, str]:
+def _odd_stream(spark, sf_dir, runs: int = 1, **options) -> dict[str, str]:
     """Odd messages in eight files, one file a batch; with two runs the whole stream is replayed
     (a new checkpoint) into the same folders.  -> paths of log, rejects and metrics."""
     messages = AD.odd_load_messages(AD.read_table(spark, sf_dir, "events"))
@@ -1067,7 +1070,7 @@ def _odd_stream(spark, sf_dir, runs: int = 1) -> dict[str, str]:
         parsed = IN.parse_readings(src, IN.LOAD_SCHEMA, "timestamp", batch_time=F.to_utc_timestamp(at, F.current_timezone()))
         IN.run_for(IN.start_ingest(
             parsed, paths["log"], scratch_path(spark, "stream-ckpt"), IN.load_cells(), trigger={"availableNow": True},
-            reject_path=paths["rejects"], metrics_path=paths["metrics"],
+            reject_path=paths["rejects"], metrics_path=paths["metrics"], **options,
         ))
     return paths
 
@@ -1106,3 +1109,91 @@ FROM events WHERE event_id % 50 NOT IN (0, 1, 3)""",
 def q_stream_replay(spark, sf_dir):
     """T4 + T8 + P25: the stream run twice leaves every message once; an unreadable key gets the batch's time."""
     return KV.kv_read_log(spark, _odd_stream(spark, sf_dir, runs=2)["log"]).select("seq", "key", "timestamp_ms", "current_reading")
+
+
+@register(
+    "stream_progress",
+    f"SELECT CAST({_STREAM_FILES} AS BIGINT) AS batches, count(*) AS input_rows, true AS all_written FROM events",
+)
+def q_stream_progress(spark, sf_dir):
+    """T9 + A4: each batch's progress as a row, as Spark reports it; the same batches as the writer's own counts."""
+    name = f"progress-{uuid.uuid4().hex[:8]}"
+    listener = CO.ProgressRows(name)
+    spark.streams.addListener(listener)
+    try:
+        paths = _odd_stream(spark, sf_dir, gate=CO.BatchGate(), name=name)
+        rows = listener.frame(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    counted = spark.read.parquet(paths["metrics"]).select(F.col(KV.BATCH).cast("long").alias("batch_id"), "rows")
+    # the writer drops broken messages before it counts
+    both = rows.where("input_rows > 0").join(counted, "batch_id", "full")
+    return both.agg(
+        F.count("batch_id").alias("batches"), F.sum("input_rows").alias("input_rows"), F.coalesce(F.bool_and(F.col("rows") <= F.col("input_rows")), F.lit(True)).alias("all_written")
+    )
+
+
+# ------------------------------------------------------------------ expiring state, live join
+
+
+_ROUNDS = 2
+
+
+@register(
+    "stream_load_expiring",
+    O.with_ctes(O.LOAD_MSG_CTE)
+    + f""",
+arrived AS (
+  SELECT *, seq % {_ROUNDS} AS round FROM load_msg UNION ALL SELECT *, {_ROUNDS} FROM load_msg WHERE seq % {_ROUNDS} = 0
+),
+ordered AS (SELECT *, round * 1000000000000 + seq AS o FROM arrived)
+SELECT key, max_by(seq, o) AS seq, max_by(CAST(epoch_ms(timezone('{O.ZONE}', CAST(key AS TIMESTAMP))) AS BIGINT), o) AS timestamp_ms,
+       max_by(current_reading, o) FILTER (WHERE current_reading IS NOT NULL) AS current_reading
+FROM ordered GROUP BY key""",
+)
+def q_stream_load_expiring(spark, sf_dir):
+    """K7 + T8 with state that expires: late messages every round, the first round's replayed at the end, a restart between rounds."""
+    messages = IN.load_messages(AD.read_table(spark, sf_dir, "events"))
+    source, out, ckpt = (scratch_path(spark, f"expiring-{x}") for x in ("in", "out", "ckpt"))
+    for i in range(_ROUNDS + 1):
+        messages.where(F.col("seq") % _ROUNDS == i % _ROUNDS).write.parquet(f"{source}/round={i}")
+        src = IN.file_message_stream(spark, f"{source}/round=*", messages.schema)
+        parsed = IN.parse_readings(src.select("value", "seq"), IN.LOAD_SCHEMA, "timestamp")
+        # what a round leaves may or may not have expired by the next one: the rows are the same
+        IN.run_for(EX.start_expiring_view(parsed, out, ckpt, IN.load_cells(), ttl_s=10, trigger={"availableNow": True}), timeout_s=600)
+    return EX.read_expiring_view(spark, out, IN.load_cells()).drop(KV.DAY)
+
+
+_LIVE_PARTS = 4
+_CLOSING = "9999-01-01 00:00:00"
+
+
+def _live_source(spark, messages, key, label):
+    """Messages in parts of time, each its own files, then one far ahead that lets the watermark pass all hours."""
+    path = scratch_path(spark, label)
+    at = F.get_json_object("value", f"$.{key}")
+    part = F.least(F.expr(f"cast(substring(get_json_object(value, '$.{key}'), 9, 2) as int) div 9"), F.lit(_LIVE_PARTS - 1))
+    for i in range(_LIVE_PARTS):
+        messages.where(part == i).where(at < _CLOSING).write.parquet(f"{path}/part={i}")
+    closing = spark.createDataFrame([(f'{{"{key}": "{_CLOSING}"}}', -1)], messages.schema)
+    closing.write.parquet(f"{path}/part={_LIVE_PARTS}")
+    return IN.file_message_stream(spark, f"{path}/part=*", messages.schema, max_files=1 << 20).select("value", "seq")
+
+
+@register(
+    "live_combined",
+    O.with_ctes(O.LOAD_MSG_CTE, O.WEATHER_MSG_CTE)
+    + """,
+errors AS (SELECT w.* FROM weather_msg w JOIN events e ON e.event_id = w.seq WHERE e.event_type = 'error'),
+by_hour AS (SELECT key, max_by(temp, seq) FILTER (WHERE temp IS NOT NULL) AS temp, max_by(hmdt, seq) FILTER (WHERE hmdt IS NOT NULL) AS hmdt FROM errors GROUP BY key)
+SELECT l.key, l.current_reading, h.temp, h.hmdt FROM load_kv l LEFT JOIN by_hour h USING (key)""",
+)
+def q_live_combined(spark, sf_dir):
+    """J2 + V4 live: two streams joined by hour under watermarks, hours without weather included; equals the batch join."""
+    ev = AD.read_table(spark, sf_dir, "events")
+    load = IN.parse_readings(_live_source(spark, IN.load_messages(ev), "timestamp", "live-load"), IN.LOAD_SCHEMA, "timestamp")
+    weather = IN.parse_readings(_live_source(spark, IN.weather_messages(ev.where("event_type = 'error'")), KEY, "live-weather"), IN.WEATHER_SCHEMA, KEY)
+    out = scratch_path(spark, "live-out")
+    joined = LI.live_combined(load, weather, ["current_reading"], ["temp", "hmdt"])
+    IN.run_for(LI.start_live(joined, out, scratch_path(spark, "live-ckpt"), trigger={"availableNow": True}), timeout_s=600)
+    return spark.read.parquet(out).select("key", "current_reading", "temp", "hmdt")

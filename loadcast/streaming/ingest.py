@@ -25,6 +25,7 @@ from loadcast.functions.calendar import hour_floor
 from loadcast.functions.timekeys import DEFAULT_ZONE, epoch_millis, format_key, parse_key
 from loadcast.operators.compaction import is_folded
 from loadcast.operators.kv import BATCH, DAY, kv_write_batch, with_day
+from loadcast.streaming.control import BatchGate
 from loadcast.schemas import KEY, LOAD_MESSAGE, STREAM_WEATHER_MEASURES, WEATHER_MESSAGE
 
 log = logging.getLogger(__name__)
@@ -115,11 +116,11 @@ def batch_writer(
     keep = ["key", seq, *cells]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            log.info("batch %s is empty", batch_id)
-            return
         src = batch.persist() if reject_path else batch
         try:
+            if src.isEmpty():  # of the persisted batch, so that its input is read once
+                log.info("batch %s is empty", batch_id)
+                return
             obs = Observation(f"ingest_{batch_id}")
             observed = src.observe(
                 obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("rejected")).alias("rejected")
@@ -155,20 +156,19 @@ def start_ingest(
     seq: str = "seq",
     reject_path: str | None = None,
     metrics_path: str | None = None,
+    gate: BatchGate | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Start the stream: every trigger appends one batch folder to ``log_path``.
 
     ``trigger`` defaults to a 10-second processing-time trigger; tests pass
-    ``{"availableNow": True}``.
+    ``{"availableNow": True}``.  With a ``gate`` the stream can be stopped between batches.
     """
     trig = {"processingTime": "10 seconds"} if trigger is None else trigger
-    return (
-        parsed.writeStream.foreachBatch(batch_writer(log_path, cells, seq, reject_path, metrics_path))
-        .outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trig)
-        .start()
-    )
+    write = batch_writer(log_path, cells, seq, reject_path, metrics_path)
+    stream = parsed.writeStream.foreachBatch(gate.wrap(write) if gate else write).outputMode("update").option("checkpointLocation", checkpoint)
+    stream = stream.queryName(name) if name else stream
+    return stream.trigger(**trig).start()
 
 
 def start_current_view(
@@ -215,20 +215,22 @@ def read_current_view(spark: SparkSession, out_path: str, cells: Sequence[str],
     return rows.groupBy("key").agg(latest).select("key", F.col(f"_r.{seq}").alias(seq), *[F.col(f"_r.{c}").alias(c) for c in cells])
 
 
-def run_for(query: StreamingQuery, timeout_s: float | None = None, continuous: bool = False) -> None:
+def run_for(query: StreamingQuery, timeout_s: float | None = None, continuous: bool = False, gate: BatchGate | None = None) -> None:
     """Wait until the stream has read all its input.
 
-    With ``timeout_s`` a stream that isn't done by then is stopped and
-    TimeoutError raised: what it has written is only a part.  A ``continuous``
+    With ``timeout_s`` a stream that isn't done by then is stopped (with its ``gate``, between
+    batches) and TimeoutError raised: what it has written is only a part.  A ``continuous``
     stream has no end; stopping it after ``timeout_s`` is the normal case.
     """
     done = False
     try:
         done = query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination() is None
     finally:
-        if query.isActive:
+        if query.isActive and gate is not None:
+            gate.stop(query)
+        elif query.isActive:
             query.stop()
-    if query.exception() is not None:
+    if query.exception() is not None and gate is None:
         raise query.exception()
     if not done and not continuous:
         raise TimeoutError(f"the stream had not read all its input after {timeout_s} s")
