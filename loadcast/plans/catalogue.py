@@ -966,6 +966,27 @@ def q_csv_quarantine(spark, sf_dir):
     return both.agg(F.count_if("ok").alias("good_rows"), F.count_if(~F.col("ok")).alias("bad_rows"))
 
 
+@register(
+    "csv_own_headers",
+    O.with_ctes(O.LOAD_CTE)
+    + """
+SELECT datetime_ept, mw FROM load_data WHERE CAST(substr(datetime_ept, 12, 2) AS INTEGER) % 3 < 2
+UNION ALL SELECT 'files without mw', 1.0""",
+)
+def q_csv_own_headers(spark, sf_dir):
+    """S2 + S3 with other headers: swapped and extra columns are found by name, a file without a column is set aside."""
+    load, _ = _series(spark, sf_dir)
+    root = scratch_path(spark, "own-headers")
+    hour = F.substring(KEY, 12, 2).cast("int") % 3
+    shapes = [load, load.select(F.lit("x").alias("note"), "mw", KEY), load.select(KEY, F.col("mw").alias("load"))]
+    for i, shape in enumerate(shapes):
+        FI.write_series_csv(shape.where(hour == i).coalesce(1), f"{root}/shape{i}", order=None)
+    rows, aside = FI.read_by_own_headers(spark, f"{root}/*", [f.name for f in LOAD.fields])
+    typed = FI.typed_series(rows, LOAD, on_error="raise")
+    listed = aside.where(F.array_contains("missing", "mw")).agg(F.count(F.lit(1)).cast("double").alias("mw"))
+    return typed.unionByName(listed.select(F.lit("files without mw").alias(KEY), "mw"))
+
+
 # ------------------------------------------------------------------ model results that SQL can state
 
 

@@ -41,6 +41,30 @@ def _read_by_header(spark: SparkSession, path: str) -> DataFrame:
     return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 
+def read_by_own_headers(spark: SparkSession, path: str, wanted: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows, files set aside): the ``wanted`` columns as text, found in every file by that file's own header.
+
+    Files may have the columns in any order and others besides.  A file that lacks
+    a wanted column is set aside whole, as (file, missing); an empty file has no header
+    and no rows.  A header's names are split at commas, quotes around them are dropped.  The files
+    are read twice, the first time for their first lines.
+    """
+    file, start = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    lines = spark.read.text(path).select("value", file, start, F.monotonically_increasing_id().alias("place")).where(F.trim("value") != "")
+    first = lines.groupBy("file").agg(F.min_by("value", F.struct("start", "place")).alias("line"))
+    names = F.transform(F.split(F.regexp_replace("line", "^\ufeff", ""), ","), lambda n: F.regexp_replace(F.trim(n), '^"|"$', ""))
+    heads = first.select("file", names.alias("names"))
+    missing = F.filter(F.array(*[F.lit(w) for w in wanted]), lambda w: ~F.array_contains(F.col("names"), w))
+    heads = heads.withColumn("missing", missing)
+    width = heads.agg(F.max(F.size("names"))).first()[0] or 0  # one scalar
+    columns = [f"c{i}" for i in range(max(width, 1))]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    rows = spark.read.schema(schema).option("header", True).csv(path).select("*", F.col("_metadata.file_path").alias("file"))
+    whole = rows.join(heads.where(F.size("missing") == 0).drop("missing"), "file")
+    cell = {w: F.get(F.array(*columns), F.array_position("names", w).cast("int") - 1) for w in wanted}
+    return whole.select(*[c.alias(w) for w, c in cell.items()]), heads.where(F.size("missing") > 0).select("file", "missing")
+
+
 def _wanted_measures(df: DataFrame, measures: Sequence[str]) -> list[str]:
     present = [m for m in measures if m in df.columns]
     missing = [m for m in measures if m not in df.columns]
@@ -94,6 +118,12 @@ def read_series_csv(spark: SparkSession, path: str, schema: T.StructType, on_err
     missing = [n for n in names if n not in raw.columns]
     if missing:
         raise ValueError(f"CSV {path} lacks columns {missing}")
+    return typed_series(raw, schema, on_error)
+
+
+def typed_series(raw: DataFrame, schema: T.StructType, on_error: str = "raise"):
+    """Text columns to the types of ``schema``, strictly or with bad rows set aside (see ``read_series_csv``)."""
+    names = [f.name for f in schema.fields]
     if on_error == "raise":
         typed = raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
         return typed.select(*[_not_null_or_fail(n) .alias(n) for n in names])

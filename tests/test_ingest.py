@@ -78,3 +78,22 @@ def test_parts_are_not_truncated(spark, scratch):
         FI.clean_weather(FI.read_raw_weather_csv(spark, p)).collect()
     good, bad = FI.clean_weather(FI.read_raw_weather_csv(spark, p), on_error="quarantine")
     assert good.count() == 0 and bad.count() == 1
+
+
+def test_files_are_read_by_their_own_headers(spark, tmp_path):
+    """Any order, extra columns, quotes and a byte order mark; files that lack a column are listed, empty ones don't count."""
+    texts = {
+        "a.csv": "datetime_ept,mw\n2024-01-01 00:00:00,1.5\n",
+        "b.csv": 'extra,"mw",datetime_ept\n"x, y",2.5,2024-01-01 01:00:00\nz,3.5,2024-01-01 02:00:00\n',
+        "c.csv": "﻿mw,datetime_ept\n4.5,2024-01-01 03:00:00\n",
+        "d.csv": "datetime_ept,load\n2024-01-01 04:00:00,9\n",
+        "e.csv": "",
+        "f.csv": "datetime_ept,mw\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    rows, aside = FI.read_by_own_headers(spark, str(tmp_path), ["datetime_ept", "mw"])
+    assert sorted(map(tuple, rows.collect())) == [(f"2024-01-01 0{i}:00:00", f"{i + 1}.5") for i in range(4)]
+    assert [(r.file.rsplit("/", 1)[1], r.missing) for r in aside.collect()] == [("d.csv", ["mw"])]
+    typed = FI.typed_series(rows, LOAD)
+    assert typed.agg({"mw": "sum"}).first()[0] == 12.0
