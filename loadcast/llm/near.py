@@ -51,12 +51,18 @@ _COLUMNS = 8192
 
 def choose_bands(threshold: float, recall: float, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
     """(bands, rows): the most rows a band (fewest false candidates) for which a pair at the
-    threshold shares a band with probability ``recall``, within ``max_hashes`` hash functions."""
+    threshold shares a band with probability ``recall``, within ``max_hashes`` hash functions.
+    Raises if that many can't give it."""
+    if not 0 < threshold <= 1 or not 0 < recall < 1:
+        raise ValueError("threshold in (0, 1], recall in (0, 1)")
     for rows in range(max_hashes, 0, -1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows)) if threshold < 1 else 1
+        alike = threshold**rows  # probability that all hashes of a band agree
+        if alike == 0:
+            continue
+        bands = math.ceil(math.log1p(-recall) / math.log1p(-alike)) if threshold < 1 else 1
         if bands * rows <= max_hashes:
             return bands, rows
-    return max_hashes, 1
+    raise ValueError(f"{max_hashes} hashes can't find pairs at {threshold} with probability {recall}")
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, n: int = SHINGLE) -> Iterator[np.ndarray]:

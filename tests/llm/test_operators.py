@@ -302,8 +302,14 @@ def test_many_near_copies_give_links_without_pairs(spark):
     got = near.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), block=16).collect()
     _, links = odd.near_components(rows)
     assert {r.doc_id: r.n_links for r in got} == dict(enumerate(links)) and {r.class_id for r in got} == {0}
-    bands, size = near.choose_bands(0.8, 0.999)
-    assert 1 - (1 - 0.8**size) ** bands >= 0.999
+    assert near.choose_bands(0.8, 0.999) == (18, 5)
+    for threshold in [x / 100 for x in range(20, 100)] + [0.687, 1.0]:
+        bands, size = near.choose_bands(threshold, 0.999)
+        assert 1 - (1 - threshold**size) ** bands >= 0.999 and bands * size <= near.MAX_HASHES
+    with pytest.raises(ValueError, match="can't find pairs"):
+        near.choose_bands(0.05, 0.999)
+    with pytest.raises(ValueError, match="threshold in"):
+        near.choose_bands(0.0, 0.999)
 
 
 def test_components_of_a_long_chain(spark):
