@@ -227,9 +227,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     shared = (
         found.groupBy("mini")
-        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"), F.sum(F.col("windows").cast("long")).alias("sum"))
         .where(F.col("low") < F.col("high"))
-        .select("mini", (F.col("n") > hot).alias("hot"))
+        # many super-k-mers, or few that are long (of periodic text): what would meet in one list
+        .select("mini", ((F.col("n") > hot) | (F.col("sum") > hot * window)).alias("hot"))
     )
     seats = materialize(
         found.join(shared, "mini")
