@@ -8,10 +8,10 @@ delta       text streamed onto the end of ``msg`` (which it opens, if need be)
 edit        new text of ``msg``; what later messages were until then is dropped
 regenerate  ``msg`` starts anew with this text; later messages are dropped likewise
 
-The log is partitioned by conversation and sorted by ``seq``; windows find the
-last cut above each message and its own last beginning, and what came since is
-put together per message, so a long conversation is folded by its messages and
-no conversation is ever one row.  Rendered messages are chunks that follow each
+The log is partitioned by conversation and sorted by ``seq``.  The last cut above each
+message is found among one small row per message, without the texts; then the log
+is dealt by message, its own last beginning found, and what came since put
+together, so a long conversation is folded by its messages and its texts are never in one task.  Rendered messages are chunks that follow each
 other; the reader streams over them with a hash and a few counters per
 conversation.
 
@@ -37,6 +37,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loadcast.operators.sequence import with_sequence
+
 from .common import shuffle_partitions
 
 # Control strings of the template and of other common ones.
@@ -72,6 +74,33 @@ def turns_as_events(turns: DataFrame) -> DataFrame:
     )
 
 
+def turns_as_streams(turns: DataFrame) -> DataFrame:
+    """Rows (conv_id, turn, role, text) as the log of a conversation that was streamed and corrected.
+
+    Every turn is opened by a draft (the first half of its text), answered too early, then edited (a
+    user's; others are regenerated), which voids both, and streamed again in three pieces.  Turns are
+    numbered in order of turn (null first), role, text, over ranges of all rows, so a hot
+    conversation's texts are spread.
+    """
+    wanted = turns.select("conv_id", "turn", *[F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")])
+    numbered = with_sequence(wanted, ["turn", "role", "text"], ["conv_id"], rn_col="msg")
+    n = F.length("text")
+    third, place = F.floor(n / 3).cast("int"), F.col("msg") * 5
+    again = F.when(F.col("role") == "user", F.lit("edit")).otherwise(F.lit("regenerate"))
+
+    def event(step: int, kind: Column, text: Column, msg: Column = F.col("msg")) -> Column:
+        return F.struct((place + step).alias("seq"), msg.alias("msg"), kind.alias("kind"), F.col("role").alias("role"), text.alias("text"))
+
+    steps = F.array(
+        event(0, F.lit("message"), F.substring("text", F.lit(1), F.floor(n / 2).cast("int"))),
+        event(1, F.lit("message"), F.lit("too early"), F.col("msg") + 1),
+        event(2, again, F.substring("text", F.lit(1), third)),
+        event(3, F.lit("delta"), F.substring("text", third + 1, third)),
+        event(4, F.lit("delta"), F.substring("text", 2 * third + 1, n)),
+    )
+    return numbered.select("conv_id", F.explode(steps).alias("e")).select("conv_id", "e.*")
+
+
 def fold(events: DataFrame) -> DataFrame:
     """Final messages: (conv_id, msg, role, text)."""
     log = events.select(
@@ -84,8 +113,11 @@ def fold(events: DataFrame) -> DataFrame:
     )
     # what a message was before the last edit or regeneration of an earlier one is void
     cut = F.when(F.col("kind").isin("edit", "regenerate"), F.col("seq"))
-    above = Window.partitionBy("conv_id").orderBy("msg").rangeBetween(Window.unboundedPreceding, -1)
-    alive = log.withColumn("cut", F.max(cut).over(above)).where(F.col("cut").isNull() | (F.col("seq") > F.col("cut")))
+    above = Window.partitionBy("conv").orderBy("m").rowsBetween(Window.unboundedPreceding, -1)
+    per_message = log.groupBy(F.col("conv_id").alias("conv"), F.col("msg").alias("m")).agg(F.max(cut).alias("own"))
+    cuts = per_message.select("conv", "m", F.max("own").over(above).alias("cut")).where(F.col("cut").isNotNull())
+    same = F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("msg") == F.col("m"))
+    alive = log.join(cuts, same, "left").where(F.col("cut").isNull() | (F.col("seq") > F.col("cut"))).drop("conv", "m", "cut")
     # and so is what precedes its own last beginning
     began = F.col("kind") != "delta"
     turn = Window.partitionBy("conv_id", "msg").orderBy("seq", "kind", "role", "text")

@@ -22,10 +22,10 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations and conversation -7, formatted and read back: digests per conversation."""
+    """All conversations and conversation -7, folded from a streamed and corrected log, formatted and read back: digests per conversation."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], "conv_id long, turn long, role string, text string")
-    return chat.digests(chat.format_conversations(chat.turns_as_events(turns.unionByName(extra))))
+    return chat.digests(chat.format_conversations(chat.turns_as_streams(turns.unionByName(extra))))
 
 
 def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,9 +83,14 @@ def test_chat_reads_back_what_it_formats(spark):
         assert (g.loss_chars, g.loss_sha256) == (len(loss), odd.sha(loss))
         assert g.formatted_chars > sum(len(t) for *_, t in ordered)
     assert not got
+    streamed = chat.digests(chat.format_conversations(chat.turns_as_streams(turns)))
+    assert sorted(map(repr, streamed.collect())) == sorted(map(repr, chat.digests(chat.format_conversations(chat.turns_as_events(turns))).collect()))
+    log = chat.turns_as_streams(turns)
+    assert log.count() == 5 * turns.count() and {r.kind for r in log.select("kind").distinct().collect()} == {"message", "edit", "regenerate", "delta"}
     texts = chat.render(chat.fold(chat.turns_as_events(turns))).where("loss_end > 0").collect()
     assert all(not any(c in r.chunk[r.loss_start : r.loss_end] for c in chat.CONTROLS) for r in texts)
     assert chat.digests(chat.format_conversations(chat.turns_as_events(turns.limit(0)))).count() == 0
+    assert chat.digests(chat.format_conversations(chat.turns_as_streams(turns.limit(0)))).count() == 0
 
 
 # ---------------------------------------------------------------- 2
