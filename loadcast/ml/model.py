@@ -7,7 +7,8 @@ assembler, as in the reference.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import contextlib
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadcast.operators.features import default_tie_break
 from loadcast.operators.selection import forward_folds
 from loadcast.schemas import NON_FEATURES
 
@@ -27,6 +29,8 @@ SEED = 42
 # The reference's hyper-parameter grid and fold count.
 REFERENCE_GRID = {"numTrees": [20, 50], "maxDepth": [8, 12]}
 REFERENCE_FOLDS = 3
+#: Training rows that are worth a task of their own.
+TASK_ROWS = 8192
 
 
 def feature_columns(df: DataFrame, exclude: Sequence[str] = NON_FEATURES) -> list[str]:
@@ -53,6 +57,33 @@ def build_pipeline(features: Sequence[str], label: str = TARGET, seed: int = SEE
     return Pipeline(stages=[assembler(features), rf]), rf
 
 
+@contextlib.contextmanager
+def training_cache(df: DataFrame, task_rows: int = TASK_ROWS) -> Iterator[DataFrame]:
+    """``df`` cached, in partitions that are worth their tasks.
+
+    A search runs hundreds of stages over the frame, each with a task a partition,
+    and a cached frame keeps those of the exchange it came from: as many as the whole
+    input asked for, which the few rows left don't fill.  Such a frame is dealt out
+    anew by its number of rows, and sorted, so that seeded folds and samples are alike
+    in every run.  One of up to two partitions a core is left as it is.
+    """
+    cached = df.persist()
+    try:
+        want = max(1, -(-cached.count() // task_rows))
+        if cached.rdd.getNumPartitions() > max(want, 2 * df.sparkSession.sparkContext.defaultParallelism):
+            dealt = cached.repartition(want).sortWithinPartitions(*default_tie_break(df, [])).persist()
+            try:
+                dealt.count()
+                cached.unpersist()
+                yield dealt
+            finally:
+                dealt.unpersist()
+        else:
+            yield cached
+    finally:
+        cached.unpersist()
+
+
 def train(
     train_df: DataFrame,
     grid: dict[str, list] | None = None,
@@ -67,8 +98,8 @@ def train(
     Folds are random (seeded) as in the reference; pass ``fold_col`` (e.g.
     from ``split.time_folds(df, k)``, with ``folds=k``) for time-blocked folds.
 
-    The training frame is cached for the duration of the search: every fold
-    fit re-reads it, and recomputing the feature chain per fit is the cost
+    The training frame is cached for the duration of the search (``training_cache``):
+    every fold fit re-reads it, and recomputing the feature chain per fit is the cost
     the reference pays.
     """
     grid = REFERENCE_GRID if grid is None else grid
@@ -89,11 +120,8 @@ def train(
         parallelism=parallelism or min(4, len(maps)),
         **({"foldCol": fold_col} if fold_col else {}),
     )
-    cached = train_df.persist()
-    try:
+    with training_cache(train_df) as cached:
         return cv.fit(cached)
-    finally:
-        cached.unpersist()
 
 
 def train_forward(
@@ -118,8 +146,7 @@ def train_forward(
         builder = builder.addGrid(rf.getParam(name), values)
     maps = builder.build()
     evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
-    cached = train_df.persist()
-    try:
+    with training_cache(train_df) as cached:
         errors: list[list[float]] = [[] for _ in maps]
         with ThreadPoolExecutor(parallelism or min(4, len(maps))) as pool:
             for past, block in forward_folds(cached, folds, time):
@@ -128,8 +155,6 @@ def train_forward(
                     per_map.append(error)
         means = [sum(e) / len(e) for e in errors]
         best = pipe.fit(cached, maps[means.index(min(means))])
-    finally:
-        cached.unpersist()
     search = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=evaluator, numFolds=max(2, folds), seed=seed)
     return search._copyValues(CrossValidatorModel(best, avgMetrics=means))
 

@@ -190,3 +190,33 @@ def test_one_pass_bounds_equal_two_frame_bounds(feats):
     a = bounds.first().asDict()
     b = SP.split_bounds(train, test).first().asDict()
     assert a == b and a["ordered"]
+
+
+@pytest.mark.parametrize("search", [ML.train, ML.train_forward])
+def test_few_rows_in_many_partitions_are_trained_in_few_tasks(spark, monkeypatch, search):
+    """A search has hundreds of stages with a task a partition: the rows say how many, not the exchange they come from."""
+    frame = spark.range(300).select(F.timestamp_seconds(F.col("id") * 3600).alias("ts"), F.rand(1).alias("x"), F.rand(2).alias("mw")).repartition(211, "ts")
+    tasks = []
+    monkeypatch.setattr(ML.Pipeline, "fit", lambda self, df, *a, f=ML.Pipeline.fit: tasks.append(df.rdd.getNumPartitions()) or f(self, df, *a))
+    monkeypatch.setattr(ML.CrossValidator, "fit", lambda self, df, f=ML.CrossValidator.fit: tasks.append(df.rdd.getNumPartitions()) or f(self, df))
+    model = search(frame, grid={"numTrees": [2], "maxDepth": [2]}, folds=2)
+    assert tasks and max(tasks) == 1
+    assert ML.score(model, frame).count() == 300
+
+
+def test_training_cache_keeps_every_row(spark):
+    cores = spark.sparkContext.defaultParallelism
+    frame = spark.range(1000).select((F.col("id") % 400).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("b"))
+    rows = sorted(map(repr, frame.collect()))
+    dealt = []
+    for parts in (cores, 3 * cores + 50):
+        many = frame.repartition(parts, "a")
+        with ML.training_cache(many, task_rows=300) as cached:
+            assert sorted(map(repr, cached.collect())) == rows
+            assert cached.rdd.getNumPartitions() == (4 if parts > max(4, 2 * cores) else parts)
+            dealt.append(cached.rdd.glom().collect())
+        with ML.training_cache(many, task_rows=300) as cached:  # alike again, for seeded folds
+            assert cached.rdd.glom().collect() == dealt[-1]
+        assert not many.storageLevel.useMemory
+    with ML.training_cache(frame.where("a < 0").repartition(3 * cores + 50)) as cached:
+        assert cached.count() == 0
