@@ -1076,17 +1076,34 @@ def q_forecast_24h_check(spark, sf_dir):
 
 
 _STREAM_FILES = 8
+#: Messages that are worth a file, and so a task of their own, within a batch.
+_FILE_MESSAGES = 1 << 17
+
+
+def _write_stream_files(messages: DataFrame, path: str) -> int:
+    """Write messages in eight parts by ``seq``, each as equally many files; -> files a part.
+
+    A file's messages are parsed by one task, so long parts take several files.
+    """
+    files = max(1, -(-messages.count() // (_STREAM_FILES * _FILE_MESSAGES)))
+    if files == 1:
+        messages.repartitionByRange(_STREAM_FILES, "seq").write.parquet(path)
+    else:
+        # the salt parts messages of one seq, so that no file is left out as empty
+        salted = messages.withColumn("_salt", F.monotonically_increasing_id())
+        salted.repartitionByRange(_STREAM_FILES * files, "seq", "_salt").drop("_salt").write.parquet(path)
+    return files
 
 
 def _odd_stream(spark, sf_dir, runs: int = 1, **options) -> dict[str, str]:
-    """Odd messages in eight files, one file a batch; with two runs the whole stream is replayed
-    (a new checkpoint) into the same folders.  -> paths of log, rejects and metrics."""
+    """Odd messages in eight batches of one file each (of more, if they are many); with two runs the
+    whole stream is replayed (a new checkpoint) into the same folders.  -> paths of log, rejects and metrics."""
     messages = AD.odd_load_messages(AD.read_table(spark, sf_dir, "events"))
     source = scratch_path(spark, "stream-in")
-    messages.repartitionByRange(_STREAM_FILES, "seq").write.parquet(source)
+    files = _write_stream_files(messages, source)
     paths = {name: scratch_path(spark, f"stream-{name}") for name in ("log", "rejects", "metrics")}
     for _ in range(runs):
-        src = IN.file_message_stream(spark, source, messages.schema, max_files=1)
+        src = IN.file_message_stream(spark, source, messages.schema, max_files=files)
         at = F.lit(_BATCH_TIME).cast("timestamp_ntz").cast("timestamp")
         parsed = IN.parse_readings(src, IN.LOAD_SCHEMA, "timestamp", batch_time=F.to_utc_timestamp(at, F.current_timezone()))
         IN.run_for(IN.start_ingest(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loadcast.functions.timekeys import epoch_seconds
 from loadcast.operators import kv as KV
+from loadcast.plans import catalogue as CA
 from loadcast.streaming import ingest as IN
 
 
@@ -312,3 +313,24 @@ def test_extreme_order_values(spark):
 def test_cells_with_a_null_sequence(spark):
     cells = spark.createDataFrame([("k", None, "v", "1"), ("k", 0, "v", "2"), ("z", None, "v", "3")], "key string, seq long, column string, value string")
     assert {(r.key, r.v) for r in KV.kv_from_cells(cells, {"v": "int"}).collect()} == {("k", 2), ("z", 3)}
+
+
+@pytest.mark.parametrize("ids", ["id", "id % 5", "nullif(id % 400, 0)"])
+def test_a_long_batch_is_read_from_several_files(spark, scratch, monkeypatch, ids):
+    """Eight batches whatever their size, each in as many files as its messages are worth tasks; repeated and null ids too."""
+    events = spark.range(2000).select(
+        F.expr(ids).alias("event_id"), F.lit(dt.datetime(2024, 1, 2)).cast("timestamp_ntz").alias("ts"), F.lit(1).cast("long").alias("user_id"),
+        F.lit("click").alias("event_type"), F.col("id").cast("double").alias("value"), F.lit("{}").alias("props"),
+    )
+    events.write.parquet(scratch + "/events.parquet")
+    monkeypatch.setattr(CA, "_FILE_MESSAGES", 100, raising=False)
+    made = []
+    monkeypatch.setattr(CA, "scratch_path", lambda s, label, f=CA.scratch_path: made.append(f(s, label)) or made[-1])
+    counts = CA.q_stream_metrics(spark, scratch).first()
+    source = spark.read.parquet(next(p for p in made if "/stream-in-" in p))
+    assert source.count() == 2000 and len(source.inputFiles()) == 24
+    kept, rejected = (events.where(f"event_id % 50 {c}") for c in ("not in (0, 3)", "= 1"))
+    assert tuple(counts)[1:] == (kept.count(), rejected.count(), kept.count() - rejected.count())
+    assert counts.batches == 8 or ids == "id % 5"  # where the first is all null keys, it isn't counted
+    replayed = [(r.seq, r.current_reading) for r in CA.q_stream_replay(spark, scratch).collect()]
+    assert sorted(replayed) == sorted((r.event_id, r.value) for r in kept.where("event_id % 50 <> 1").collect())
