@@ -96,10 +96,11 @@ def sized_sequence(
     series_keys: Sequence[str] = (),
     rn_col: str = "rn",
     num_partitions: int | None = None,
+    size_col: str | None = None,
 ) -> tuple[DataFrame, int | None]:
     """``with_sequence`` plus a partition count sized from the written table
     (a plain Parquet scan, whose size Spark knows exactly), for the exchange
-    that follows."""
+    that follows.  With ``size_col`` each row also gets its series' number of rows."""
     _check_reserved(df, _RESERVED_SEQ)
     spark = df.sparkSession
     n = num_partitions or target_partitions(df)
@@ -137,6 +138,7 @@ def sized_sequence(
         *[F.col(k).alias(v) for k, v in renamed.items()],
         "_first",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+        *([F.sum("_n").over(Window.partitionBy(*series_keys)).alias(size_col)] if size_col else []),
     )
     if not series_keys:
         # One row per range partition: bounded by the partition count, not by the data.

@@ -69,6 +69,40 @@ def test_a_row_before_its_series_state_raises(spark, scratch):
     assert spark.read.parquet(scratch + "/out").count() == 13 and spark.read.parquet(scratch + "/state/slice=2").count() == 13
 
 
+def test_a_slice_numbers_only_its_own_rows(spark, scratch, monkeypatch):
+    """The state isn't sorted and written again for each slice; it is where times meet, or where an older state has no places."""
+    whole = spark.createDataFrame([r for s in (1, 2, None) for r in hourly(s, 0, 300, random.Random(7))], SCHEMA).cache()
+    numbered = []
+    monkeypatch.setattr(AP, "sized_sequence", lambda df, *a, f=AP.sized_sequence, **b: numbered.append(df.count()) or f(df, *a, **b))
+    hour = F.timestamp_diff("HOUR", F.lit("2024-01-01").cast("timestamp_ntz"), F.col("ts"))
+    parts = [(hour < 200), (hour >= 200) & (hour < 210), (hour >= 210)]
+    full = FE.weather_features(FE.time_features(FE.window_features(whole, series_keys=("user_id",), avg_scale=2, warmup_filter=False)))
+    for label in ("placed", "older"):
+        out, state = f"{scratch}/{label}-out", f"{scratch}/{label}-state"
+        for i, part in enumerate(parts):
+            if label == "older" and i == 2:
+                spark.read.parquet(f"{state}/slice=1").select(*whole.columns).write.parquet(f"{state}/slice=1b")
+                bare = spark.read.parquet(f"{state}/slice=1b").localCheckpoint()
+                bare.write.mode("overwrite").parquet(f"{state}/slice=1")
+            AP.append_features(whole.where(part), out, state, i, series_keys=("user_id",), avg_scale=2)
+        assert as_set(spark.read.parquet(out).select(*full.columns)) == as_set(full)
+        last = spark.read.parquet(f"{state}/slice=2")
+        assert sorted(r["_back"] for r in last.where("user_id = 1").collect()) == list(range(1, 169))
+    assert numbered == [600, 30, 270, 600, 30, 270 + 3 * 168]
+
+
+def test_rows_beside_the_last_known_one(spark, scratch):
+    """A slice may begin at the time its series' state ends: the state's rows come first, and go by all columns later."""
+    rows = sorted(hourly(1, 0, 60, random.Random(3)), key=lambda r: r[2])
+    first, second, third = rows[:20] + [(*rows[19][:3], 0.5, *rows[19][4:])], [(*rows[19][:3], 0.25, *rows[19][4:]), *rows[20:40]], rows[40:]
+    for i, part in enumerate((first, second, third)):
+        AP.append_features(spark.createDataFrame(part, SCHEMA), scratch + "/out", scratch + "/state", i, series_keys=("user_id",), avg_scale=2)
+    got = spark.read.parquet(scratch + "/out")
+    assert got.count() == 62 and spark.read.parquet(scratch + "/state/slice=2").count() == 62
+    lag = {r.ts: r.load_lag_24h for r in got.collect()}
+    assert lag[third[0][2]] == rows[18][3]
+
+
 # ---------------------------------------------------------------- buckets
 
 
