@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import buffers
+from .common import buffers, releasing
 
 #: Distinct fragments that a task remembers before it starts anew (bounds its memory, not the result).
 REMEMBERED = 200_000
@@ -131,17 +131,18 @@ class FragmentTokenizer:
         return b"".join([table[i] for i in np.frombuffer(ids, dtype="<u4").tolist()]).decode("utf-8", "replace")
 
 
-def _pieces(column: pa.Array, limit: int = 4 << 20) -> Iterator[list[np.ndarray]]:
+def _pieces(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(first row, texts) of pieces of about ``limit`` bytes."""
     data, offsets = buffers(column)
-    out, size = [], 0
+    lo, out, size = 0, [], 0
     for a, b in zip(offsets[:-1], offsets[1:], strict=True):
         out.append(data[a:b])
         size += b - a
         if size >= limit:
-            yield out
-            out, size = [], 0
+            yield lo, out
+            lo, out, size = lo + len(out), [], 0
     if out:
-        yield out
+        yield lo, out
 
 
 def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", decoded_sha256: str | None = None) -> DataFrame:
@@ -157,16 +158,18 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = FragmentTokenizer(tokenizer)
         for batch in batches:
-            encoded = [e for piece in _pieces(batch.column(at)) for e in own.encode_bytes(piece)]
-            ends = np.cumsum([0, *(len(e) // 4 for e in encoded)]).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(encoded), dtype="<i4"))
-            columns = [pa.ListArray.from_arrays(pa.array(ends), values)]
-            if decoded_sha256:
-                columns.append(pa.array([hashlib.sha256(own.decode(e).encode()).hexdigest() for e in encoded], pa.string()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *(f.name for f in added)])
+            for lo, texts in _pieces(batch.column(at)):  # rows go on piece by piece, so none waits for the batch
+                encoded = own.encode_bytes(texts)
+                ends = np.cumsum([0, *(len(e) // 4 for e in encoded)]).astype(np.int32)
+                values = pa.array(np.frombuffer(b"".join(encoded), dtype="<i4"))
+                columns = [pa.ListArray.from_arrays(pa.array(ends), values)]
+                if decoded_sha256:
+                    columns.append(pa.array([hashlib.sha256(own.decode(e).encode()).hexdigest() for e in encoded], pa.string()))
+                rows = batch.slice(lo, len(texts))
+                yield pa.RecordBatch.from_arrays([*rows.columns, *columns], names=[*batch.schema.names, *(f.name for f in added)])
 
     at = docs.columns.index(text)
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+    return docs.mapInArrow(releasing(run), T.StructType([*docs.schema.fields, *added]))
 
 
 def decode(tokens: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -179,7 +182,7 @@ def decode(tokens: DataFrame, tokenizer: str, ids: str = "ids", text: str = "dec
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text])
 
     at = tokens.columns.index(ids)
-    return tokens.mapInArrow(run, T.StructType([*tokens.schema.fields, T.StructField(text, T.StringType(), True)]))
+    return tokens.mapInArrow(releasing(run), T.StructType([*tokens.schema.fields, T.StructField(text, T.StringType(), True)]))
 
 
 def round_trip(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -190,7 +193,7 @@ def round_trip(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: st
         own = FragmentTokenizer(tokenizer)
         for batch in batches:
             counts, id_digests, text_digests = [], [], []
-            for piece in _pieces(batch.column(1)):
+            for _, piece in _pieces(batch.column(1)):
                 for ids in own.encode_bytes(piece):
                     counts.append(len(ids) // 4)
                     id_digests.append(hashlib.sha256(ids).hexdigest())
@@ -201,4 +204,4 @@ def round_trip(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: st
             )
 
     wanted = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
-    return wanted.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return wanted.mapInArrow(releasing(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, fresh, gram_hash, materialize, mix, shuffle_partitions
+from .common import Words, chunks, fresh, gram_hash, materialize, mix, releasing, shuffle_partitions
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -47,6 +47,8 @@ MAX_HASHES = 100
 #: Classes in a block of a large bucket.
 BLOCK = 512
 _COLUMNS = 8192
+#: Rows of a batch that are Python objects together, besides those of the bucket at hand.
+_ROWS = 512
 
 
 def choose_bands(threshold: float, recall: float, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
@@ -115,7 +117,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str, minhash: MinHash, n: int)
             )
 
     wanted = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _row_key(doc_id, text).alias("row"), F.col(text).alias("text"))
-    return wanted.mapInArrow(scan, "doc_id long, row long, key binary, bands array<long>")
+    return wanted.mapInArrow(releasing(scan), "doc_id long, row long, key binary, bands array<long>")
 
 
 def _sets(texts: DataFrame, n: int) -> DataFrame:
@@ -130,7 +132,7 @@ def _sets(texts: DataFrame, n: int) -> DataFrame:
                     names=["key", "shingles"],
                 )
 
-    return texts.mapInArrow(scan, "key binary, shingles binary")
+    return texts.mapInArrow(releasing(scan), "key binary, shingles binary")
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -213,7 +215,7 @@ def _verify_partition(threshold: float):
             )
 
         at, rows = None, []
-        for batch in batches:
+        for batch in (b.slice(i, _ROWS) for b in batches for i in range(0, b.num_rows, _ROWS)):
             found: list[tuple] = []
             columns = [c.to_pylist() for c in batch.columns]
             for unit, first, second, *row in zip(*columns, strict=True):
@@ -295,7 +297,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
         "key", "copies", "block", "units", "shingles",
     )
     tasks = tasks.repartition(shuffle_partitions(spark), "unit", "first", "second").sortWithinPartitions("unit", "first", "second")
-    found = materialize(tasks.mapInArrow(_verify_partition(threshold), "key binary, links long, root binary"), "near-links")
+    found = materialize(tasks.mapInArrow(releasing(_verify_partition(threshold)), "key binary, links long, root binary"), "near-links")
 
     roots = components(found.select(F.col("key").alias("a"), F.col("root").alias("b")))
     linked = found.groupBy("key").agg(F.sum("links").alias("links"))

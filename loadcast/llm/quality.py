@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import _BYTE, Words, chunks, fresh, gram_hash, mix, per_text, range_hash
+from .common import _BYTE, Words, chunks, fresh, gram_hash, mix, per_text, range_hash, releasing
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_distinct_words", "n_letter_words"]
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -106,13 +106,14 @@ def with_stats(docs: DataFrame, text: str = "text", stats: str = "_stats") -> Da
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [text_stats(data, offsets) for _, _, data, offsets in chunks(batch.column(at))]
-            columns = [pa.array(np.concatenate([np.zeros(0, np.int64), *(p[c] for p in parts)]).astype(np.int64)) for c in STATS]
-            struct = pa.StructArray.from_arrays(columns, fields=[pa.field(c, pa.int64(), False) for c in STATS])
-            yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, stats])
+            for lo, hi, data, offsets in chunks(batch.column(at)):  # rows go on chunk by chunk, so none waits for the batch
+                found = text_stats(data, offsets)
+                columns = [pa.array(found[c].astype(np.int64)) for c in STATS]
+                struct = pa.StructArray.from_arrays(columns, fields=[pa.field(c, pa.int64(), False) for c in STATS])
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, struct], names=[*batch.schema.names, stats])
 
     at = docs.columns.index(text)
-    return docs.mapInArrow(scan, T.StructType([*docs.schema.fields, T.StructField(stats, kind, False)]))
+    return docs.mapInArrow(releasing(scan), T.StructType([*docs.schema.fields, T.StructField(stats, kind, False)]))
 
 
 @dataclass(frozen=True)
